@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bounds under which a side is shipped to every executor.  Beyond them the
+# join stays a shuffle join and AQE may still convert it at run time from the
+# measured shuffle size.
+DIM_ROWS = 200_000
+LOOKUP_ROWS = 10_000
+
+
+def row_count_at_most(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows; reads at most limit+1."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def bounded(df: DataFrame, limit: int = DIM_ROWS) -> DataFrame:
+    """``broadcast(df)`` if its row count is proven <= limit, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, limit) else df
