@@ -6,7 +6,7 @@ import importlib
 
 from haven.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["star"]
+_MODULES = ["star", "kpis"]
 
 
 def load() -> None:
