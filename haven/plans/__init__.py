@@ -6,7 +6,7 @@ import importlib
 
 from haven.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["star", "kpis"]
+_MODULES = ["star", "kpis", "quality"]
 
 
 def load() -> None:
