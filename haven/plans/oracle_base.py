@@ -62,5 +62,10 @@ def sql(body: str, *needs: str) -> str:
     for n in _resolve(needs):
         text = INPUTS.get(n) or DERIVED[n]
         ctes.append(f"{n} AS ({text})")
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        # the body brings its own CTEs: append them after the inputs
+        ctes.append(stripped[5:])
+        return "WITH " + ",\n".join(ctes)
     head = ("WITH " + ",\n".join(ctes) + "\n") if ctes else ""
     return head + body
