@@ -13,6 +13,11 @@ def _s(*fields: tuple) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
+def ddl(schema: StructType) -> str:
+    """Schema as a DDL column list, e.g. for ``spark.read.schema``."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 # --- raw (bronze) inputs -------------------------------------------------------
 CLIENTS = _s(("ClientID", StringType()), ("FirstName", StringType()),
              ("LastName", StringType()), ("SSN", StringType()), ("DOB", DateType()),
@@ -69,7 +74,7 @@ NEEDS = ArrayType(StringType())
 
 # Common envelope of the raw event table.
 EVENT_ENVELOPE = _s(("event_id", StringType()), ("event_type", StringType()),
-                    ("client_id", StringType()), ("project_id", StringType()),
+                    ("client_id_hash", StringType()), ("project_id", StringType()),
                     ("event_time", TimestampType()), ("payload", StringType()))
 
 # --- gold --------------------------------------------------------------------------

@@ -6,7 +6,7 @@ import importlib
 
 from haven.plans.registry import ORACLE, QUERIES
 
-_MODULES = ["star", "kpis", "quality", "care", "history", "layout"]
+_MODULES = ["star", "kpis", "quality", "care", "history", "layout", "streams"]
 
 
 def load() -> None:
