@@ -31,9 +31,12 @@ def write_partitioned(df: DataFrame, path: str, part_col: str, mode: str = "over
 
 
 def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
-           part_col: str) -> dict:
-    """Apply ``changes`` (full new rows, unique on ``key``) to the table."""
-    target = spark.read.parquet(table_path)
+           part_col: str, target: DataFrame | None = None) -> dict:
+    """Apply ``changes`` (full new rows, unique on ``key``) to the table.
+
+    ``target`` may be passed when the caller already read the table (saves a
+    second listing of its partition folders)."""
+    target = target if target is not None else spark.read.parquet(table_path)
     keys = changes.select(key)
     old_parts = target.join(keys, key, "left_semi").select(part_col)
     touched = old_parts.unionByName(changes.select(part_col)).distinct()
@@ -53,6 +56,6 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
     return {"stage": stage, "emptied_partitions": len(emptied)}
 
 
-def high_water_mark(spark: SparkSession, table_path: str, col: str):
-    """max(col) of the table — partition values only, no data files read."""
-    return spark.read.parquet(table_path).agg(F.max(col)).first()[0]
+def high_water_mark(table: DataFrame, col: str):
+    """max(col) of the table: the inclusive start of the next increment."""
+    return table.agg(F.max(col)).first()[0]

@@ -1,4 +1,9 @@
-"""Per-call context: the HMIS inputs and the silver/gold frames built on them."""
+"""Per-call context: the HMIS inputs and the silver/gold layers built on them.
+
+Silver and gold are written once as tables (see ``sources.layers``) and read
+by every query, as in a medallion lakehouse; ``materialize=False`` builds
+them as plain lazy plans instead.
+"""
 
 from __future__ import annotations
 
@@ -8,31 +13,43 @@ from pyspark.sql import DataFrame, SparkSession
 
 from haven.operators import conform, star
 from haven.sources.fixtures import Hmis
+from haven.sources.layers import materialize
 
 
 class Ctx:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True):
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
         self.raw = Hmis(spark, sf_dir)
+        self.materialized = materialized
+
+    def _layer(self, name: str, build, tables: list[str], cluster_by: str | None = None) -> DataFrame:
+        if not self.materialized:
+            return build()
+        inputs = [f"{self.sf_dir}/{t}.parquet" for t in tables]
+        return materialize(self.spark, name, build, inputs, cluster_by)
 
     @cached_property
     def silver_clients(self) -> DataFrame:
-        return conform.conform_clients(self.raw.clients)
+        return self._layer("silver_clients", lambda: conform.conform_clients(self.raw.clients), ["customer"])
 
     @cached_property
     def silver_enrollments(self) -> DataFrame:
-        return conform.conform_enrollments(self.raw.enrollments)
+        return self._layer("silver_enrollments", lambda: conform.conform_enrollments(self.raw.enrollments),
+                           ["orders"], cluster_by="EnrollmentID")
 
     @cached_property
     def silver_services(self) -> DataFrame:
-        return conform.conform_services(self.raw.services)
+        return self._layer("silver_services", lambda: conform.conform_services(self.raw.services),
+                           ["lineitem", "orders"], cluster_by="EnrollmentID")
 
     @cached_property
     def silver_projects(self) -> DataFrame:
-        return conform.conform_projects(self.raw.projects)
+        return self._layer("silver_projects", lambda: conform.conform_projects(self.raw.projects), ["nation"])
 
     @cached_property
     def fact(self) -> DataFrame:
-        return star.fact_service_event(self.silver_services, self.silver_enrollments,
-                                       self.silver_projects)
+        return self._layer("fact_service_event",
+                           lambda: star.fact_service_event(self.silver_services, self.silver_enrollments,
+                                                           self.silver_projects),
+                           ["lineitem", "orders", "nation"], cluster_by="service_date")

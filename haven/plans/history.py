@@ -146,8 +146,8 @@ def incremental_fact(spark, sf_dir):
     cut = latest_value(f, "service_date") - dt.timedelta(days=CUT_DAYS)
     path = job_dir(spark, "fact-table")
     upsert.write_partitioned(f.filter(F.col("service_date") < F.lit(cut)), path, "service_date")
-    hwm = upsert.high_water_mark(spark, path, "service_date")
     table = spark.read.parquet(path)
+    hwm = upsert.high_water_mark(table, "service_date")
     fixes = (table.filter((F.col("service_type") == "Meal")
                           & F.col("service_date").between(F.lit(hwm - dt.timedelta(days=LOOKBACK_DAYS)),
                                                           F.lit(hwm)))
@@ -156,5 +156,5 @@ def incremental_fact(spark, sf_dir):
     fresh = f.filter(F.col("service_date") >= F.lit(hwm)).join(fixes.select("service_id"), "service_id",
                                                                "left_anti")
     batch = fresh.unionByName(fixes.select(*f.columns))
-    upsert.upsert(spark, path, batch, "service_id", "service_date")
+    upsert.upsert(spark, path, batch, "service_id", "service_date", target=table)
     return spark.read.parquet(path).select(*_FACT_COLS)

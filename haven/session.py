@@ -17,11 +17,15 @@ from pyspark.sql import SparkSession
 # (coalescing small partitions, splitting skewed ones) rather than fixed here.
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # list partition folders with a bounded number of tasks (default 10000:
+    # one task per folder for daily-partitioned tables)
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from haven import contracts as C
 
 
+# Tables big enough that a single-task scan would dominate a query.
+SPREAD_TABLES = {"lineitem", "orders", "events", "customer"}
+
+
 def pick(index: Column, values: list) -> Column:
     """values[index] as a JVM expression (0-based)."""
     return F.try_element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -38,7 +42,18 @@ class Hmis:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; spread over the cores when it arrives in fewer splits.
+
+        A file with one row group scans in one task, and everything chained to
+        the scan (joins, hashing, partial aggregation) would run there too.  On
+        a cluster reading many files the scan already has more splits than
+        cores and this is a no-op.
+        """
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in SPREAD_TABLES and df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        return df
 
     @cached_property
     def clients(self) -> DataFrame:
