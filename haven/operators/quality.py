@@ -66,17 +66,22 @@ def run_suite(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     ).withColumn("passed", F.col("n_bad") == 0)
 
 
-FACT_RULES = [
-    not_null("service_id"), unique("service_id"), not_null("service_date"),
-    not_null("client_id_hash"), not_null("project_id"),
-    between("qty", 1, 100), between("financial_assistance", 0, 100000),
-    matches("client_id_hash", HEX64),
-]
-
-CLIENT_RULES = [
-    not_null("ClientID_hash"), unique("ClientID_hash"), matches("ClientID_hash", HEX64),
-    not_null("SSN_hash"), matches("SSN_hash", HEX64), in_set("VeteranStatus", [0, 1]),
-]
+def fact_rules() -> list[Rule]:
+    """Expectation suite of the gold fact (plus the mart's unique/not-null tests)."""
+    return [
+        not_null("service_id"), unique("service_id"), not_null("service_date"),
+        not_null("client_id_hash"), not_null("project_id"),
+        between("qty", 1, 100), between("financial_assistance", 0, 100000),
+        matches("client_id_hash", HEX64),
+    ]
+
+
+def client_rules() -> list[Rule]:
+    """Expectation suite of silver clients."""
+    return [
+        not_null("ClientID_hash"), unique("ClientID_hash"), matches("ClientID_hash", HEX64),
+        not_null("SSN_hash"), matches("SSN_hash", HEX64), in_set("VeteranStatus", [0, 1]),
+    ]
 
 
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:

@@ -51,12 +51,12 @@ _CLIENT_SUITE = _suite_sql("silver_clients", "silver_clients", [
 
 @query("dq_fact_suite", sql(_FACT_SUITE, "fact"))
 def dq_fact_suite(spark, sf_dir):
-    return quality.run_suite(Ctx(spark, sf_dir).fact, "fact_service_event", quality.FACT_RULES)
+    return quality.run_suite(Ctx(spark, sf_dir).fact, "fact_service_event", quality.fact_rules())
 
 
 @query("dq_clients_suite", sql(_CLIENT_SUITE, "silver_clients"))
 def dq_clients_suite(spark, sf_dir):
-    return quality.run_suite(Ctx(spark, sf_dir).silver_clients, "silver_clients", quality.CLIENT_RULES)
+    return quality.run_suite(Ctx(spark, sf_dir).silver_clients, "silver_clients", quality.client_rules())
 
 
 @query("dq_fk_violations", sql(
