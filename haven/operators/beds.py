@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from haven.functions.geo import grid_cell, haversine_km
 from haven.operators.joins import bounded
 from haven.operators.keys import last_by_key
+from haven.operators.sequence import ordered_by_key
 
 NEAREST_K = 3
 SEARCH_CELL_DEG = 0.05
@@ -38,11 +39,14 @@ def bed_availability(status: DataFrame) -> DataFrame:
 
 
 def occupied_stays(bed_events: DataFrame, as_of) -> DataFrame:
-    """CHECKIN until the bed's next event (or as_of while still open)."""
-    w = Window.partitionBy("project_id", "bed_id").orderBy("event_time", "event_id")
-    nxt = F.lead("event_time").over(w)
+    """CHECKIN until the bed's next event (or as_of while still open).
+
+    The per-bed ``lead`` runs per (bed, day) with the next day's first event
+    carried back, so a bed with a huge history is still spread over tasks."""
     e = bed_events.select("project_id", "bed_id", "event_time", "event_id", "event_type")
-    return (e.withColumn("stay_end", F.coalesce(nxt, F.lit(as_of).cast("timestamp")))
+    e = ordered_by_key(e, ["project_id", "bed_id"], ["event_time", "event_id"],
+                       lead={"_next": "event_time"})
+    return (e.withColumn("stay_end", F.coalesce("_next", F.lit(as_of).cast("timestamp")))
             .filter((F.col("event_type") == "CHECKIN") & (F.col("stay_end") > F.col("event_time")))
             .select("project_id", "bed_id", F.col("event_time").alias("stay_start"), "stay_end"))
 

@@ -8,11 +8,12 @@ previous value is a no-op; versions are half-open [valid_from, valid_to).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.operators.keys import last_by_key
+from haven.operators.sequence import ordered_by_key
 
 EPOCH = "1970-01-01 00:00:00"
 FIELDS = C.CASE_FIELDS
@@ -29,9 +30,9 @@ def collapse(case_updates: DataFrame) -> DataFrame:
 
 def effective(log: DataFrame) -> DataFrame:
     """Drop updates equal to the field's previous value."""
-    w = Window.partitionBy("client_id_hash", "field_changed").orderBy("event_time")
-    return (log.withColumn("prev_value", F.lag("new_value").over(w))
-            .filter(F.col("prev_value").isNull() | (F.col("prev_value") != F.col("new_value")))
+    keyed = ordered_by_key(log, ["client_id_hash", "field_changed"], ["event_time", "event_id"],
+                           lag={"prev_value": "new_value"})
+    return (keyed.filter(F.col("prev_value").isNull() | (F.col("prev_value") != F.col("new_value")))
             .select("client_id_hash", "field_changed", "new_value", "prev_value", "event_time", "event_id"))
 
 
@@ -58,13 +59,10 @@ def history_from_changes(base: DataFrame, changes: DataFrame) -> DataFrame:
     base_rows = attrs.select("client_id_hash", F.lit(EPOCH).cast("timestamp").alias("valid_from"),
                              *[F.lit(None).cast("string").alias(f) for f in FIELDS])
     versions = base_rows.unionByName(wide.join(attrs.select("client_id_hash"), "client_id_hash", "left_semi"))
-    w = Window.partitionBy("client_id_hash").orderBy("valid_from")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    filled = versions.select(
-        "client_id_hash", "valid_from",
-        *[F.last(f, ignorenulls=True).over(run).alias(f) for f in FIELDS],
-        F.lead("valid_from").over(w).alias("valid_to"),
-        F.row_number().over(w).alias("version"))
+    filled = ordered_by_key(versions, ["client_id_hash"], ["valid_from"], ffill=FIELDS,
+                            lead={"valid_to": "valid_from"}, row_number="version")
+    filled = filled.select("client_id_hash", "valid_from", *FIELDS, "valid_to",
+                           F.col("version").cast("int").alias("version"))
     return (filled.join(attrs, "client_id_hash", "inner")
             .withColumn("is_current", F.col("valid_to").isNull()))
 
@@ -118,9 +116,9 @@ def as_of_join(events: DataFrame, history: DataFrame, key: str = "client_id_hash
                        *[F.lit(None).cast(etypes[c]).alias(c) for c in others])
     e = events.select(key, F.col(time_col).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
                       F.lit(None).cast(v.schema["_ver"].dataType).alias("_ver"), *others)
-    w = (Window.partitionBy(key).orderBy("_t", "_kind")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    cur = F.last(F.when(F.col("_kind") == 0, F.col("_ver")), ignorenulls=True).over(w)
-    return (v.unionByName(e).withColumn("_cur", cur)
-            .filter((F.col("_kind") == 1) & F.col("_cur").isNotNull())
+    # every row needs a total order within the key: time, versions first, then event id
+    merged = v.unionByName(e).withColumn("_cur", F.col("_ver")).withColumn(
+        "_id", F.coalesce(F.col("event_id").cast("string"), F.lit("")))
+    filled = ordered_by_key(merged, [key], ["_t", "_kind", "_id"], ffill=["_cur"])
+    return (filled.filter((F.col("_kind") == 1) & F.col("_cur").isNotNull())
             .select(key, *others, *[F.col(f"_cur.{c}").alias(c) for c in carry]))

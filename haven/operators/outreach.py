@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haven.functions.privacy import hash_id
+from haven.operators.sequence import ordered_by_key
 
 SESSION_GAP = "30 minutes"
 CHRONIC_MIN_DAYS = 4
@@ -36,9 +37,29 @@ def known_clients(outreach: DataFrame) -> DataFrame:
 
 
 def outreach_sessions(outreach: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
-    """Contact episodes per client: events closer than ``gap`` chain together."""
-    k = known_clients(outreach)
-    return (k.groupBy("client_id_hash", F.session_window("event_time", gap).alias("s"))
+    """Contact episodes per client: events closer than ``gap`` chain together.
+
+    Same result as ``session_window(event_time, gap)`` (end = last event +
+    gap), computed as lag -> new-session flag -> running session number
+    with day buckets, then a plain aggregate per (client, session): a client
+    with a huge history is spread over tasks and combined map-side.
+    """
+    k = known_clients(outreach).select("client_id_hash", "event_time", "event_id")
+    k = ordered_by_key(k, ["client_id_hash"], ["event_time", "event_id"], lag={"_prev": "event_time"})
+    new = F.col("_prev").isNull() | (F.col("event_time") >= F.col("_prev") + F.expr(f"INTERVAL {gap}"))
+    k = ordered_by_key(k.withColumn("_new", new.cast("int")), ["client_id_hash"], ["event_time", "event_id"],
+                       running_sum={"_session": "_new"})
+    return (k.groupBy("client_id_hash", "_session")
+            .agg(F.min("event_time").alias("session_start"),
+                 (F.max("event_time") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
+                 F.count(F.lit(1)).alias("n_events"))
+            .drop("_session"))
+
+
+def outreach_sessions_stream(parsed: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
+    """Streaming form: native session windows under the stream's watermark."""
+    return (parsed.filter(F.col("client_id_hash").isNotNull())
+            .groupBy("client_id_hash", F.session_window("event_time", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("n_events"))
             .select("client_id_hash", F.col("s.start").alias("session_start"),
                     F.col("s.end").alias("session_end"), "n_events"))
