@@ -1,11 +1,12 @@
 """Keyed upsert into a date-partitioned Parquet table (no MERGE on Parquet).
 
 Only *touched* partitions are rewritten: the partitions that held an old
-version of a changed key plus the partitions of the new rows.  The new
-content of those partitions is staged under the shared folder first (so the
-target is never overwritten while it is being read), then published with
-dynamic partition overwrite; a partition whose rows all moved away is
-removed.  Re-running the same batch gives the same table.
+version of a changed key plus the partitions of the new rows.  Their new
+content is written with dynamic partition overwrite, which stages the new
+files and swaps each touched partition only at job commit — after every task
+has finished reading the old files — so the table is never half-written and
+untouched partitions are never read or rewritten.  A partition whose rows
+all moved away is removed.  Re-running the same batch gives the same table.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from haven.session import job_dir
 
 
+
 def _delete_partition(spark: SparkSession, table_path: str, part_col: str, value) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -37,23 +39,27 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
     ``target`` may be passed when the caller already read the table (saves a
     second listing of its partition folders)."""
     target = target if target is not None else spark.read.parquet(table_path)
-    keys = changes.select(key)
-    old_parts = target.join(keys, key, "left_semi").select(part_col)
-    touched = old_parts.unionByName(changes.select(part_col)).distinct()
-    kept = (target.join(touched, part_col, "left_semi")        # prunes to touched partitions
-            .join(keys, key, "left_anti"))
-    content = kept.unionByName(changes.select(*target.columns))
-
-    stage = job_dir(spark, "upsert-stage")
-    write_partitioned(content, stage, part_col, mode="errorifexists")
-    staged = spark.read.parquet(stage)
-    # partitions that end up empty: bounded by the number of touched partitions
-    emptied = [r[0] for r in touched.join(staged.select(part_col).distinct(), part_col, "left_anti")
-               .collect()]
-    write_partitioned(staged, table_path, part_col, mode="overwrite")
+    # the batch is written once: every later step reads it instead of re-deriving it
+    batch_path = job_dir(spark, "upsert-batch")
+    changes.select(*target.columns).write.parquet(batch_path)
+    batch = spark.read.parquet(batch_path)
+    keys = batch.select(key)
+    # touched partition values (bounded by the table's partition count) become
+    # a static partition filter: untouched partitions are never read
+    old_parts = target.join(keys, key, "left_semi").select(part_col).distinct()
+    touched = sorted({r[0] for r in old_parts.unionByName(batch.select(part_col)).distinct().collect()})
+    if not touched:
+        return {"touched_partitions": 0, "emptied_partitions": 0}
+    kept = target.filter(F.col(part_col).isin(touched)).join(keys, key, "left_anti")
+    content = kept.unionByName(batch.select(*target.columns))
+    # partitions left with no rows (every row moved away): dynamic overwrite
+    # would not touch them, so they are removed explicitly
+    present = {r[0] for r in content.select(part_col).distinct().collect()}
+    emptied = [p for p in touched if p not in present]
+    write_partitioned(content, table_path, part_col, mode="overwrite")
     for value in emptied:
         _delete_partition(spark, table_path, part_col, value)
-    return {"stage": stage, "emptied_partitions": len(emptied)}
+    return {"touched_partitions": len(touched), "emptied_partitions": len(emptied)}
 
 
 def high_water_mark(table: DataFrame, col: str):
