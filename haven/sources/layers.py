@@ -60,7 +60,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
                 cluster_by: str | None = None) -> DataFrame:
-    final = f"{shared_dir(spark)}/haven/layers/{name}-{fingerprint(spark, inputs)}"
+    # a session may ask for its own namespace (e.g. a benchmark that must time the build)
+    space = spark.conf.get("haven.layers.namespace", "") or "shared"
+    final = f"{shared_dir(spark)}/haven/layers/{space}/{name}-{fingerprint(spark, inputs)}"
     if not _exists(spark, f"{final}/_SUCCESS"):
         df = build()
         if cluster_by:
