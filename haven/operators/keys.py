@@ -43,9 +43,28 @@ def hex_key(hex_col: str | Column) -> Column:
     return F.conv(F.substring(c, 1, 15), 16, 10).cast("bigint")
 
 
-def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """0..n-1 in natural-key order.  Only for dimensions whose size was checked
-    (see ``joins.bounded``): the ordering window runs in one task."""
+def dense_key(df: DataFrame, order: list[str], name: str, single_task_rows: int = 200_000) -> DataFrame:
+    """0..n-1 in natural-key order (ties broken by the rest of the row).
+
+    Up to ``single_task_rows`` rows (proven by a bounded count) one ordering
+    window numbers them.  Beyond that the rows are range-partitioned on the
+    key, numbered within each range, and shifted by the sizes of the earlier
+    ranges — the per-range counts are one row per partition.
+    """
     from pyspark.sql import Window
-    w = Window.orderBy(*order)
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+
+    from haven.operators.joins import row_count_at_most
+    if row_count_at_most(df, single_task_rows):
+        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    local = ranged.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1)
+    sizes = sorted((r[0], r[1]) for r in ranged.groupBy("_range").count().collect())
+    starts, total = [], 0
+    for rng, n in sizes:
+        starts.append((rng, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(starts, "_range int, _start bigint")
+    return (local.join(F.broadcast(offsets), "_range")
+            .withColumn(name, (F.col("_start") + F.col("_local")).cast("bigint"))
+            .drop("_range", "_local", "_start"))

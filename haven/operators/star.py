@@ -35,8 +35,7 @@ def fact_service_event(services: DataFrame, enrollments: DataFrame,
 def dim_project(projects: DataFrame, project_types: DataFrame) -> DataFrame:
     """Projects with type description and a dense key in ProjectID order."""
     types = bounded(project_types, LOOKUP_ROWS)
-    bounded_projects = bounded(projects)  # raises the bound check before the window
-    d = (bounded_projects.join(types, "ProjectType", "left")
+    d = (projects.join(types, "ProjectType", "left")
          .select(F.col("ProjectID").alias("project_id"),
                  F.col("ProjectName").alias("project_name"),
                  F.col("ProjectType").alias("project_type"),

@@ -171,3 +171,11 @@ def test_event_type_falls_back_on_empty_string(spark):
     df = spark.createDataFrame([("", "NEW_CONTACT"), ("CHECKIN", "x"), (None, None)], "a string, b string")
     got = [r.t for r in df.select(first_present("a", "b").alias("t")).collect()]
     assert got == ["NEW_CONTACT", "CHECKIN", None]
+
+
+def test_dense_key_distributed_equals_single_task(spark):
+    """Beyond the row bound, dense keys come from range partitions + offsets."""
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).cast("string").alias("k"))
+    one = {r.k: r.key for r in keys.dense_key(df, ["k"], "key").collect()}
+    many = {r.k: r.key for r in keys.dense_key(df, ["k"], "key", single_task_rows=50).collect()}
+    assert one == many and sorted(many.values()) == list(range(3000))
