@@ -11,7 +11,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haven.operators import conform, star
+from haven.functions.privacy import hash_and_drop_client
+from haven.operators import conform, history, star
 from haven.sources.fixtures import Hmis
 from haven.sources.layers import materialize
 
@@ -53,3 +54,11 @@ class Ctx:
                            lambda: star.fact_service_event(self.silver_services, self.silver_enrollments,
                                                            self.silver_projects),
                            ["lineitem", "orders", "nation"], cluster_by="service_date")
+
+    @cached_property
+    def client_history(self) -> DataFrame:
+        """SCD2 client dimension from the case-update change stream (gold)."""
+        return self._layer("client_history",
+                           lambda: history.scd2_history(self.silver_clients,
+                                                        hash_and_drop_client(self.raw.case_updates)),
+                           ["customer", "events"], cluster_by="client_id_hash")

@@ -50,7 +50,7 @@ def _case(ctx: Ctx):
 
 
 def _history(ctx: Ctx):
-    return history.scd2_history(ctx.silver_clients, _case(ctx))
+    return ctx.client_history
 
 
 def _as_of(ctx: Ctx) -> dt.datetime:

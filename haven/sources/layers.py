@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from haven.session import job_dir, shared_dir
 
 _CODE_FILES = ["sources/fixtures.py", "operators/conform.py", "operators/star.py", "operators/keys.py",
-               "operators/joins.py", "functions/privacy.py", "functions/dates.py", "contracts.py"]
+               "operators/joins.py", "operators/history.py", "operators/sequence.py",
+               "functions/privacy.py", "functions/dates.py", "contracts.py"]
 
 
 def _code_version() -> str:
