@@ -37,12 +37,12 @@ class Ctx:
     @cached_property
     def silver_enrollments(self) -> DataFrame:
         return self._layer("silver_enrollments", lambda: conform.conform_enrollments(self.raw.enrollments),
-                           ["orders"], cluster_by="EnrollmentID")
+                           ["orders"])
 
     @cached_property
     def silver_services(self) -> DataFrame:
         return self._layer("silver_services", lambda: conform.conform_services(self.raw.services),
-                           ["lineitem", "orders"], cluster_by="EnrollmentID")
+                           ["lineitem", "orders"])
 
     @cached_property
     def silver_projects(self) -> DataFrame:
