@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType,
-                               DoubleType, IntegerType, LongType, StringType,
+from pyspark.sql.types import (DateType, DecimalType, DoubleType, IntegerType, StringType,
                                StructField, StructType, TimestampType)
 
 MONEY = DecimalType(12, 2)
@@ -41,14 +40,6 @@ SERVICES = _s(("ServiceID", StringType()), ("EnrollmentID", StringType()),
               ("ServiceType", StringType()), ("QuantityOfServices", IntegerType()),
               ("FAAmount", MONEY))
 
-# Seed files carry dates as ISO text; conform turns them into DATE.
-SEED_TEXT_DATES = {
-    "clients": ["DOB"],
-    "projects": ["OperatingStartDate"],
-    "enrollments": ["EntryDate", "ExitDate"],
-    "services": ["DateProvided"],
-}
-
 # --- stream topics ---------------------------------------------------------------
 BED_EVENTS = _s(("event_id", StringType()), ("event_type", StringType()),
                 ("client_id", StringType()), ("project_id", StringType()),
@@ -70,8 +61,6 @@ TOPICS = {
     "case_updates": CASE_UPDATES,
 }
 
-NEEDS = ArrayType(StringType())
-
 # Common envelope of the raw event table.
 EVENT_ENVELOPE = _s(("event_id", StringType()), ("event_type", StringType()),
                     ("client_id_hash", StringType()), ("project_id", StringType()),
@@ -84,10 +73,6 @@ FACT_SERVICE_EVENT = _s(("service_id", StringType()), ("client_id_hash", StringT
                         ("service_date", DateType()), ("qty", IntegerType()),
                         ("financial_assistance", MONEY))
 
-DIM_CLIENT_SCD = _s(("client_id_hash", StringType()), ("valid_from", TimestampType()),
-                    ("valid_to", TimestampType()), ("is_current", BooleanType()),
-                    ("client_version_key", LongType()))
-
 # =====================================================================================
 # FIXED VALUES — must equal the source domain's code lists for results to agree.
 # =====================================================================================

@@ -84,6 +84,24 @@ def client_rules() -> list[Rule]:
     ]
 
 
+def bronze_rules() -> dict[str, list[Rule]]:
+    """Shape checks of the raw inputs (ids, code lists, quantities)."""
+    return {
+        "clients": [not_null("ClientID"), unique("ClientID"), matches("ClientID", "^C[0-9]{8}$"),
+                    in_set("VeteranStatus", [0, 1]), in_set("Gender", C.GENDERS), in_set("Race", C.RACES),
+                    in_set("Ethnicity", C.ETHNICITIES)],
+        "enrollments": [not_null("EnrollmentID"), unique("EnrollmentID"), not_null("PersonalID"),
+                        in_set("Destination", C.DESTINATIONS), in_set("LivingSituation", C.LIVING_SITUATIONS),
+                        in_set("RelationshipToHoH", C.RELATIONSHIPS)],
+        "services": [not_null("ServiceID"), not_null("EnrollmentID"), between("QuantityOfServices", 1, 1_000_000),
+                     in_set("ServiceType", C.SERVICE_TYPES)],
+        "bed_events": [not_null("event_id"), unique("event_id"), in_set("event_type", C.BED_EVENT_TYPES)],
+        "outreach": [not_null("event_id"), unique("event_id"), in_set("encounter_type", C.ENCOUNTER_TYPES)],
+        "case_updates": [not_null("event_id"), unique("event_id"), in_set("op", C.CASE_OPS),
+                         in_set("field_changed", C.CASE_FIELDS)],
+    }
+
+
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
     """Non-null child keys with no parent row: (fk_name, key_value, n_rows)."""
     keys = parent.select(F.col(pk).alias(fk)).distinct()

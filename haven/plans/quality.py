@@ -250,3 +250,45 @@ def pii_hash(spark, sf_dir):
     return u.groupBy(F.col("h").alias("client_id_hash")).agg(
         F.count_if(F.col("src") == "fact").alias("n_services"),
         F.count_if(F.col("src") == "bed").alias("n_bed_events"))
+
+
+def _in(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values)
+
+
+def _bronze_sql() -> str:
+    def nn(c): return ("not_null", c, f"count_if({c} IS NULL)")
+    def uq(c): return ("unique", c, f"count({c}) - count(DISTINCT {c})")
+    def st(c, vals): return ("in_set", c, f"count_if({c} IS NOT NULL AND {c} NOT IN ({_in(vals)}))")
+    suites = {
+        "clients": [nn("ClientID"), uq("ClientID"),
+                    ("match_regex", "ClientID",
+                     "count_if(ClientID IS NOT NULL AND NOT regexp_matches(ClientID, '^C[0-9]{8}$'))"),
+                    st("VeteranStatus", [0, 1]), st("Gender", C.GENDERS), st("Race", C.RACES),
+                    st("Ethnicity", C.ETHNICITIES)],
+        "enrollments": [nn("EnrollmentID"), uq("EnrollmentID"), nn("PersonalID"),
+                        st("Destination", C.DESTINATIONS), st("LivingSituation", C.LIVING_SITUATIONS),
+                        st("RelationshipToHoH", C.RELATIONSHIPS)],
+        "services": [nn("ServiceID"), nn("EnrollmentID"),
+                     ("between", "QuantityOfServices", "count_if(QuantityOfServices IS NOT NULL AND NOT "
+                                                       "QuantityOfServices BETWEEN 1 AND 1000000)"),
+                     st("ServiceType", C.SERVICE_TYPES)],
+        "bed_events": [nn("event_id"), uq("event_id"), st("event_type", C.BED_EVENT_TYPES)],
+        "outreach": [nn("event_id"), uq("event_id"), st("encounter_type", C.ENCOUNTER_TYPES)],
+        "case_updates": [nn("event_id"), uq("event_id"), st("op", C.CASE_OPS),
+                         st("field_changed", C.CASE_FIELDS)],
+    }
+    return " UNION ALL ".join(_suite_sql(t, t, rules) for t, rules in suites.items())
+
+
+@query("dq_bronze_suite", sql(_bronze_sql(), "clients", "enrollments", "services", "bed_events", "outreach",
+                              "case_updates"))
+def dq_bronze_suite(spark, sf_dir):
+    """Shape checks of every raw input: id patterns, code lists, quantities —
+    one aggregate pass per table."""
+    raw = Ctx(spark, sf_dir).raw
+    out = None
+    for table, rules in quality.bronze_rules().items():
+        r = quality.run_suite(getattr(raw, table), table, rules)
+        out = r if out is None else out.unionByName(r)
+    return out

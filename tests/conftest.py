@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -31,8 +30,3 @@ def scratch(spark):
     """A fresh folder under the session's shared folder."""
     from haven.session import job_dir
     return job_dir(spark, "test")
-
-
-@pytest.fixture(scope="session")
-def local_tmp():
-    return tempfile.mkdtemp(prefix="haven-test-")
