@@ -81,3 +81,13 @@ def register_partitioned_table(spark: SparkSession, name: str, path: str, schema
               f"PARTITIONED BY ({partition_col}) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A layer table, or an empty frame of its contract when it does not exist yet
+    (a dashboard asking before the first stream batch landed gets zero rows, not an error)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

@@ -84,3 +84,12 @@ def test_by_name_load_is_case_insensitive(spark, scratch):
     src = spark.createDataFrame([("S1", 3, "junk")], "SERVICE_ID string, QTY string, EXTRA string")
     got = batch.load_by_name(src, C.FACT_SERVICE_EVENT).collect()[0]
     assert got.service_id == "S1" and got.qty == 3 and got.project_type is None
+
+
+def test_missing_layer_reads_as_empty_contract(spark, scratch):
+    """A19: an absent table is an empty frame with the contract's columns."""
+    from haven import contracts as C
+    df = batch.read_or_empty(spark, f"{scratch}/not-there", C.OUTREACH)
+    assert df.count() == 0 and df.columns == [f.name for f in C.OUTREACH.fields]
+    spark.range(1).select(F.lit("OE-1").alias("event_id")).write.parquet(f"{scratch}/there")
+    assert batch.read_or_empty(spark, f"{scratch}/there", C.OUTREACH).count() == 1
