@@ -54,25 +54,26 @@ def occupied_stays(bed_events: DataFrame, as_of) -> DataFrame:
 def bed_utilization_hourly(bed_events: DataFrame, as_of) -> DataFrame:
     """Per project and hour: distinct beds occupied at any time in the hour / beds seen.
 
-    Sweep line, not a bed x hour expansion: each bed's stays become disjoint
-    hour islands (stays touching the same hour merge), islands become +1/-1
-    at their edges, a running sum per project gives the occupied count at
-    each change point, and only occupied segments are expanded to hours —
-    the intermediate grows with the number of stays, the output with
+    Sweep line, not a bed x hour expansion.  Each stay adds +1 at its first
+    hour and -1 after its last.  A bed's stays never overlap in time, so two
+    of them can share only a boundary hour, and only if they are consecutive:
+    each such touching pair subtracts its shared hour once, which makes the
+    sum count every bed once per hour.  A running sum per project over the
+    change points gives the occupied count, and only occupied segments are
+    expanded to hours — the intermediate grows with stays, the output with
     project-hours.
     """
     hour = F.expr("INTERVAL 1 HOUR")
     stays = (occupied_stays(bed_events, as_of)
              .withColumn("hs", F.date_trunc("hour", "stay_start"))
              .withColumn("he", F.date_trunc("hour", F.col("stay_end") - F.expr("INTERVAL 1 MICROSECOND"))))
-    keys = ["project_id", "bed_id"]
-    stays = ordered_by_key(stays, keys, ["hs", "stay_start"], lag={"_prev_he": "he"})
-    stays = stays.withColumn("_new", (F.col("_prev_he").isNull() | (F.col("hs") > F.col("_prev_he"))).cast("int"))
-    stays = ordered_by_key(stays, keys, ["hs", "stay_start"], running_sum={"_island": "_new"})
-    islands = stays.groupBy(*keys, "_island").agg(F.min("hs").alias("hs"), F.max("he").alias("he"))
-    deltas = (islands.select("project_id", F.col("hs").alias("hour"), F.lit(1).alias("d"))
-              .unionByName(islands.select("project_id", (F.col("he") + hour).alias("hour"), F.lit(-1).alias("d")))
-              .groupBy("project_id", "hour").agg(F.sum("d").alias("d")))
+    stays = ordered_by_key(stays, ["project_id", "bed_id"], ["stay_start"], lag={"_prev_he": "he"})
+    touch = stays.filter(F.col("_prev_he") == F.col("hs"))
+    edges = (stays.select("project_id", F.col("hs").alias("hour"), F.lit(1).alias("d"))
+             .unionByName(stays.select("project_id", (F.col("he") + hour).alias("hour"), F.lit(-1).alias("d")))
+             .unionByName(touch.select("project_id", F.col("hs").alias("hour"), F.lit(-1).alias("d")))
+             .unionByName(touch.select("project_id", (F.col("hs") + hour).alias("hour"), F.lit(1).alias("d"))))
+    deltas = edges.groupBy("project_id", "hour").agg(F.sum("d").alias("d"))
     level = ordered_by_key(deltas, ["project_id"], ["hour"], running_sum={"occupied_beds": "d"},
                            lead={"_next": "hour"})
     occ = (level.filter(F.col("occupied_beds") > 0)
