@@ -179,3 +179,13 @@ def test_dense_key_distributed_equals_single_task(spark):
     one = {r.k: r.key for r in keys.dense_key(df, ["k"], "key").collect()}
     many = {r.k: r.key for r in keys.dense_key(df, ["k"], "key", single_task_rows=50).collect()}
     assert one == many and sorted(many.values()) == list(range(3000))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789abcdef", min_size=64, max_size=64), min_size=1, max_size=8),
+       st.sampled_from([C.ROLE_ANALYST, C.ROLE_HUD, "R_PUBLIC"]))
+def test_masked_output_never_holds_a_full_hash(spark, hashes, role):
+    df = spark.createDataFrame([(h, "P1") for h in hashes], "client_id_hash string, project_id string")
+    for r in governance.mask(df, role).collect():
+        assert r.client_id_hash is None or len(r.client_id_hash) <= 11
+        assert r.client_id_hash not in hashes
