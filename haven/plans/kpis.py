@@ -118,7 +118,7 @@ def outreach_needs_mix(spark, sf_dir):
     return metrics.outreach_needs_mix(Ctx(spark, sf_dir).raw.outreach)
 
 
-_ENVELOPE_SQL = (
+ENVELOPE_SQL = (
     "SELECT event_id, coalesce(nullif(event_type, ''), NULL) AS event_type, sha256(client_id) AS client_id_hash, "
     "project_id, event_time, to_json({'event_id': event_id, 'event_type': event_type, 'project_id': project_id, "
     "'bed_id': bed_id, 'event_time': strftime(event_time, '%Y-%m-%d %H:%M:%S.%f')}) AS payload FROM bed_events "
@@ -137,14 +137,14 @@ def _envelope(ctx: Ctx):
     return envelope.union_envelopes(r.bed_events, r.outreach, r.case_updates)
 
 
-@query("union_event_envelope", sql(_ENVELOPE_SQL, "bed_events", "outreach", "case_updates"))
+@query("union_event_envelope", sql(ENVELOPE_SQL, "bed_events", "outreach", "case_updates"))
 def union_event_envelope(spark, sf_dir):
     return _envelope(Ctx(spark, sf_dir))
 
 
 @query("daily_event_counts", sql(
     f"SELECT CAST(event_time AS DATE) AS service_date, project_id, event_type, count(*) AS n "
-    f"FROM ({_ENVELOPE_SQL}) e GROUP BY 1, 2, 3", "bed_events", "outreach", "case_updates"))
+    f"FROM ({ENVELOPE_SQL}) e GROUP BY 1, 2, 3", "bed_events", "outreach", "case_updates"))
 def daily_event_counts(spark, sf_dir):
     """The curated view over the raw event table, registered as a temp view."""
     _envelope(Ctx(spark, sf_dir)).createOrReplaceTempView("hmis_raw_events")

@@ -10,7 +10,7 @@ from haven import contracts as C
 from haven.operators.joins import bounded
 from haven.operators.metrics import latest_value
 from haven.plans.context import Ctx
-from haven.plans.kpis import _ENVELOPE_SQL
+from haven.plans.kpis import ENVELOPE_SQL
 from haven.plans.oracle_base import sql
 from haven.plans.registry import query
 from haven.session import job_dir
@@ -92,7 +92,7 @@ def _mixed_landing(spark, ctx: Ctx, root: str) -> None:
     jobs.publish(msgs, f"{root}/landing/events")
 
 
-@query("stream_union_events", sql(_ENVELOPE_SQL, "bed_events", "outreach", "case_updates"))
+@query("stream_union_events", sql(ENVELOPE_SQL, "bed_events", "outreach", "case_updates"))
 def stream_union_events(spark, sf_dir):
     """All topics on one stream -> common envelope table partitioned by event date."""
     ctx = Ctx(spark, sf_dir)
@@ -142,7 +142,7 @@ def event_dlq(spark, sf_dir):
     "SELECT project_id, time_bucket(INTERVAL 1 HOUR, event_time) AS window_start, "
     "time_bucket(INTERVAL 1 HOUR, event_time) + INTERVAL 1 HOUR AS window_end, count(*) AS n FROM bed_events "
     "WHERE event_type = 'CHECKIN' GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, event_time) + INTERVAL 1 HOUR "
-    f"<= (SELECT max(event_time) FROM bed_events WHERE event_type = 'CHECKIN') - {_WM}", "bed_events"))
+    f"<= (SELECT max(event_time) FROM bed_events) - {_WM}", "bed_events"))
 def stream_hourly_checkins(spark, sf_dir):
     """Check-ins per project per hour; append mode emits only windows the
     watermark has closed."""
