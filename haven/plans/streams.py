@@ -187,3 +187,51 @@ def stream_enriched_checkins(spark, sf_dir):
         "event_id", "client_id_hash", "project_id", "project_name", "project_type", "event_type", "event_time")
     jobs.run_available_now(enriched, f"{root}/out", f"{root}/_chk")
     return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_bed_status", sql(
+    "SELECT project_id, bed_id, event_id AS last_event_id, event_type AS last_event_type, "
+    "event_time AS last_event_time, event_type = 'CHECKIN' AS occupied FROM (SELECT *, row_number() "
+    "OVER (PARTITION BY project_id, bed_id ORDER BY event_time DESC, event_id DESC) AS rn "
+    "FROM bed_events) t WHERE rn = 1", "bed_events"))
+def stream_bed_status(spark, sf_dir):
+    """Live bed status: latest event per bed held in the state store (update
+    mode), each micro-batch's changed beds upserted into a versioned status
+    table.  Two deliveries; the final version equals the batch answer."""
+    ev = Ctx(spark, sf_dir).raw.bed_events
+    root = job_dir(spark, "stream-bed-status")
+    mid = latest_value(ev, "event_time")
+    cut = F.lit(mid) - F.expr("INTERVAL 15 DAYS")
+    for i, part in enumerate([ev.filter(F.col("event_time") < cut), ev.filter(F.col("event_time") >= cut)]):
+        jobs.publish(jobs.to_messages(part), f"{root}/landing/drop{i}")
+    # one trigger takes at most the first delivery's files: each delivery is its own micro-batch
+    first_files = len(spark.read.text(f"{root}/landing/drop0").inputFiles())
+    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing/*", max_files=max(1, first_files)),
+                              C.BED_EVENTS, "bed_events")
+    q = (jobs.bed_status_updates(parsed).writeStream.outputMode("update")
+         .foreachBatch(jobs.status_upsert_writer(f"{root}/status", ["project_id", "bed_id"]))
+         .option("checkpointLocation", f"{root}/_chk").trigger(availableNow=True).start())
+    jobs.finish(q)
+    return jobs.latest_version(spark, f"{root}/status")
+
+
+@query("stream_outreach_sessions", sql(
+    "WITH k AS (SELECT sha256(client_id) AS h, event_time FROM outreach WHERE client_id IS NOT NULL), "
+    "m AS (SELECT h, event_time, CASE WHEN lag(event_time) OVER (PARTITION BY h ORDER BY event_time) IS NULL "
+    "OR event_time - lag(event_time) OVER (PARTITION BY h ORDER BY event_time) >= INTERVAL 30 MINUTE "
+    "THEN 1 ELSE 0 END AS new_s FROM k), "
+    "n AS (SELECT h, event_time, sum(new_s) OVER (PARTITION BY h ORDER BY event_time "
+    "ROWS UNBOUNDED PRECEDING) AS sid FROM m), "
+    "s AS (SELECT h AS client_id_hash, min(event_time) AS session_start, "
+    "max(event_time) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events FROM n GROUP BY h, sid) "
+    f"SELECT * FROM s WHERE session_end <= (SELECT max(event_time) FROM outreach) - {_WM}", "outreach"))
+def stream_outreach_sessions(spark, sf_dir):
+    """Contact sessions on the outreach stream (native session windows); append
+    mode emits each session once the watermark has closed it."""
+    from haven.operators.outreach import outreach_sessions_stream
+    ctx = Ctx(spark, sf_dir)
+    root = job_dir(spark, "stream-sessions")
+    jobs.publish(jobs.to_messages(ctx.raw.outreach), f"{root}/landing")
+    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing"), C.OUTREACH, "outreach")
+    jobs.run_available_now(outreach_sessions_stream(parsed), f"{root}/out", f"{root}/_chk")
+    return spark.read.parquet(f"{root}/out")
