@@ -26,7 +26,11 @@ def _delete_partition(spark: SparkSession, table_path: str, part_col: str, value
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str, mode: str = "overwrite") -> None:
-    """Partitioned write, clustered so each partition gets few, sorted files."""
+    """Partitioned write, clustered so each partition gets few, sorted files.
+
+    ``overwrite`` replaces only the partitions present in ``df`` (dynamic
+    mode); a first load into a new path should pass ``errorifexists``, which
+    skips the staging that partition replacement needs."""
     (df.repartition(part_col).sortWithinPartitions(part_col)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(part_col).parquet(path))

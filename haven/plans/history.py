@@ -145,7 +145,8 @@ def incremental_fact(spark, sf_dir):
     f = Ctx(spark, sf_dir).fact
     cut = latest_value(f, "service_date") - dt.timedelta(days=CUT_DAYS)
     path = job_dir(spark, "fact-table")
-    upsert.write_partitioned(f.filter(F.col("service_date") < F.lit(cut)), path, "service_date")
+    upsert.write_partitioned(f.filter(F.col("service_date") < F.lit(cut)), path, "service_date",
+                             mode="errorifexists")
     table = spark.read.parquet(path)
     hwm = upsert.high_water_mark(table, "service_date")
     fixes = (table.filter((F.col("service_type") == "Meal")

@@ -59,7 +59,7 @@ def partition_overwrite_roundtrip(spark, sf_dir):
     the read-back equals the fact (no loss, no doubles)."""
     f = Ctx(spark, sf_dir).fact
     path = job_dir(spark, "fact-partitioned")
-    write_partitioned(f, path, "service_date")
+    write_partitioned(f, path, "service_date", mode="errorifexists")
     last = latest_value(f, "service_date")
     write_partitioned(f.filter(F.col("service_date") > F.lit(last - dt.timedelta(days=30))), path,
                       "service_date", mode="overwrite")
@@ -124,7 +124,7 @@ def partition_discovery(spark, sf_dir):
     table; MSCK REPAIR discovers the partitions."""
     ev = Ctx(spark, sf_dir).raw.bed_events.withColumn("ingest_date", F.to_date("event_time"))
     path = job_dir(spark, "landing-bed_events")
-    write_partitioned(ev, path, "ingest_date")
+    write_partitioned(ev, path, "ingest_date", mode="errorifexists")
     name = f"bed_events_landing_{uuid.uuid4().hex[:8]}"
     t = batch.register_partitioned_table(
         spark, name, path,
