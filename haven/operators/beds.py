@@ -97,10 +97,14 @@ def nearest(points: DataFrame, candidates: DataFrame, k: int = NEAREST_K,
     points: (pid, lat, lon); candidates: (cid, lat, lon, + payload columns).
     """
     payload = [c for c in candidates.columns if c not in ("cid", "lat", "lon")]
+    # the search loop runs several small jobs over the same inputs: cut their
+    # lineage once (reliable checkpoint in the shared folder) instead of
+    # recomputing bed availability and zone centres in every job
+    points = points.checkpoint()
     cands = candidates.select("cid", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
                               *payload,
                               grid_cell(F.col("lat"), cell_deg).alias("cell_lat"),
-                              grid_cell(F.col("lon"), cell_deg).alias("cell_lon"))
+                              grid_cell(F.col("lon"), cell_deg).alias("cell_lon")).checkpoint()
     # ring at which every candidate cell is within reach of every point cell
     cells = cands.select("cell_lat", "cell_lon").unionByName(points.select(
         grid_cell(F.col("lat"), cell_deg).alias("cell_lat"),
