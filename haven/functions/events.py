@@ -14,7 +14,3 @@ def first_present(*cols: str | Column) -> Column:
 def is_json_object(text: Column) -> Column:
     """True only for text that parses to a JSON object (not scalar, array or junk)."""
     return F.json_object_keys(text).isNotNull()
-
-
-def json_field(text: Column, field: str) -> Column:
-    return F.get_json_object(text, f"$.{field}")

@@ -41,10 +41,6 @@ def mask_for_role(col: str | Column, role: str) -> Column:
     return F.lit(None).cast("string")
 
 
-def drop_pii(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    return df.drop(*(C.PII_COLUMNS + (extra or [])))
-
-
 def hash_and_drop_client(df: DataFrame, col: str = "client_id", salt: str | None = None) -> DataFrame:
     """Hash + drop the id only where the schema carries it."""
     if col not in df.columns:

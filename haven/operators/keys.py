@@ -32,11 +32,6 @@ def last_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None)
     return _pick_row(df, keys, list(order or []), largest=True)
 
 
-def hash_key(*cols: str | Column) -> Column:
-    """Stable 64-bit content key (same input -> same key on every run)."""
-    return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
-
-
 def hex_key(hex_col: str | Column) -> Column:
     """Stable BIGINT key from the first 15 hex digits of a SHA-256 id."""
     c = F.col(hex_col) if isinstance(hex_col, str) else hex_col

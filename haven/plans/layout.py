@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from haven import contracts as C
+from haven.functions.dates import day_range
 from haven.operators import conform
 from haven.operators.metrics import latest_value
 from haven.operators.upsert import write_partitioned
@@ -92,9 +93,7 @@ def daily_extract(spark, sf_dir):
     src = (Ctx(spark, sf_dir).raw.bed_events.withColumnRenamed("event_time", "updated_at")
            .withColumn("client_id_hash", F.sha2("client_id", 256)).drop("client_id"))
     day = latest_value(src, "updated_at").date()
-    start = F.lit(dt.datetime(day.year, day.month, day.day)).cast("timestamp")
-    part = (src.filter((F.col("updated_at") >= start) & (F.col("updated_at") < start + F.expr("INTERVAL 1 DAY")))
-            .withColumn("extract_date", F.to_date("updated_at")))
+    part = src.filter(day_range("updated_at", day.isoformat())).withColumn("extract_date", F.to_date("updated_at"))
     path = job_dir(spark, "extract-bed_events")
     for _ in range(2):
         write_partitioned(part, path, "extract_date")

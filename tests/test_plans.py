@@ -6,6 +6,7 @@ import re
 
 import __spark_entry__ as E
 
+
 def test_gold_is_snake_case(spark, sf_dir):
     """M6: every gold table uses snake_case column names."""
     q = E.queries()
