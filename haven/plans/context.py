@@ -18,10 +18,13 @@ from haven.sources.layers import materialize
 
 
 class Ctx:
-    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.raw = Hmis(spark, sf_dir)
+        if materialized is None:
+            # a session can ask for whole lazy plans (e.g. to explain a query end to end)
+            materialized = spark.conf.get("haven.layers.materialize", "true").lower() != "false"
         self.materialized = materialized
 
     def _layer(self, name: str, build, tables: list[str], cluster_by: str | None = None) -> DataFrame:
