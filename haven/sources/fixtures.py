@@ -41,7 +41,7 @@ class Hmis:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, spread: bool = True) -> DataFrame:
         """A given table; spread over the cores when it arrives in fewer splits.
 
         A file with one row group scans in one task, and everything chained to
@@ -51,7 +51,7 @@ class Hmis:
         """
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        if name in SPREAD_TABLES and df.rdd.getNumPartitions() < cores:
+        if spread and name in SPREAD_TABLES and df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         return df
 
@@ -115,7 +115,7 @@ class Hmis:
     def services(self) -> DataFrame:
         """Services with their dedupe tie-break columns ``_tie1``, ``_tie2``."""
         li = self.table("lineitem")
-        o = self.table("orders").select("o_orderkey", "o_custkey")
+        o = self.table("orders", spread=False).select("o_orderkey", "o_custkey")  # the small, broadcast side
         k = F.col("l_orderkey")
         return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
             F.concat(padded("S", k, 9), F.col("l_linenumber").cast("string")).alias("ServiceID"),
