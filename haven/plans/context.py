@@ -17,14 +17,23 @@ from haven.sources.fixtures import Hmis
 from haven.sources.layers import materialize
 
 
+def _has_jvm(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jsc is not None
+    except Exception:
+        return False
+
+
 class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.raw = Hmis(spark, sf_dir)
         if materialized is None:
-            # a session can ask for whole lazy plans (e.g. to explain a query end to end)
-            materialized = spark.conf.get("haven.layers.materialize", "true").lower() != "false"
+            # a session can ask for whole lazy plans (e.g. to explain a query end to end);
+            # without JVM access (a remote session) layers cannot be published, so plans stay lazy
+            materialized = (spark.conf.get("haven.layers.materialize", "true").lower() != "false"
+                            and _has_jvm(spark))
         self.materialized = materialized
 
     def _layer(self, name: str, build, tables: list[str], cluster_by: str | None = None) -> DataFrame:

@@ -21,6 +21,11 @@ from haven import contracts as C
 SPREAD_TABLES = {"lineitem", "orders", "events", "customer"}
 
 
+def _splits(df: DataFrame) -> int:
+    """Number of scan splits (plans the scan; runs nothing)."""
+    return df.rdd.getNumPartitions()
+
+
 def pick(index: Column, values: list) -> Column:
     """values[index] as a JVM expression (0-based)."""
     return F.try_element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -50,8 +55,11 @@ class Hmis:
         cores and this is a no-op.
         """
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if spread and name in SPREAD_TABLES and df.rdd.getNumPartitions() < cores:
+        try:
+            cores = self.spark.sparkContext.defaultParallelism
+        except Exception:      # remote session: leave the scan as it is
+            return df
+        if spread and name in SPREAD_TABLES and _splits(df) < cores:
             df = df.repartition(cores)
         return df
 
