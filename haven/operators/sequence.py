@@ -71,7 +71,7 @@ def ordered_by_key(df: DataFrame, keys: list[str], order: list[str], *,
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = [F.lag(f"_sl_{o}").over(across).alias(f"_cl_{o}") for o in lag]
     carry_cols += [F.lead(f"_sf_{o}").over(across).alias(f"_cf_{o}") for o in lead]
-    carry_cols += [F.coalesce(F.sum(f"_ss_{o}").over(before), F.lit(0)).alias(f"_cs_{o}") for o in running_sum]
+    carry_cols += [F.sum(f"_ss_{o}").over(before).alias(f"_cs_{o}") for o in running_sum]
     if row_number:
         carry_cols.append(F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_cn"))
     carry_cols += [F.last(f"_sc_{c}", ignorenulls=True).over(before).alias(f"_cc_{c}") for c in ffill]
@@ -83,7 +83,10 @@ def ordered_by_key(df: DataFrame, keys: list[str], order: list[str], *,
     for o in lead:
         out = out.withColumn(o, F.when(F.col("_last"), F.col(f"_cf_{o}")).otherwise(F.col(o)))
     for o in running_sum:
-        out = out.withColumn(o, F.col(o) + F.col(f"_cs_{o}"))
+        # SUM ignores nulls: null only while every value so far is null
+        local, before_sum = F.col(o), F.col(f"_cs_{o}")
+        out = out.withColumn(o, F.when(local.isNull() & before_sum.isNull(), F.lit(None))
+                             .otherwise(F.coalesce(local, F.lit(0)) + F.coalesce(before_sum, F.lit(0))))
     if row_number:
         out = out.withColumn(row_number, (F.col(row_number) + F.col("_cn")).cast("bigint"))
     for c in ffill:
