@@ -48,7 +48,7 @@ def test_scd2_rules(spark):
     assert not [r for r in h if r.client_id_hash == "zz"]
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["HousingStatus", "ContactStatus"]),
                           st.sampled_from(["x", "y"]), st.integers(0, 30)), min_size=1, max_size=20),
        st.integers(1, 19))
