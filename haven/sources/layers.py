@@ -71,9 +71,32 @@ def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame],
             df = df.sortWithinPartitions(cluster_by)
         stage = job_dir(spark, f"stage-{name}")
         df.write.mode("errorifexists").parquet(stage)
-        fs, src = _fs(spark, stage)
-        _, dst = _fs(spark, final)
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(src, dst) and not _exists(spark, f"{final}/_SUCCESS"):
+        _publish(spark, stage, final)
+        if not _exists(spark, f"{final}/_SUCCESS"):
             raise RuntimeError(f"could not publish layer {name} at {final}")
     return spark.read.parquet(final)
+
+
+def _publish(spark: SparkSession, stage: str, final: str) -> None:
+    """Rename stage -> final, failing (not nesting) when final already exists.
+
+    ``FileContext.rename`` with ``Rename.NONE`` is an atomic create-if-absent:
+    when two builders race, exactly one wins and the other keeps its staging
+    copy, instead of being moved inside the winner's folder as a plain
+    ``FileSystem.rename`` onto an existing directory would do.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(stage), jvm.org.apache.hadoop.fs.Path(final)
+    fs = dst.getFileSystem(conf)
+    fs.mkdirs(dst.getParent())
+    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), conf)
+    rename_cls = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    opts = spark.sparkContext._gateway.new_array(rename_cls, 1)
+    opts[0] = rename_cls.NONE
+    try:
+        fc.rename(src, dst, opts)
+    except Exception as exc:
+        if "FileAlreadyExists" not in str(exc) and not fs.exists(dst):
+            raise
+        # another builder published first; the caller checks for its _SUCCESS
