@@ -116,7 +116,8 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches:
     per_doc = written(per_doc.withColumn("batch", batch_of.cast("int")), "line-docs")
     for b in range(batches):
         index.add(per_doc.filter(F.col("batch") == b))
-    common = index.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "max_doc")
+    # written, so that the join below stands on plain exchanges and a hot line's rows can be split
+    common = written(index.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "max_doc"), "line-common")
     gone = (lines.join(common, HASH).filter(~F.col("doc_id").eqNullSafe(F.col("max_doc")))
             .groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone")))
     # a bit per line up to the last dropped one, from the gaps between dropped positions
