@@ -10,10 +10,12 @@ element-wise maxima (mergeable), and equal registers signal similar sets
 Candidates: documents meet on bands of ``ROWS`` registers.  A band group is never
 paired off: members are linked to one changing leader per round, linked
 components drop out, and only members still in different components are
-compared in the last, complete round, in blocks of bounded size.  A candidate
-is dropped when its size ratio rules it out or when the joint likelihood of both
-sketches puts its similarity far below the threshold.  What remains is verified
-on whole shingle sets.
+compared in the last, complete round.  There a pair of a small group is a
+candidate row; a large group is compared inside tasks, block by block, on whole
+shingle sets (one matrix product per block pair gives every intersection), and
+only links come out.  A candidate row is dropped when its size ratio rules it
+out or when the joint likelihood of both sketches puts its similarity far below
+the threshold.  What remains is verified on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -35,8 +37,13 @@ BANDS = REGISTERS // ROWS
 BASE, RATE, TOP = 1.02, 20.0, 30_000
 #: Six standard deviations of the estimate below the threshold (0.75 with 192 registers).
 MARGIN = 0.19
-ROUNDS = 3
-BLOCK = 1024  # members of a band group compared with each other in one step
+ROUNDS = 2
+#: Band groups up to this size give candidate rows; larger ones are compared inside tasks.
+SMALL_GROUP = 24
+#: Members of a large group that one task holds on either side of a comparison.
+BLOCK = 512
+#: Shingles per step of the matrix product.
+CHUNK = 4096
 
 
 def shingle_set(text: str, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,47 +180,78 @@ def _verify(percent: int):
     return run
 
 
-def _cross_component(threshold: float):
-    """Pairs of one block pair of a band group whose components differ, each emitted
-    in the first band its members share."""
+def _grouped(batches: Iterator[pa.RecordBatch], key: list[str], rest: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Runs of equal keys in sorted batches."""
+    held, at = [], None
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in key + rest), strict=True):
+            if row[: len(key)] != at:
+                if held:
+                    yield at, held
+                held, at = [], row[: len(key)]
+            held.append(row[len(key):])
+    if held:
+        yield at, held
+
+
+def _small_groups(threshold: float):
+    """Likely pairs of a small group whose components differ, each in the first band its members share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if len(held) < 2:
-                return
-            band, bi, bj = key
-            node = np.array([r[0] for r in held])
-            comp, blk, n = (np.array([r[i] for r in held]) for i in (1, 2, 3))
-            regs = np.frombuffer(b"".join(r[4] for r in held), np.int16).reshape(-1, REGISTERS)
+        for (band,), held in _grouped(batches, ["band"], ["node", "comp", "n", "registers"]):
+            node, comp, n = (np.array([r[i] for r in held]) for i in range(3))
+            i, j = np.triu_indices(len(held), 1)
+            ok = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9)
+            i, j = i[ok], j[ok]
+            if not len(i):
+                continue
+            regs = np.frombuffer(b"".join(r[3] for r in held), np.int16).reshape(-1, REGISTERS)
             bands = band_hashes(regs)
-            left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
-            for i in left.tolist():
-                other = right[(comp[right] != comp[i]) & ((node[right] > node[i]) if bi == bj else True)]
-                if not len(other):
-                    continue
-                ok = np.minimum(n[other], n[i]) >= threshold * np.maximum(n[other], n[i]) - 1e-9
-                other = other[ok]
-                if not len(other):
-                    continue
-                equal = bands[other] == bands[i]
-                first = bands[i][np.argmax(equal, axis=1)]
-                ok = (first == np.uint64(band & 0xFFFFFFFFFFFFFFFF)) & likely(
-                    np.broadcast_to(regs[i], (len(other), REGISTERS)), regs[other], np.full(len(other), float(n[i])),
-                    n[other].astype(float), threshold - MARGIN)
-                other = other[ok]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.maximum(node[other], node[i])), pa.array(np.minimum(node[other], node[i]))], names=["u", "v"])
+            first = bands[i, np.argmax(bands[i] == bands[j], axis=1)]
+            ok = (signed(first) == band) & likely(regs[i], regs[j], n[i].astype(float), n[j].astype(float), threshold - MARGIN)
+            i, j = i[ok], j[ok]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[i], node[j])),
+                                                  pa.array(np.minimum(node[i], node[j]))], names=["u", "v"])
+    return run
 
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("band", "bi", "bj", "node", "comp", "blk", "n", "registers")), strict=True)
-            for band, bi, bj, *rest in rows:
-                if (band, bi, bj) != key:
-                    yield from flush()
-                    held, key = [], (band, bi, bj)
-                held.append(rest)
-        yield from flush()
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of hash sets."""
+    size = np.array([len(x) for x in left + right])
+    values, column = np.unique(np.concatenate(left + right), return_inverse=True)
+    shared = np.bincount(column, minlength=len(values)) > 1
+    place = np.cumsum(shared) - 1
+    row = np.repeat(np.arange(len(size)), size)[shared[column]]
+    column = place[column[shared[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(shared.sum()), CHUNK):
+        a, b = np.searchsorted(column, (lo, lo + CHUNK))
+        m = np.zeros((len(size), CHUNK), np.float32)
+        m[row[a:b], column[a:b] - lo] = 1
+        out += m[: len(left)] @ m[len(left):].T
+    return out
+
+
+def _large_groups(percent: int):
+    """Links of one block pair of a large group: one for each member and other component it reaches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, bi, bj), held in _grouped(batches, ["band", "bi", "bj"], ["node", "comp", "blk", "shingles"]):
+            left, right = ([(n, c, np.frombuffer(x, np.uint64)) for n, c, b, x in held if b == k] for k in (bi, bj))
+            if not left or not right:
+                continue
+            met = intersections([x for *_, x in left], [x for *_, x in right])
+            na, nb = (np.array([len(x) for *_, x in side]) for side in (left, right))
+            ca, cb = (np.array([c for _, c, _ in side]) for side in (left, right))
+            linked = (100 * met >= percent * (na[:, None] + nb[None, :] - met)) & (ca[:, None] != cb[None, :])
+            out = set()
+            for i in np.flatnonzero(linked.any(axis=1)).tolist():
+                at = np.flatnonzero(linked[i])
+                for j in at[np.unique(cb[at], return_index=True)[1]].tolist():
+                    out.add((max(left[i][0], right[j][0]), min(left[i][0], right[j][0])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out]), pa.array([v for _, v in out])], names=["u", "v"])
     return run
 
 
@@ -240,7 +278,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
                                                      "set1 long, set2 long, registers binary"), "sketches")
     usable = sketched.filter("n_shingles > 0 and doc_id is not null")
     # equal sets: linked to the smallest id that has the set, which alone goes on
-    one_set = (usable.groupBy("set1", "set2", "n_shingles").agg(F.min(F.col("doc_id").cast("long")).alias("node")))
+    one_set = written(usable.groupBy("set1", "set2", "n_shingles").agg(F.min(F.col("doc_id").cast("long")).alias("node")),
+                      "sketch-one")
     copies = (usable.join(one_set, ["set1", "set2", "n_shingles"]).filter("doc_id <> node")
               .select(F.col("doc_id").cast("long").alias("u"), F.col("node").alias("v")).distinct())
     heads = (one_set.join(usable.select(F.col("doc_id").cast("long").alias("node"), "set1", "set2", "n_shingles", "registers",
@@ -287,15 +326,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
 
     # the complete round: whatever still lies in different components of one group
     open_ = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    rest = labelled.join(open_, "band").join(sk, "node")
+    rest = written(labelled.join(open_, "band"), "sketch-open")
+    small = (rest.filter(F.col("members") <= SMALL_GROUP).join(sk, "node").select("band", "node", "comp", "n", "registers")
+             .repartition("band").sortWithinPartitions("band").mapInArrow(_small_groups(threshold), "u long, v long").distinct())
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = rest.withColumn("blk", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
-    spread = (rest.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-              .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")))
-    pairs = (spread.select("band", "bi", "bj", "node", "comp", "blk", "n", "registers")
-             .repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
-             .mapInArrow(_cross_component(threshold), "u long, v long").distinct())
-    found = verified(pairs)
+    large = rest.filter(F.col("members") > SMALL_GROUP).withColumn(
+        "blk", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
+    spread = (large.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+              .select("band", "node", "comp", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj")))
+    inside = (spread.join(sets, "node").repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
+              .mapInArrow(_large_groups(percent), "u long, v long").distinct())
+    found = verified(small).unionByName(inside)
     links = written(links.unionByName(found), "sketch-final-links")
     comps = components(links)
     out = sketched.select("doc_id", "n_shingles").join(comps, F.col("doc_id") == F.col("node"), "left")

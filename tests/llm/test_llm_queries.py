@@ -317,9 +317,9 @@ def test_near_dedup_equals_brute_force(spark, sf_dir, texts):
     assert got == brute_components(texts)
 
 
-def test_near_dedup_groups_around_the_threshold(spark):
+def test_near_dedup_groups_around_the_threshold(spark, monkeypatch):
     """Families whose members lie just above and below the threshold of one another."""
-    from haven.llm.setsketch import near_duplicates
+    from haven.llm import setsketch
     r = random.Random(8)
     docs, n = {}, 0
     for size, edits, copies in ((60, 2, 40), (120, 5, 60), (30, 1, 40), (300, 10, 40)):
@@ -332,8 +332,11 @@ def test_near_dedup_groups_around_the_threshold(spark):
             n += 1
     docs |= {5000: None, 5001: "", 5002: " \t\n", 5003: "One two", 5004: "one TWO", 5005: "one two three"}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
-    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(df).collect()}
-    assert got == brute_components(docs)
+    want = brute_components(docs)
+    monkeypatch.setattr(setsketch, "BLOCK", 16)
+    for small in (24, 1, 10_000):  # pairs of large groups inside tasks, all groups so, and none
+        monkeypatch.setattr(setsketch, "SMALL_GROUP", small)
+        assert {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in setsketch.near_duplicates(df).collect()} == want
 
 
 def test_sketches_estimate_and_merge():
