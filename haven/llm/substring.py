@@ -13,8 +13,8 @@ each is extended both ways: the ``min_words`` windows around the shared anchor
 Overlapping repeated windows merge into maximal repeats.
 
 Work is linear in occurrences: no pairs inside a group, and hot anchors are
-combined map-side before each shuffle.  Contexts and windows are named by 128
-bits of hash over 64-bit word hashes.
+combined map-side before each shuffle.  Windows are named by 128 bits of hash,
+contexts by 64 bits within their anchor's group.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from haven.llm.common import ROLL_A, ROLL_B, document_rows, same_row, signed, word_hashes, written
 
-ANCHOR = "ah long, c1 long, c2 long, n_win int, doc_id {id}, th long, s0 int"
+ANCHOR = "ah long, c1 long, n_win int, doc_id {id}, th long, s0 int"
 GRAM = 12  # words per seed; a window of min_words holds min_words - GRAM + 1 of them
 
 
@@ -45,35 +45,35 @@ def rightmost_argmin(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors_of(hashes: np.ndarray, min_words: int, gram: int):
-    """(anchor hash, first window, number of windows, two context hashes) arrays."""
+    """(anchor hash, first window, number of windows, context hash) arrays."""
     n = len(hashes)
-    pa_, pb = ROLL_A.prefix(hashes), ROLL_B.prefix(hashes)
+    pa_ = ROLL_A.prefix(hashes)
     at = np.arange(n - gram + 1)
     grams = ROLL_A.ranges(pa_, at, at + gram)
     chosen = rightmost_argmin(grams, min_words - gram + 1)
     first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
     count = np.diff(np.r_[first, len(chosen)])
     end = first + count - 1 + min_words
-    return grams[chosen[first]], first, count, ROLL_A.ranges(pa_, first, end), ROLL_B.ranges(pb, first, end)
+    return grams[chosen[first]], first, count, ROLL_B.ranges(ROLL_B.prefix(hashes), first, end)
 
 
 def _anchors(min_words: int, gram: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[] for _ in range(7)]
+            cols: list[list] = [[] for _ in range(5)]
             for i, text in enumerate(batch.column("text").to_pylist()):
                 words = text.encode().split()
                 if len(words) < min_words:
                     continue
-                ah, first, count, c1, c2 = anchors_of(word_hashes(words), min_words, gram)
-                for c, v in zip(cols, (signed(ah), signed(c1), signed(c2), count.astype(np.int32),
-                                       np.full(len(ah), i, np.int32), first.astype(np.int32)), strict=False):
+                ah, first, count, c1 = anchors_of(word_hashes(words), min_words, gram)
+                for c, v in zip(cols, (signed(ah), signed(c1), count.astype(np.int32),
+                                       np.full(len(ah), i, np.int32), first.astype(np.int32)), strict=True):
                     c.append(v)
             if cols[0]:
-                ah, c1, c2, count, row, first = (np.concatenate(c) for c in cols[:6])
+                ah, c1, count, row, first = (np.concatenate(c) for c in cols)
                 row = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ah), pa.array(c1), pa.array(c2), pa.array(count),
+                    [pa.array(ah), pa.array(c1), pa.array(count),
                      batch.column("doc_id").take(row), batch.column("th").take(row), pa.array(first)], schema=schema)
     return run
 
@@ -81,7 +81,7 @@ def _anchors(min_words: int, gram: int, schema: pa.Schema):
 def _windows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(6)]
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 hashes = word_hashes(text.encode().split())
                 pa_, pb = ROLL_A.prefix(hashes), ROLL_B.prefix(hashes)
@@ -92,12 +92,12 @@ def _windows(min_words: int):
                 for c, v in zip(out, (signed(ROLL_A.ranges(pa_, at, at + min_words)),
                                       signed(ROLL_B.ranges(pb, at, at + min_words)),
                                       *(np.repeat(np.array([s[k] for s in spans], np.int64), n)
-                                        for k in ("ah", "c1", "c2")),
+                                        for k in ("ah", "c1")),
                                       np.repeat(n, n).astype(np.int32), off.astype(np.int32)), strict=True):
                     c.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=[
-                    "w1", "w2", "ah", "c1", "c2", "n_win", "off"])
+                    "w1", "w2", "ah", "c1", "n_win", "off"])
     return run
 
 
@@ -136,11 +136,12 @@ def repeated_spans(rows: DataFrame, min_words: int = 35, gram: int | None = None
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     anchors = rows.mapInArrow(_anchors(min_words, gram, arrow), schema)
     # seeds: anchors found more than once (counts combine map-side)
-    shared = anchors.groupBy("ah").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("ah")
+    # (written, so that the join stands on plain exchanges and a hot anchor's rows can be split)
+    shared = written(anchors.groupBy("ah").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("ah"), "substring-shared")
     seeds = written(anchors.join(shared, "ah", "left_semi"), "substring-seeds")
 
     # one row per distinct context of an anchor
-    ctx = ["ah", "c1", "c2", "n_win"]
+    ctx = ["ah", "c1", "n_win"]
     contexts = seeds.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"),
                                        F.min(F.struct("doc_id", "th", "s0")).alias("at"))
     several = contexts.groupBy("ah").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("ah")
@@ -148,15 +149,15 @@ def repeated_spans(rows: DataFrame, min_words: int = 35, gram: int | None = None
     per_doc = (reps.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.th").alias("th"))
                .agg(F.collect_list(F.struct(*ctx, F.col("at.s0").alias("s0"))).alias("spans")))
     texts = rows.join(per_doc, same_row(rows, per_doc)).select(rows["text"], per_doc["spans"])
-    windows = written(texts.mapInArrow(_windows(min_words), "w1 long, w2 long, ah long, c1 long, c2 long, n_win int, off int")
+    windows = written(texts.mapInArrow(_windows(min_words), "w1 long, w2 long, ah long, c1 long, n_win int, off int")
                       .distinct(), "substring-windows")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
     extended = (windows.join(twice, ["w1", "w2"], "left_semi")
                 .select(*ctx, F.col("off").alias("lo"), (F.col("off") + 1).alias("hi")))
     whole = contexts.filter("n > 1").select(*ctx, F.lit(0).alias("lo"), F.col("n_win").alias("hi"))
     # neighbouring repeated windows of one context as ranges, at most n_win of them
-    found = (whole.unionByName(extended).groupBy(*ctx)
-             .agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("offs")))
+    found = written(whole.unionByName(extended).groupBy(*ctx)
+                    .agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("offs")), "substring-found")
     marks = (seeds.join(found, ctx)
              .select("doc_id", "th", F.explode("offs").alias("o"), "s0")
              .select("doc_id", "th", F.struct((F.col("s0") + F.col("o.lo")).alias("a"),
