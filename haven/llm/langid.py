@@ -49,6 +49,8 @@ class Vocabulary:
         h = np.array([self._hash(p) for p in self.pieces], np.uint64)
         order = np.argsort(h)
         self.sorted, self.order = h[order], order.astype(np.int32)
+        self.present = np.zeros(1 << 20, bool)  # by the top bits: most substrings are no piece
+        self.present[self.sorted >> np.uint64(44)] = True
         if len(np.unique(h)) != len(h):
             raise ValueError("piece hashes collide")
 
@@ -77,8 +79,13 @@ class Vocabulary:
             for i, h in enumerate(hashes):
                 length = len(hashes) - i
                 x = h ^ np.uint64(length)
-                at = np.minimum(np.searchsorted(self.sorted, x), len(self.sorted) - 1)
-                yield end, length, np.where(self.sorted[at] == x, self.order[at], -1)
+                ids = np.full(len(x), -1, np.int32)
+                maybe = np.flatnonzero(self.present[x >> np.uint64(44)])
+                if len(maybe):
+                    y = x[maybe]
+                    at = np.minimum(np.searchsorted(self.sorted, y), len(self.sorted) - 1)
+                    ids[maybe] = np.where(self.sorted[at] == y, self.order[at], -1)
+                yield end, length, ids
 
 
 class LanguageModel:
@@ -104,10 +111,11 @@ class LanguageModel:
             for end, length, ids in self.vocabulary.spans([words[i] for i in at]):
                 if len(alpha) <= end:
                     alpha.append(np.zeros_like(alpha[0]))
-                hit = ids >= 0
                 if length == 1:
-                    alpha[end] += alpha[end - 1] * np.where(hit[:, None], self.p[ids], UNKNOWN_CHAR)
-                elif hit.any():
+                    alpha[end] += alpha[end - 1] * np.where((ids >= 0)[:, None], self.p[ids], UNKNOWN_CHAR)
+                    continue
+                hit = np.flatnonzero(ids >= 0)
+                if len(hit):
                     alpha[end][hit] += alpha[end - length][hit] * self.p[ids[hit]]
             out[at] = np.log(alpha[n])
         return out
@@ -230,7 +238,7 @@ def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds:
 
 
 def predict(docs: DataFrame, model: LanguageModel, model_path: str, carry: list[str] | None = None,
-            memory: int = 200_000) -> DataFrame:
+            memory: int = 400_000) -> DataFrame:
     """Per document row: doc_id, lang_pred, score (posterior with equal priors),
     after the input columns ``carry``.  Only the text decides.
 
@@ -249,8 +257,8 @@ def predict(docs: DataFrame, model: LanguageModel, model_path: str, carry: list[
         for batch in batches:
             texts = batch.column("text").to_pylist()
             pred, score = [], []
-            for lo in range(0, len(texts), 200):
-                words = [split_words(t) if t is not None and languages and LETTER.search(t) else None for t in texts[lo: lo + 200]]
+            for lo in range(0, len(texts), 2000):  # enough new words at once for wide numpy steps
+                words = [split_words(t) if t is not None and languages and LETTER.search(t) else None for t in texts[lo: lo + 2000]]
                 fresh = list({w for ws in words if ws for w in ws if w not in young})
                 if len(young) + len(fresh) > memory:  # bounded: start anew
                     young.clear()
