@@ -99,10 +99,13 @@ GENDERS = ["Female", "Male", "Trans Female", "Trans Male", "Gender non-conformin
 RACES = ["AmIndAKNative", "Asian", "BlackAfAmerican", "NativeHIPacific", "White",
          "Multiracial"]
 ETHNICITIES = ["Hispanic/Latino", "Non-Hispanic"]
-DESTINATIONS = ["Permanent housing", "Rental with subsidy", "Emergency shelter",
-                "Other/unknown", "Transitional housing"]
-LIVING_SITUATIONS = ["Place not meant for habitation", "Emergency shelter",
-                     "Staying with family", "Jail/prison"]
+DESTINATIONS = ["Permanent housing", "Rental by client (no subsidy)", "Rental with subsidy",
+                "Staying with family (permanent)", "Hotel/motel (no voucher)", "Emergency shelter",
+                "Transitional housing", "Place not meant for habitation", "Deceased", "Other/unknown"]
+LIVING_SITUATIONS = ["Place not meant for habitation", "Emergency shelter", "Safe Haven",
+                     "Transitional housing", "Hospital", "Jail/prison", "Substance abuse facility",
+                     "Psychiatric facility", "Hotel/motel (no voucher)", "Foster care",
+                     "Staying with family", "Staying with friends", "Rental by client", "Owned by client"]
 RELATIONSHIPS = ["Self", "Child", "Spouse", "Other"]
 SERVICE_TYPES = ["Bed-night", "Meal", "Case management", "Clinic visit",
                  "Transportation", "Hygiene kit", "Mental health session",
@@ -110,14 +113,15 @@ SERVICE_TYPES = ["Bed-night", "Meal", "Case management", "Clinic visit",
 TARGET_POPULATIONS = ["All", "Domestic violence", "Veterans", "Youth",
                       "Families with children"]
 BED_EVENT_TYPES = ["CHECKIN", "CHECKOUT"]
-ENCOUNTER_TYPES = ["NEW_CONTACT", "REPEAT_CONTACT"]
+ENCOUNTER_TYPES = ["NEW_CONTACT", "REPEAT_CONTACT", "REFERRAL_OFFERED", "REFERRAL_ACCEPTED"]
 CASE_FIELDS = ["DisablingCondition", "HousingStatus", "IncomeAmount", "ContactStatus"]
 CASE_OPS = ["c", "u"]
 NEEDS_SETS = ['["food"]', '["medical","water"]', '["housing","hygiene","food"]']
 CASE_VALUES = ["1", "0", "stable", "engaged", "lost_contact"]
 
 # Destinations that count as a permanent exit.
-PERMANENT_DESTINATIONS = ["Permanent housing", "Rental with subsidy"]
+PERMANENT_DESTINATIONS = ["Permanent housing", "Rental by client (no subsidy)", "Rental with subsidy",
+                          "Staying with family (permanent)"]
 
 # Raw personal data that must never leave bronze.
 PII_COLUMNS = ["FirstName", "LastName", "SSN", "DOB", "PersonalEmail"]

@@ -22,11 +22,11 @@ def hash_id(col: str | Column, salt: str | None = None) -> Column:
 
 
 def name_hash(first: str | Column, last: str | Column, salt: str | None = None) -> Column:
-    """Hash of first + last name; null only when both parts are null."""
+    """Hash of first and last name joined by a space; null only when both parts are null."""
     f = F.col(first) if isinstance(first, str) else first
     la = F.col(last) if isinstance(last, str) else last
     return F.when(f.isNull() & la.isNull(), F.lit(None).cast("string")).otherwise(
-        hash_id(F.concat_ws("", f, la), salt))
+        hash_id(F.concat_ws(" ", f, la), salt))
 
 
 def mask_for_role(col: str | Column, role: str) -> Column:

@@ -38,28 +38,27 @@ def hex_key(hex_col: str | Column) -> Column:
     return F.conv(F.substring(c, 1, 15), 16, 10).cast("bigint")
 
 
-def dense_key(df: DataFrame, order: list[str], name: str, single_task_rows: int = 200_000) -> DataFrame:
+def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """0..n-1 in natural-key order (ties broken by the rest of the row).
 
-    Up to ``single_task_rows`` rows (proven by a bounded count) one ordering
-    window numbers them.  Beyond that the rows are range-partitioned on the
-    key, numbered within each range, and shifted by the sizes of the earlier
-    ranges — the per-range counts are one row per partition.
+    The rows are range-partitioned on the key and written once with the number
+    of their range.  Everything after reads that one table: rows are numbered
+    within each range and shifted by the sizes of the earlier ranges (one row
+    per range), so sampled range bounds cannot differ between steps and no task
+    holds more than a range.
     """
     from pyspark.sql import Window
 
-    from haven.operators.joins import row_count_at_most
-    if row_count_at_most(df, single_task_rows):
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1)
-    sizes = sorted((r[0], r[1]) for r in ranged.groupBy("_range").count().collect())
-    starts, total = [], 0
-    for rng, n in sizes:
-        starts.append((rng, total))
-        total += n
-    offsets = df.sparkSession.createDataFrame(starts, "_range int, _start bigint")
-    return (local.join(F.broadcast(offsets), "_range")
-            .withColumn(name, (F.col("_start") + F.col("_local")).cast("bigint"))
-            .drop("_range", "_local", "_start"))
+    from haven.session import job_dir
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = job_dir(spark, "dense-key")
+    df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    rest = [c for c in df.columns if c not in order]
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_range").orderBy(*order, *rest)) - 1)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per range: bounded by the number of shuffle partitions
+    starts = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
+    return (local.join(starts, "_range").withColumn(name, (F.col("_start") + F.col("_local")).cast("bigint"))
+            .select(*df.columns, name))

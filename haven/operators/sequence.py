@@ -16,6 +16,9 @@ order within a key and ``order[0]`` its time column.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,9 +78,10 @@ def ordered_by_key(df: DataFrame, keys: list[str], order: list[str], *,
     if row_number:
         carry_cols.append(F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_cn"))
     carry_cols += [F.last(f"_sc_{c}", ignorenulls=True).over(before).alias(f"_cc_{c}") for c in ffill]
-    carry = summary.select(*keys, _B, *carry_cols)
-
-    out = d.join(carry, [*keys, _B], "left")
+    at = [*keys, _B]  # null keys and times are keys and times like others
+    carry = summary.select(*[F.col(c).alias(f"_ck_{c}") for c in at], *carry_cols)
+    same = reduce(and_, [d[c].eqNullSafe(carry[f"_ck_{c}"]) for c in at])
+    out = d.join(carry, same, "left").drop(*[f"_ck_{c}" for c in at])
     for o in lag:
         out = out.withColumn(o, F.when(F.col("_first"), F.col(f"_cl_{o}")).otherwise(F.col(o)))
     for o in lead:

@@ -21,6 +21,7 @@ from haven.session import job_dir
 def _delete_partition(spark: SparkSession, table_path: str, part_col: str, value) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    value = "__HIVE_DEFAULT_PARTITION__" if value is None else value
     path = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{part_col}={value}")
     path.getFileSystem(conf).delete(path, True)
 
@@ -31,7 +32,8 @@ def write_partitioned(df: DataFrame, path: str, part_col: str, mode: str = "over
     ``overwrite`` replaces only the partitions present in ``df`` (dynamic
     mode); a first load into a new path should pass ``errorifexists``, which
     skips the staging that partition replacement needs."""
-    (df.repartition(part_col).sortWithinPartitions(part_col)
+    # rebalanced, not repartitioned: adaptive execution splits a large date over several tasks
+    (df.hint("rebalance", part_col).sortWithinPartitions(part_col)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(part_col).parquet(path))
 
@@ -51,10 +53,14 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
     # touched partition values (bounded by the table's partition count) become
     # a static partition filter: untouched partitions are never read
     old_parts = target.join(keys, key, "left_semi").select(part_col).distinct()
-    touched = sorted({r[0] for r in old_parts.unionByName(batch.select(part_col)).distinct().collect()})
+    touched = [r[0] for r in old_parts.unionByName(batch.select(part_col)).distinct().collect()]
     if not touched:
         return {"touched_partitions": 0, "emptied_partitions": 0}
-    kept = target.filter(F.col(part_col).isin(touched)).join(keys, key, "left_anti")
+    dates = [t for t in touched if t is not None]
+    within = F.col(part_col).isin(dates)
+    if len(dates) < len(touched):  # rows without a date have a partition of their own
+        within = within | F.col(part_col).isNull()
+    kept = target.filter(within).join(keys, key, "left_anti")
     content = kept.unionByName(batch.select(*target.columns))
     # partitions left with no rows (every row moved away): dynamic overwrite
     # would not touch them, so they are removed explicitly

@@ -57,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         base = tempfile.mkdtemp(prefix="haven-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():

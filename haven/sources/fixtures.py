@@ -21,6 +21,11 @@ from haven import contracts as C
 SPREAD_TABLES = {"lineitem", "orders", "events", "customer"}
 
 
+# The codes the mapped tables use, out of the published lists.
+EXITS = ["Permanent housing", "Rental with subsidy", "Emergency shelter", "Other/unknown", "Transitional housing"]
+LIVED = ["Place not meant for habitation", "Emergency shelter", "Staying with family", "Jail/prison"]
+
+
 def _splits(df: DataFrame) -> int:
     """Number of scan splits (plans the scan; runs nothing)."""
     return df.rdd.getNumPartitions()
@@ -109,12 +114,12 @@ class Hmis:
             entry.alias("EntryDate"),
             F.when(status != "O", F.date_add(entry, (1 + k % 180).cast("int"))).alias("ExitDate"),
             F.when(status == "O", F.lit(None).cast("string"))
-             .when(prio == "1-URGENT", C.DESTINATIONS[0])
-             .when(prio == "2-HIGH", C.DESTINATIONS[1])
-             .when(prio == "3-MEDIUM", C.DESTINATIONS[2])
-             .when(prio == "4-NOT SPECIFIED", C.DESTINATIONS[3])
-             .otherwise(C.DESTINATIONS[4]).alias("Destination"),
-            pick(k % 4, C.LIVING_SITUATIONS).alias("LivingSituation"),
+             .when(prio == "1-URGENT", EXITS[0])
+             .when(prio == "2-HIGH", EXITS[1])
+             .when(prio == "3-MEDIUM", EXITS[2])
+             .when(prio == "4-NOT SPECIFIED", EXITS[3])
+             .otherwise(EXITS[4]).alias("Destination"),
+            pick(k % 4, LIVED).alias("LivingSituation"),
             pick(k % 4, C.RELATIONSHIPS).alias("RelationshipToHoH"),
             F.when(k % 10 < 4, 1).otherwise(0).alias("DisablingCondition"),
         )

@@ -23,7 +23,7 @@ from haven.session import job_dir, shared_dir
 
 _CODE_FILES = ["sources/fixtures.py", "operators/conform.py", "operators/star.py", "operators/keys.py",
                "operators/joins.py", "operators/history.py", "operators/sequence.py",
-               "functions/privacy.py", "functions/dates.py", "contracts.py"]
+               "functions/privacy.py", "functions/dates.py", "contracts.py", "plans/context.py"]
 
 
 def _code_version() -> str:
@@ -45,12 +45,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Identity of the inputs (path, size, modification time) plus our code."""
+    """Identity of the inputs (every file's path, size and modification time) plus our code."""
     h = hashlib.sha256(CODE_VERSION.encode())
     for path in sorted(paths):
         fs, p = _fs(spark, path)
-        st = fs.getFileStatus(p)
-        h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
+        # a folder's own time says nothing about its files (and object stores keep none)
+        files, found = fs.listFiles(p, True), []
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join([path, *sorted(found)]).encode())
     return h.hexdigest()[:16]
 
 

@@ -99,3 +99,23 @@ def test_missing_layer_reads_as_empty_contract(spark, scratch):
     assert df.count() == 0 and df.columns == [f.name for f in C.OUTREACH.fields]
     spark.range(1).select(F.lit("OE-1").alias("event_id")).write.parquet(f"{scratch}/there")
     assert batch.read_or_empty(spark, f"{scratch}/there", C.OUTREACH).count() == 1
+
+
+def test_upsert_accepts_rows_without_a_date(spark, scratch):
+    from haven.operators.upsert import upsert, write_partitioned
+    rows = [("a", 1, "2024-01-01"), ("b", 2, None), ("c", 3, "2024-01-02")]
+    schema = "k string, v int, d string"
+    write_partitioned(spark.createDataFrame(rows, schema), scratch, "d", mode="errorifexists")
+    upsert(spark, scratch, spark.createDataFrame([("a", 9, None), ("b", 8, "2024-01-02")], schema), "k", "d")
+    got = {r.k: (r.v, str(r.d) if r.d else None) for r in spark.read.parquet(scratch).collect()}
+    assert got == {"a": (9, None), "b": (8, "2024-01-02"), "c": (3, "2024-01-02")}
+
+
+def test_fingerprint_sees_a_file_change_inside_a_folder(spark, scratch):
+    import os
+    from haven.sources.layers import fingerprint
+    spark.range(5).write.parquet(scratch)
+    before = fingerprint(spark, [scratch])
+    part = next(os.path.join(scratch, f) for f in os.listdir(scratch) if f.endswith(".parquet"))
+    os.utime(part, (1, 1))
+    assert fingerprint(spark, [scratch]) != before

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.functions.events import first_present
+from haven.functions import privacy
 from haven.functions.privacy import hash_id
 from haven.operators import conform, governance, keys, quality, star
 from haven.operators.envelope import split_dead_letters
@@ -36,7 +37,7 @@ def test_name_hash_uses_first_and_last(spark):
             ("C2", None, None, "2", None, "Male", "White", "Non-Hispanic", 1, None)]
     out = {r.ClientID_hash: r for r in conform.conform_clients(_clients(spark, rows)).collect()}
     c1 = out[hashlib.sha256(b"C1").hexdigest()]
-    assert c1.Name_hash == hashlib.sha256(b"AnnLee").hexdigest()
+    assert c1.Name_hash == hashlib.sha256(b"Ann Lee").hexdigest()
     assert c1.YearOfBirth == 1980
     c2 = out[hashlib.sha256(b"C2").hexdigest()]
     assert c2.Name_hash is None and c2.YearOfBirth is None
@@ -173,12 +174,26 @@ def test_event_type_falls_back_on_empty_string(spark):
     assert got == ["NEW_CONTACT", "CHECKIN", None]
 
 
-def test_dense_key_distributed_equals_single_task(spark):
-    """Beyond the row bound, dense keys come from range partitions + offsets."""
-    df = spark.range(3000).select((F.col("id") * 7919 % 3000).cast("string").alias("k"))
-    one = {r.k: r.key for r in keys.dense_key(df, ["k"], "key").collect()}
-    many = {r.k: r.key for r in keys.dense_key(df, ["k"], "key", single_task_rows=50).collect()}
-    assert one == many and sorted(many.values()) == list(range(3000))
+def test_dense_key_is_dense_at_any_size(spark):
+    """Exactly 0..n-1 in key order, twice over, well past any sampling size."""
+    n = 400_000
+    df = spark.range(0, n, 1, 8).select(F.format_string("%08d", F.col("id") * 7919 % n).alias("k"))
+    for _ in range(2):
+        out = keys.dense_key(df, ["k"], "key")
+        got = out.agg(F.count(F.lit(1)), F.countDistinct("key"), F.min("key"), F.max("key"),
+                      F.sum((F.col("k").cast("long") != F.col("key")).cast("int"))).first()
+        assert tuple(got) == (n, n, 0, n - 1, 0)
+
+
+def test_published_code_lists_are_whole():
+    assert (len(C.DESTINATIONS), len(C.LIVING_SITUATIONS), len(C.ENCOUNTER_TYPES)) == (10, 14, 4)
+    assert set(C.PERMANENT_DESTINATIONS) < set(C.DESTINATIONS) and len(C.PERMANENT_DESTINATIONS) == 4
+
+
+def test_name_hash_keeps_the_names_apart(spark):
+    df = spark.createDataFrame([("Ann", "Alee"), ("Anna", "lee"), (None, None)], "a string, b string")
+    got = [r.h for r in df.select(privacy.name_hash("a", "b").alias("h")).collect()]
+    assert got[0] != got[1] and got[2] is None
 
 
 @settings(max_examples=10, deadline=None)

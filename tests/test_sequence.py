@@ -36,3 +36,15 @@ def test_bucketed_equals_plain_window(spark, rows):
                      F.sum("v").over(run).alias("cum"))
     cols = ["k", "t", "v", "lag_v", "lead_t", "f", "rn", "cum"]
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_null_keys_and_times_equal_the_plain_window(spark):
+    from pyspark.sql import Window
+    rows = [(k, t, i) for i, (k, t) in enumerate(
+        [(None, "2024-01-01 00:00:00"), (None, "2024-01-02 00:00:00"), (None, None), ("a", None), ("a", "2024-01-01 05:00:00"),
+         ("a", "2024-01-03 05:00:00")])]
+    df = spark.createDataFrame(rows, "k string, t string, v long").withColumn("t", F.col("t").cast("timestamp"))
+    w = Window.partitionBy("k").orderBy("t")
+    want = df.select("v", F.lag("v").over(w).alias("l"), F.row_number().over(w).alias("n")).collect()
+    got = ordered_by_key(df, ["k"], ["t"], lag={"l": "v"}, row_number="n").select("v", "l", "n").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
