@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.functions.geo import grid_cell
-from haven.operators.joins import bounded
 
 DISPARITY_LOW = 0.8
 DISPARITY_HIGH = 1.25
@@ -38,7 +37,7 @@ def apr_entries_exits(enrollments: DataFrame) -> DataFrame:
 
 
 def with_project_type(enrollments: DataFrame, projects: DataFrame) -> DataFrame:
-    p = bounded(projects.select("ProjectID", F.col("ProjectType").alias("project_type")))
+    p = projects.select("ProjectID", F.col("ProjectType").alias("project_type"))
     return enrollments.join(p, "ProjectID", "left")
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.functions.privacy import mask_for_role
-from haven.operators.joins import bounded
 
 
 def mask(df: DataFrame, role: str, col: str = "client_id_hash") -> DataFrame:
@@ -28,7 +27,7 @@ def scope(df: DataFrame, grants: DataFrame, user: str, role: str,
         return df
     mine = (grants.filter(F.col("user_name") == F.lit(user))
             .select(F.col("project_id").alias(project_col)).distinct())
-    return df.join(bounded(mine), project_col, "left_semi")
+    return df.join(mine, project_col, "left_semi")
 
 
 def secure_view(df: DataFrame, grants: DataFrame, user: str, role: str) -> DataFrame:

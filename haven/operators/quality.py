@@ -155,6 +155,16 @@ def reconcile_counts(table: str, bronze: DataFrame, key: str, silver: DataFrame,
             .withColumn("status", F.when(F.col("drift") <= tolerance, "OK").otherwise("FAIL")))
 
 
+def silver_gate(table: str, bronze: DataFrame, key: str, silver: DataFrame) -> DataFrame:
+    """(rule, status) of a silver table about to be published: its rows against
+    the distinct keys of its input, and personal data in any string column."""
+    counts = reconcile_counts(table, bronze, key, silver).select(F.lit("reconcile counts").alias("rule"), "status")
+    leaks = pii_scan(silver, table).select(
+        F.concat(F.lit("personal data in "), F.col("column_name")).alias("rule"),
+        F.when(F.col("forbidden_name") | (F.col("n_raw_pii") > 0), "FAIL").otherwise("OK").alias("status"))
+    return counts.unionByName(leaks)
+
+
 def checksum(df: DataFrame, side: str) -> DataFrame:
     """Order-free content checksum of a fact copy."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haven.functions.dates import date_key
-from haven.operators.joins import LOOKUP_ROWS, bounded
 from haven.operators.keys import dense_key, hex_key
 
 
@@ -18,7 +17,7 @@ def fact_service_event(services: DataFrame, enrollments: DataFrame,
     project keeps its id (with a NULL type) and shows up in the FK check.
     """
     e = enrollments.select("EnrollmentID", "ProjectID")
-    p = bounded(projects.select("ProjectID", "ProjectType"))
+    p = projects.select("ProjectID", "ProjectType")
     return (services.join(e, "EnrollmentID", "inner")
             .join(p, "ProjectID", "left")
             .select(F.col("ServiceID").alias("service_id"),
@@ -34,8 +33,7 @@ def fact_service_event(services: DataFrame, enrollments: DataFrame,
 
 def dim_project(projects: DataFrame, project_types: DataFrame) -> DataFrame:
     """Projects with type description and a dense key in ProjectID order."""
-    types = bounded(project_types, LOOKUP_ROWS)
-    d = (projects.join(types, "ProjectType", "left")
+    d = (projects.join(project_types, "ProjectType", "left")
          .select(F.col("ProjectID").alias("project_id"),
                  F.col("ProjectName").alias("project_name"),
                  F.col("ProjectType").alias("project_type"),

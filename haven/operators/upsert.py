@@ -1,12 +1,16 @@
 """Keyed upsert into a date-partitioned Parquet table (no MERGE on Parquet).
 
 Only *touched* partitions are rewritten: the partitions that held an old
-version of a changed key plus the partitions of the new rows.  Their new
-content is written with dynamic partition overwrite, which stages the new
-files and swaps each touched partition only at job commit — after every task
-has finished reading the old files — so the table is never half-written and
-untouched partitions are never read or rewritten.  A partition whose rows
-all moved away is removed.  Re-running the same batch gives the same table.
+version of a changed key plus the partitions of the new rows.  An upsert has
+two steps.  *Stage*: the whole new content of the touched partitions is written
+beside the table, then the list of those partitions; the table is only read.
+*Publish*: the staged content replaces the touched partitions, partitions left
+without rows are removed, and the stage is dropped, its list first.
+
+A run that dies while staging leaves the table as it was; one that dies while
+publishing leaves a complete stage, and ``recover`` (which every upsert calls
+first) publishes it again.  Nothing then depends on what the table's touched
+partitions hold, so no row is lost.  One writer at a time per table.
 """
 
 from __future__ import annotations
@@ -17,13 +21,9 @@ from pyspark.sql import functions as F
 from haven.session import job_dir
 
 
-
 def _delete_partition(spark: SparkSession, table_path: str, part_col: str, value) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     value = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    path = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{part_col}={value}")
-    path.getFileSystem(conf).delete(path, True)
+    _drop(spark, f"{table_path}/{part_col}={value}")
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str, mode: str = "overwrite") -> None:
@@ -38,13 +38,24 @@ def write_partitioned(df: DataFrame, path: str, part_col: str, mode: str = "over
        .partitionBy(part_col).parquet(path))
 
 
-def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
-           part_col: str, target: DataFrame | None = None) -> dict:
-    """Apply ``changes`` (full new rows, unique on ``key``) to the table.
+def _stage_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}__stage"
 
-    ``target`` may be passed when the caller already read the table (saves a
-    second listing of its partition folders)."""
-    target = target if target is not None else spark.read.parquet(table_path)
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def stage(spark: SparkSession, table_path: str, changes: DataFrame, key: str, part_col: str,
+          target: DataFrame) -> None:
+    """Write the new content of every touched partition beside the table."""
+    base = _stage_path(table_path)
     # the batch is written once: every later step reads it instead of re-deriving it
     batch_path = job_dir(spark, "upsert-batch")
     changes.select(*target.columns).write.parquet(batch_path)
@@ -52,26 +63,60 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
     keys = batch.select(key)
     # touched partition values (bounded by the table's partition count) become
     # a static partition filter: untouched partitions are never read
-    old_parts = target.join(keys, key, "left_semi").select(part_col).distinct()
-    touched = [r[0] for r in old_parts.unionByName(batch.select(part_col)).distinct().collect()]
-    if not touched:
-        return {"touched_partitions": 0, "emptied_partitions": 0}
-    dates = [t for t in touched if t is not None]
+    old_parts = target.join(keys, key, "left_semi").select(part_col)
+    touched = old_parts.unionByName(batch.select(part_col)).distinct()
+    values = [r[0] for r in touched.collect()]
+    dates = [t for t in values if t is not None]
     within = F.col(part_col).isin(dates)
-    if len(dates) < len(touched):  # rows without a date have a partition of their own
+    if len(dates) < len(values):  # rows without a date have a partition of their own
         within = within | F.col(part_col).isNull()
     kept = target.filter(within).join(keys, key, "left_anti")
-    content = kept.unionByName(batch.select(*target.columns))
+    kept.unionByName(batch.select(*target.columns)).write.parquet(f"{base}/content")
+    # written last: its _SUCCESS says that the stage is complete
+    spark.createDataFrame([(v,) for v in values], touched.schema).coalesce(1).write.parquet(f"{base}/touched")
+
+
+def publish(spark: SparkSession, table_path: str, part_col: str) -> dict:
+    """Put a complete stage into the table and drop it; may be repeated."""
+    base = _stage_path(table_path)
+    content = spark.read.parquet(f"{base}/content")
+    touched = {r[0] for r in spark.read.parquet(f"{base}/touched").collect()}
     # partitions left with no rows (every row moved away): dynamic overwrite
     # would not touch them, so they are removed explicitly
-    present = {r[0] for r in content.select(part_col).distinct().collect()}
-    emptied = [p for p in touched if p not in present]
-    write_partitioned(content, table_path, part_col, mode="overwrite")
+    emptied = touched - {r[0] for r in content.select(part_col).distinct().collect()}
+    if touched:
+        write_partitioned(content, table_path, part_col, mode="overwrite")
     for value in emptied:
         _delete_partition(spark, table_path, part_col, value)
+    _drop(spark, f"{base}/touched")
+    _drop(spark, base)
     return {"touched_partitions": len(touched), "emptied_partitions": len(emptied)}
 
 
+def recover(spark: SparkSession, table_path: str, part_col: str) -> bool:
+    """Finish what an earlier upsert left: publish a complete stage, drop an
+    incomplete one.  True when the table changed."""
+    base = _stage_path(table_path)
+    fs, done = _fs(spark, f"{base}/touched/_SUCCESS")
+    if fs.exists(done):
+        publish(spark, table_path, part_col)
+        return True
+    _drop(spark, base)
+    return False
+
+
+def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
+           part_col: str, target: DataFrame | None = None) -> dict:
+    """Apply ``changes`` (full new rows, unique on ``key``) to the table.
+
+    ``target`` may be passed when the caller already read the table (saves a
+    second listing of its partition folders)."""
+    if recover(spark, table_path, part_col) or target is None:
+        target = spark.read.parquet(table_path)
+    stage(spark, table_path, changes, key, part_col, target)
+    return publish(spark, table_path, part_col)
+
+
 def high_water_mark(table: DataFrame, col: str):
     """max(col) of the table: the inclusive start of the next increment."""
     return table.agg(F.max(col)).first()[0]

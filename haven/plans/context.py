@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from haven.functions.privacy import hash_and_drop_client
-from haven.operators import conform, history, star
+from haven.operators import conform, history, quality, star
 from haven.sources.fixtures import Hmis
 from haven.sources.layers import materialize
 
@@ -36,29 +36,34 @@ class Ctx:
                             and _has_jvm(spark))
         self.materialized = materialized
 
-    def _layer(self, name: str, build, tables: list[str], cluster_by: str | None = None) -> DataFrame:
+    def _layer(self, name: str, build, tables: list[str], cluster_by: str | None = None,
+               gate=None) -> DataFrame:
         if not self.materialized:
             return build()
         inputs = [f"{self.sf_dir}/{t}.parquet" for t in tables]
-        return materialize(self.spark, name, build, inputs, cluster_by)
+        return materialize(self.spark, name, build, inputs, cluster_by, gate)
+
+    def _silver(self, table: str, key: str, conformed, inputs: list[str]) -> DataFrame:
+        """A conformed input; published only when it reconciles and leaks nothing."""
+        bronze = getattr(self.raw, table)
+        return self._layer(f"silver_{table}", lambda: conformed(bronze), inputs,
+                           gate=lambda silver: quality.silver_gate(table, bronze, key, silver))
 
     @cached_property
     def silver_clients(self) -> DataFrame:
-        return self._layer("silver_clients", lambda: conform.conform_clients(self.raw.clients), ["customer"])
+        return self._silver("clients", "ClientID", conform.conform_clients, ["customer"])
 
     @cached_property
     def silver_enrollments(self) -> DataFrame:
-        return self._layer("silver_enrollments", lambda: conform.conform_enrollments(self.raw.enrollments),
-                           ["orders"])
+        return self._silver("enrollments", "EnrollmentID", conform.conform_enrollments, ["orders"])
 
     @cached_property
     def silver_services(self) -> DataFrame:
-        return self._layer("silver_services", lambda: conform.conform_services(self.raw.services),
-                           ["lineitem", "orders"])
+        return self._silver("services", "ServiceID", conform.conform_services, ["lineitem", "orders"])
 
     @cached_property
     def silver_projects(self) -> DataFrame:
-        return self._layer("silver_projects", lambda: conform.conform_projects(self.raw.projects), ["nation"])
+        return self._silver("projects", "ProjectID", conform.conform_projects, ["nation"])
 
     def prebuild(self, *names: str) -> None:
         """Build independent layers concurrently: each is its own Spark job, and

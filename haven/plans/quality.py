@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from haven import contracts as C
 from haven.functions.privacy import hash_id
 from haven.operators import governance, quality, star
-from haven.operators.joins import bounded
 from haven.plans.context import Ctx
 from haven.plans.oracle_base import sql
 from haven.plans.registry import query
@@ -159,7 +158,7 @@ _MART_SQL = (
 
 def _mart(ctx: Ctx):
     dim = star.dim_project(ctx.silver_projects, ctx.raw.project_types).select("project_id", "project_type")
-    return (ctx.fact.drop("project_type").join(bounded(dim), "project_id", "left")
+    return (ctx.fact.drop("project_type").join(dim, "project_id", "left")
             .select(*[c for c in ctx.fact.columns]))
 
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from haven import contracts as C
-from haven.operators.joins import bounded
 from haven.operators.metrics import latest_value
 from haven.plans.context import Ctx
 from haven.plans.kpis import ENVELOPE_SQL
@@ -180,9 +179,9 @@ def stream_enriched_checkins(spark, sf_dir):
     root = job_dir(spark, "stream-enriched")
     jobs.publish(jobs.to_messages(ctx.raw.bed_events), f"{root}/landing")
     parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing"), C.BED_EVENTS, "bed_events")
-    dim = bounded(ctx.silver_projects.select(F.col("ProjectID").alias("project_id"),
-                                             F.col("ProjectName").alias("project_name"),
-                                             F.col("ProjectType").alias("project_type")))
+    dim = ctx.silver_projects.select(F.col("ProjectID").alias("project_id"),
+                                     F.col("ProjectName").alias("project_name"),
+                                     F.col("ProjectType").alias("project_type"))
     enriched = parsed.join(dim, "project_id", "left").select(
         "event_id", "client_id_hash", "project_id", "project_name", "project_type", "event_type", "event_time")
     jobs.run_available_now(enriched, f"{root}/out", f"{root}/_chk")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from haven.session import job_dir, shared_dir
 
 _CODE_FILES = ["sources/fixtures.py", "operators/conform.py", "operators/star.py", "operators/keys.py",
-               "operators/joins.py", "operators/history.py", "operators/sequence.py",
+               "operators/history.py", "operators/sequence.py",
                "functions/privacy.py", "functions/dates.py", "contracts.py", "plans/context.py"]
 
 
@@ -63,8 +63,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+class QualityError(RuntimeError):
+    """A layer's staged table failed its gate and was not published."""
+
+
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
-                cluster_by: str | None = None) -> DataFrame:
+                cluster_by: str | None = None, gate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``gate`` turns the staged table into (rule, status) rows, one per rule;
+    any status but OK stops the layer before it is published."""
     # a session may ask for its own namespace (e.g. a benchmark that must time the build)
     space = spark.conf.get("haven.layers.namespace", "") or "shared"
     final = f"{shared_dir(spark)}/haven/layers/{space}/{name}-{fingerprint(spark, inputs)}"
@@ -75,6 +81,10 @@ def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame],
             df = df.sortWithinPartitions(cluster_by)
         stage = job_dir(spark, f"stage-{name}")
         df.write.mode("errorifexists").parquet(stage)
+        if gate is not None:
+            failed = gate(spark.read.parquet(stage)).filter("status <> 'OK' or status is null").collect()
+            if failed:
+                raise QualityError(f"{name}: " + ", ".join(sorted(r["rule"] for r in failed)))
         _publish(spark, stage, final)
         if not _exists(spark, f"{final}/_SUCCESS"):
             raise RuntimeError(f"could not publish layer {name} at {final}")

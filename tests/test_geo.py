@@ -18,19 +18,50 @@ def _hav(a, b):
     return 2 * R * math.asin(math.sqrt(h))
 
 
-coord = st.tuples(st.floats(30.0, 36.0), st.floats(-88.0, -80.0))
+near_by = st.tuples(st.floats(30.0, 36.0), st.floats(-88.0, -80.0))
+anywhere = st.tuples(st.floats(-90.0, 90.0), st.floats(-180.0, 180.0))
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(coord, min_size=1, max_size=6), st.lists(coord, min_size=1, max_size=12))
-def test_grid_nearest_equals_brute_force(spark, pts, cands):
+def _check(spark, pts, cands, cell_deg, k=3):
     p = spark.createDataFrame([(f"p{i}", a, b) for i, (a, b) in enumerate(pts)], "pid string, lat double, lon double")
     c = spark.createDataFrame([(f"c{i:02d}", a, b, i) for i, (a, b) in enumerate(cands)],
                               "cid string, lat double, lon double, w int")
-    got = {(r.pid, r.rank): r.cid for r in nearest(p, c, k=3, cell_deg=0.25).collect()}
-    want = {}
+    got = {}
+    for r in nearest(p, c, k=k, cell_deg=cell_deg).collect():
+        assert r.cid == f"c{r.w:02d}"
+        got.setdefault(r.pid, {})[r.rank] = r
     for i, pt in enumerate(pts):
-        ranked = sorted((round(_hav(pt, cd), 9), f"c{j:02d}") for j, cd in enumerate(cands))
-        for rank, (_, cid) in enumerate(ranked[:3], start=1):
-            want[(f"p{i}", rank)] = cid
-    assert got == want
+        want = sorted(_hav(pt, cd) for cd in cands)[:k]
+        found = got.get(f"p{i}", {})
+        assert sorted(found) == list(range(1, len(want) + 1))
+        assert len({r.cid for r in found.values()}) == len(want)
+        for rank, km in enumerate(want, start=1):
+            r = found[rank]
+            assert abs(r.distance_km - km) < 1e-5 and abs(_hav(pt, cands[r.w]) - km) < 1e-5
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(near_by, min_size=1, max_size=6), st.lists(near_by, min_size=1, max_size=12))
+def test_nearest_equals_brute_force(spark, pts, cands):
+    _check(spark, pts, cands, 0.25)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(anywhere, min_size=1, max_size=6), st.lists(anywhere, min_size=1, max_size=12))
+def test_nearest_worldwide(spark, pts, cands):
+    _check(spark, pts, cands, 0.05)
+
+
+def test_nearest_across_date_line_poles_and_far_candidates(spark):
+    pts = [(0.0, 179.99), (89.99, 10.0), (-90.0, 0.0), (33.7, -84.4)]
+    cands = [(0.0, -179.99), (0.0, 179.0), (89.99, -170.0), (-89.9, 120.0), (-33.8, 151.2), (51.5, 0.0)]
+    _check(spark, pts, cands, 0.05)
+    _check(spark, pts, cands[:2], 0.05)
+
+
+def test_nearest_same_place_and_no_place(spark):
+    p = spark.createDataFrame([("p", 1.0, 1.0), ("q", None, 1.0)], "pid string, lat double, lon double")
+    c = spark.createDataFrame([(f"c{i}", 1.0, 1.0) for i in range(9)] + [("z", 1.0, None)], "cid string, lat double, lon double")
+    got = sorted((r.pid, r["rank"], r.cid) for r in nearest(p, c, k=3).collect())
+    assert got == [("p", 1, "c0"), ("p", 2, "c1"), ("p", 3, "c2")]
+    assert nearest(p, c.limit(0), k=3).count() == 0
