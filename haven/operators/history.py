@@ -92,6 +92,11 @@ def merge_history(history: DataFrame, log: DataFrame, base: DataFrame,
     return kept.unionByName(rebuilt), new_log
 
 
+def with_version_key(history: DataFrame) -> DataFrame:
+    """The history with a surrogate key per version: the same client and start give the same key in every run."""
+    return history.withColumn("client_version_key", F.xxhash64("client_id_hash", "valid_from"))
+
+
 def as_of_rows(history: DataFrame, ts) -> DataFrame:
     """The dimension as it stood at ``ts``: valid_from <= ts < valid_to."""
     t = F.lit(ts).cast("timestamp")

@@ -175,6 +175,15 @@ def checksum(df: DataFrame, side: str) -> DataFrame:
                   F.max("service_date").alias("max_date")).select(F.lit(side).alias("side"), "*")
 
 
+def content_checksum(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: count of rows and the sum of their hashes over ``columns``.  Order
+    and partitioning don't matter; a changed value, or a value moved to another
+    column, does.  Nulls are values (a null's place is hashed too)."""
+    parts = [p for c in columns for p in (F.col(c).isNull(), F.col(c))]
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.coalesce(F.sum(F.xxhash64(*parts).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("content"))
+
+
 def reconcile_copies(lake: DataFrame, copy: DataFrame,
                      tolerance: float = C.RECONCILE_TOLERANCE) -> DataFrame:
     lake_rows = lake.agg(F.count(F.lit(1))).scalar()

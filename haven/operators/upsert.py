@@ -15,6 +15,8 @@ partitions hold, so no row is lost.  One writer at a time per table.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,3 +122,13 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
 def high_water_mark(table: DataFrame, col: str):
     """max(col) of the table: the inclusive start of the next increment."""
     return table.agg(F.max(col)).first()[0]
+
+
+def increment(source: DataFrame, col: str, since: dt.date | None, lookback_days: int = 0) -> DataFrame:
+    """Source rows from ``lookback_days`` before the high-water mark on (both days
+    included), so that rows which arrived late for an older day are met too;
+    every row when the table is still empty (``since`` is None).  A range on the
+    column itself: it reaches the scan."""
+    if since is None:
+        return source
+    return source.filter(F.col(col) >= F.lit(since - dt.timedelta(days=lookback_days)))

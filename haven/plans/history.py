@@ -136,17 +136,21 @@ _FACT_COLS = ["service_id", "client_id_hash", "enrollment_id", "project_id", "pr
 def incremental_fact(spark, sf_dir):
     """Incremental, keyed upsert of the fact into a date-partitioned table.
 
-    The table first holds the fact up to a cut date.  The next batch carries
-    every row at or after the table's high-water mark (inclusive, so the last
-    day is reprocessed) plus corrections to recent rows — some of which move
-    to another date partition.  The result must equal the fact with the
-    corrections applied.
+    The table first holds the fact up to a cut date, but for hygiene kits of
+    the last days, which arrive late.  The next batch carries every row from the
+    look-back before the table's high-water mark on (so the late rows are met
+    and the days between are reprocessed) plus corrections to recent rows — some
+    of which move to another date partition.  The result must equal the fact
+    with the corrections applied.
     """
     f = Ctx(spark, sf_dir).fact
     cut = latest_value(f, "service_date") - dt.timedelta(days=CUT_DAYS)
     path = job_dir(spark, "fact-table")
-    upsert.write_partitioned(f.filter(F.col("service_date") < F.lit(cut)), path, "service_date",
-                             mode="errorifexists")
+    first = f.filter(F.col("service_date") < F.lit(cut))
+    last = latest_value(first, "service_date")
+    late = (F.col("service_type") == "Hygiene kit") & F.col("service_date").between(
+        F.lit(last - dt.timedelta(days=LOOKBACK_DAYS)), F.lit(last - dt.timedelta(days=1)))
+    upsert.write_partitioned(first.filter(~F.coalesce(late, F.lit(False))), path, "service_date", mode="errorifexists")
     table = spark.read.parquet(path)
     hwm = upsert.high_water_mark(table, "service_date")
     fixes = (table.filter((F.col("service_type") == "Meal")
@@ -154,8 +158,8 @@ def incremental_fact(spark, sf_dir):
                                                           F.lit(hwm)))
              .withColumn("service_date", F.date_add("service_date", 1))
              .withColumn("qty", F.col("qty") + 1))
-    fresh = f.filter(F.col("service_date") >= F.lit(hwm)).join(fixes.select("service_id"), "service_id",
-                                                               "left_anti")
+    fresh = upsert.increment(f, "service_date", hwm, LOOKBACK_DAYS).join(fixes.select("service_id"), "service_id",
+                                                                         "left_anti")
     batch = fresh.unionByName(fixes.select(*f.columns))
     upsert.upsert(spark, path, batch, "service_id", "service_date", target=table)
     return spark.read.parquet(path).select(*_FACT_COLS)

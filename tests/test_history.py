@@ -46,6 +46,9 @@ def test_scd2_rules(spark):
     assert a[2].is_current and a[2].valid_to is None
     assert [r.version for r in h if r.client_id_hash == "b"] == [1]
     assert not [r for r in h if r.client_id_hash == "zz"]
+    keys = lambda: [r.client_version_key for r in history.with_version_key(
+        history.scd2_history(_base(spark, ["a", "b"]), ups)).orderBy("client_id_hash", "valid_from").collect()]
+    assert len(set(keys())) == 4 and keys() == keys()
 
 
 @settings(max_examples=6, deadline=None)
