@@ -6,7 +6,9 @@ lexer reads source and configuration syntax into (name, literal) pairs:
 ``export NAME=value``, ``name="a" + "b"`` and ``<name>value</name>``.  Names
 bound to literals are propagated to later names that refer to them, and each
 literal is scored by the names it reaches: a literal that looks random and
-flows into a sensitive name is a secret, wherever it was first written.
+flows into a sensitive name is a secret, wherever it was first written.  Blanks,
+names, values and the number of literals a name holds have no upper bound; a
+literal ends with its line.
 """
 
 from __future__ import annotations
@@ -35,18 +37,21 @@ SENSITIVE = {"password": 3.0, "passwd": 3.0, "pwd": 3.0, "passphrase": 3.0, "sec
 #: Literals that stand for a value rather than being one.
 PLACEHOLDERS = {"none", "null", "true", "false", "changeme", "example", "placeholder", "password", "secret", "token"}
 THRESHOLD = 4.0
+#: First characters of a value that tell whether it is a placeholder.
+HEAD = max(map(len, PLACEHOLDERS))
 
-# One statement: a name (quoted in JSON), a binding sign, then operands.
+# One statement: a name (quoted in JSON), a binding sign, then operands.  What follows a
+# possessive part is never one of its own characters, so every match stays linear.
 BINDING = re.compile(r"""
-    (?<![\w.$-]) (?P<q>["']?) (?P<name>[A-Za-z_$][\w.$-]{0,127}) (?P=q) [\x20\t]{0,8}
-    (?: := | => | = (?![=~]) | : (?![:/]) ) [\x20\t]{0,8}
+    (?<![\w.$-]) (?P<q>["']?) (?P<name>[A-Za-z_$][\w.$-]*+) (?P=q) [\x20\t]*+
+    (?: := | => | = (?![=~]) | : (?![:/]) ) [\x20\t]*+
 """, re.VERBOSE | re.ASCII)
-TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]{0,127})>(?P<value>[^<>\x00-\x1f]{6,512})</(?P=name)>", re.ASCII)
+TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*+)>(?P<value>[^<>\x00-\x1f]{6,}+)</(?P=name)>", re.ASCII)
 OPERAND = re.compile(r"""
     "(?P<double>[^"\\\n]*(?:\\.[^"\\\n]*)*)" | '(?P<single>[^'\\\n]*(?:\\.[^'\\\n]*)*)'
   | \$?\{?(?P<word>[A-Za-z0-9_$][\w.$+/=-]*)\}?
 """, re.VERBOSE | re.ASCII)
-PLUS = re.compile(r"[\x20\t]*[+.]?[\x20\t]*\+[\x20\t]*", re.ASCII)
+PLUS = re.compile(r"[\x20\t]*+(?:[+.][\x20\t]*+)?\+[\x20\t]*+", re.ASCII)
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
@@ -58,14 +63,37 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """How much a literal looks like key material: bits per character, classes mixed, no spaces."""
-    if len(value) < 6 or " " in value or value.lower() in PLACEHOLDERS or value.startswith(("${", "{{", "<")):
+    return chars_score(Counter(value), len(value), value[:HEAD])
+
+
+def chars_score(chars: Counter[str], n: int, head: str) -> float:
+    """``literal_score`` of a value known by its characters' counts, its length and its first characters."""
+    if n < 6 or " " in chars or n <= HEAD and head.lower() in PLACEHOLDERS or head.startswith(("${", "{{", "<")):
         return -10.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(any(f(c) for c in value) for f in (str.isdigit, str.islower, str.isupper))
+    entropy = -sum(c / n * math.log2(c / n) for c in chars.values())
+    classes = sum(any(f(c) for c in chars) for f in (str.isdigit, str.islower, str.isupper))
     return min(entropy, 4.5) / 1.5 + (0.5 if classes > 1 else 0.0) + (0.5 if n >= 16 else 0.0)
 
 
+class Value:
+    """What a name holds after one binding: its own literals, then the values it
+    refers to.  Kept as character counts, so its size does not grow with them."""
+
+    def __init__(self, binding: int, own: str, parts: list[Value]):
+        self.binding, self.own, self.parts = binding, own, [p.binding for p in parts]
+        self.n = len(own) + sum(p.n for p in parts)
+        self.head = (own[:HEAD] + "".join(p.head for p in parts))[:HEAD]
+        self._chars: Counter[str] | None = None
+        if parts:
+            for p in parts:
+                self.chars().update(p.chars())
+
+    def chars(self) -> Counter[str]:
+        if self._chars is None:
+            self._chars = Counter(self.own)
+        return self._chars
+
+
 def lex(text: str) -> list[tuple[str, list[tuple[int, int, str]], list[str]]]:
     """(name, literal pieces as (start, end, value), names referred to) per binding, in order."""
     out = []
@@ -94,22 +122,33 @@ def flagged_literals(text: str) -> list[tuple[int, int]]:
     if not bindings:
         return []
     # constants: what each name holds, following references to earlier bindings
-    holds: dict[str, list[tuple[int, int, str]]] = {}
-    reach: dict[tuple[int, int], float] = {}
-    value_of: dict[tuple[int, int], str] = {}
-    for name, literals, refs in bindings:
+    holds: dict[str, Value] = {}
+    at: list[list[tuple[int, int]]] = []  # per binding: where its own literals are, the bindings it refers to, its value
+    parts: list[list[int]] = []
+    length: list[int] = []
+    looks: list[str | float] = []  # a value's text, or its score where it is put together
+    for i, (name, literals, refs) in enumerate(bindings):
         mine = [x for x in literals if x[2] not in holds or x[2] not in refs]
-        for r in refs:
-            mine += holds.get(r, [])
-        score = name_score(name)
-        whole = "".join(v for _, _, v in mine)
-        for a, b, v in mine:
-            reach[a, b] = max(reach.get((a, b), 0.0), score)
-            if len(whole) > len(value_of.get((a, b), "")):
-                value_of[a, b] = whole if len(mine) > 1 else v
-        holds[name] = mine[:64]
-        holds[name.rsplit(".", 1)[-1]] = mine[:64]
-    return sorted({at for at, s in reach.items() if s > 0 and s + literal_score(value_of[at]) >= THRESHOLD})
+        value = Value(i, "".join(v for _, _, v in mine), [holds[r] for r in refs if r in holds])
+        at.append([(a, b) for a, b, _ in mine])
+        parts.append(value.parts)
+        length.append(value.n)
+        looks.append(chars_score(value.chars(), value.n, value.head) if value.parts else value.own)
+        holds[name] = holds[name.rsplit(".", 1)[-1]] = value
+    # later bindings pass their name's score and the longest value down to all they refer to
+    score = [name_score(name) for name, _, _ in bindings]
+    longest = list(range(len(bindings)))
+    longer = lambda i: (length[i], -i)
+    reach: dict[tuple[int, int], tuple[float, int]] = {}
+    for i in reversed(range(len(bindings))):
+        for p in parts[i]:
+            score[p] = max(score[p], score[i])
+            longest[p] = max(longest[p], longest[i], key=longer)
+        for span in at[i]:
+            s, j = reach.get(span, (0.0, longest[i]))
+            reach[span] = max(s, score[i]), max(j, longest[i], key=longer)
+    scored = {j: literal_score(x) if isinstance(x := looks[j], str) else x for s, j in reach.values() if s > 0}
+    return sorted(span for span, (s, j) in reach.items() if s > 0 and s + scored[j] >= THRESHOLD)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:

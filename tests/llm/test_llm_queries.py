@@ -152,6 +152,30 @@ def test_base_spans_and_lexing(spark):
         assert all(m["text"] == docs[r.doc_id][m["start"]:m["end"]] for m in r.matches)
 
 
+def test_lexing_has_no_bounds():
+    from haven.llm.secret_scan import flagged_literals
+    key = "sK9xQ2mLp7Vt4RzW8bNc"
+    r = random.Random(7)
+    long = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1600))
+    found = lambda text: [text[a:b] for a, b in flagged_literals(text)]
+    for n in (0, 8, 9, 40, 5000):
+        assert found(f'db_passphrase{" " * n}= "{key}"') == [key]
+        assert found(f'db_passphrase:{" " * n}"{key}"') == [key]
+        assert found(f'db_passphrase = "{key[:9]}"{" " * n}+{" " * n}"{key[9:]}"') == [key[:9], key[9:]]
+    assert found(f"<private_key>{long}</private_key>") == [long]
+    name = "n" * 300 + "_password"
+    assert found(f'{name} = "{key}"') == [key] == found(f"<{name}>{key}</{name}>")
+    # every literal of a name is propagated, through other names too, however many there are
+    pieces = [f"{key[i % 20]}{i:05d}{key[-1 - i % 20]}" for i in range(300)]
+    text = "v = '" + pieces[0] + "'\n" + "".join(f"v = v + '{p}'\n" for p in pieces[1:]) + "w = v\nthe.password = w\n"
+    assert found(text) == pieces
+    assert found('password = ""') == []
+    # work stays in proportion to the text
+    many = "".join(f"v = v + 'a{i}'\n" for i in range(20_000)) + "password = v\n"
+    assert len(found("v = 'x'\n" + many)) == 20_001
+    assert found("a = b" + " " * 200_000 + "c") == []
+
+
 def test_base_digest_over_the_table(spark, sf_dir, texts):
     out = {}
     for i, t in texts.items():
