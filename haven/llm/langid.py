@@ -8,11 +8,13 @@ maximisation over a bounded sample of labelled documents: forward and backward
 sums give each piece's expected count, again over all segmentations.
 
 Words are scored in batches: one numpy step per (end, length) for all words of
-about one size at once.
+about one size at once.  Words over ``LONG_WORD`` characters, such as the runs of
+scripts written without spaces, are trained on and scored one by one.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,7 +32,7 @@ UNKNOWN_WORD = "und"
 TRAIN_DOCS = 400
 EM_ROUNDS = 2
 SPACE = "▁"
-#: Words longer than this are scored alone, with rescaling.
+#: Words longer than this are handled alone, with rescaling or in logarithms.
 LONG_WORD = 32
 #: Probability of a character that no piece covers, in every language.
 UNKNOWN_CHAR = 1e-9
@@ -135,8 +137,14 @@ class LanguageModel:
         return log
 
     def expected_counts(self, words: list[str], weights: list[float], language: int) -> np.ndarray:
-        """Expected count of each piece over all segmentations of weighted words (one length)."""
+        """Expected count of each piece over all segmentations of weighted words
+        (of one length, or all over ``LONG_WORD``)."""
         n, p = len(words[0]), self.p[:, language]
+        if n > LONG_WORD:
+            counts = np.zeros(len(p))
+            for word, weight in zip(words, weights, strict=True):
+                self._long_counts(word, weight, p, counts)
+            return counts[:-1]
         spans = list(self.vocabulary.spans(words))
         alpha, beta = np.zeros((n + 1, len(words))), np.zeros((n + 1, len(words)))
         alpha[0] = beta[n] = 1
@@ -151,6 +159,35 @@ class LanguageModel:
             np.add.at(counts, i, alpha[end - length] * q * beta[end] * w)  # id -1 falls on the last row
         return counts[:-1]
 
+    def _long_counts(self, word: str, weight: float, p: np.ndarray, counts: np.ndarray) -> None:
+        """Add one word's expected counts; forward and backward sums are kept as logarithms."""
+        ids, width, n = self.vocabulary.ids, self.vocabulary.width, len(word)
+
+        def log_sum(x: list[float]) -> float:
+            top = max(x)
+            return top + math.log(sum(math.exp(v - top) for v in x))
+
+        ends: list[list[tuple[int, int, float]]] = [[]]  # per end: (start, piece id, log probability)
+        starts: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+        alpha, beta = [0.0], [0.0] * (n + 1)
+        for end in range(1, n + 1):
+            here = []
+            for start in range(max(0, end - width), end):
+                i = ids.get(word[start:end], -1)
+                if i >= 0 and p[i] > 0:
+                    here.append((start, i, math.log(p[i])))
+                elif i < 0 and start == end - 1:
+                    here.append((start, -1, math.log(UNKNOWN_CHAR)))
+            ends.append(here)
+            for start, _, q in here:
+                starts[start].append((end, q))
+            alpha.append(log_sum([alpha[start] + q for start, _, q in here]))
+        for start in range(n - 1, -1, -1):
+            beta[start] = log_sum([beta[end] + q for end, q in starts[start]])
+        for end in range(1, n + 1):
+            for start, i, q in ends[end]:
+                counts[i] += weight * math.exp(alpha[start] + q + beta[end] - alpha[n])
+
 
 def split_words(text: str) -> list[str]:
     return [SPACE + w for w in WORD.findall(text.lower())]
@@ -170,8 +207,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[tuple[str, str]] = Counter()
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             for w in split_words(text):
-                if len(w) <= LONG_WORD:
-                    seen[lang, w] += 1
+                seen[lang, w] += 1
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen]), pa.array([k[1] for k in seen]),
                                               pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
@@ -186,8 +222,9 @@ def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds:
     """Fit on at most ``train_docs`` labelled, not held-out documents per language.
 
     What reaches the driver is the piece table: at most (vocabulary x
-    languages) numbers.  Documents without text or lang teach nothing; with no
-    labelled document the model knows no language.
+    languages) numbers.  Words of any length are trained on, so every language of
+    the sample with a word at all is known.  Documents without text or lang teach
+    nothing; with no labelled document the model knows no language.
     """
     usable = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "doc_id", "lang", "text", F.xxhash64("text").alias("th"))
@@ -214,7 +251,7 @@ def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds:
             for batch in batches:
                 groups: dict[tuple[str, int], tuple[list[str], list[float]]] = {}
                 for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
-                    ws, ns = groups.setdefault((lang, len(word)), ([], []))
+                    ws, ns = groups.setdefault((lang, min(len(word), LONG_WORD + 1)), ([], []))
                     ws.append(word)
                     ns.append(float(n))
                 total: dict[str, np.ndarray] = {}

@@ -427,6 +427,32 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(spelled, 15.0)  # every character is covered once in expectation
 
 
+def test_long_words_are_trained_on(spark, monkeypatch):
+    import numpy as np
+
+    from haven.llm import langid
+    r = random.Random(3)
+    pieces = ["a", "b", "ab", "ba", "aab", "abab", "▁", "▁a"]
+    p = np.array([[r.random(), r.random()] for _ in pieces])
+    model = langid.LanguageModel(langid.Vocabulary(pieces), ["x", "y"], p / p.sum(axis=0))
+    words = ["▁" + "".join(r.choice("aaabbbc") for _ in range(44)) for _ in range(20)]
+    alone = model.expected_counts(words, [1.0 + i for i in range(20)], 1)
+    monkeypatch.setattr(langid, "LONG_WORD", 45)
+    assert len(words[0]) == 45 and np.allclose(alone, model.expected_counts(words, [1.0 + i for i in range(20)], 1))
+    monkeypatch.undo()
+    # a language written in runs over LONG_WORD only, and one of short words in the same letters
+    run = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    docs = [(i, " ".join(run("etaoin", r.randint(1, 8)) for _ in range(40)), "short") for i in range(60)]
+    docs += [(100 + i, " ".join(run("qzxjkv", r.randint(33, 300)) for _ in range(3)), "long") for i in range(60)]
+    docs += [(999, run("wuy", 20_000), "longer")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    assert zlib.crc32(b"999") % 5
+    fitted = langid.fit(df, Q.VOCABULARY)
+    assert fitted.languages == ["long", "longer", "short"]
+    got = {x.doc_id: x.lang_pred for x in langid.predict(df, fitted, Q.VOCABULARY).collect()}
+    assert got == {i: lang for i, _, lang in docs}
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     docs = {r.doc_id: r for r in read_table(spark, sf_dir, "documents").collect()}
     out = Q.op9_language_id(spark, sf_dir).collect()
