@@ -249,6 +249,20 @@ def test_contamination_brute_force(spark):
                                             fold(docs[got[0].doc_id])[got[0].start:got[0].end])]) == got[0].distance
 
 
+def test_short_items_match_exactly(spark):
+    from haven.llm.decontam import contaminated
+    texts = ["Was it Paris?\tYes: what is  2+2? 4!", "parish, comparis, pariſ", "paris", "PARIS.", "x" * 50, "caf\u0065\u0301", None, "",
+             "\u8fd9\u662f\u9996\u90fd\u5317\u4eac\u5417", "What is  2+2?", "a paris_x paris", "what is 2+2?"]
+    items = ["Paris", " what is  2+2? ", "cafe", "\u5317\u4eac", "  \n", "", None, "4"]
+    got = {(r.doc_id, r.item_id, r.start, r.end, r.distance) for r in contaminated(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+        spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == {(0, 0, 7, 12, 0), (0, 1, 19, 32, 0), (0, 7, 33, 34, 0), (2, 0, 0, 5, 0), (3, 0, 0, 5, 0), (8, 3, 4, 6, 0),
+                   (9, 1, 0, 13, 0), (10, 0, 10, 15, 0)}
+    blank = spark.createDataFrame([(1, "  ")], "item_id long, text string")
+    assert contaminated(spark.createDataFrame([(1, "text")], "doc_id long, text string"), blank).count() == 0
+
+
 def test_planted_items_found(spark, sf_dir, texts):
     items = {r.item_id: r.text for r in read_table(spark, sf_dir, "benchmark").collect() if len(r.text) >= 40}
     verbatim = {(i, n) for i, t in texts.items() for n, x in items.items() if x in t}
