@@ -124,11 +124,15 @@ def high_water_mark(table: DataFrame, col: str):
     return table.agg(F.max(col)).first()[0]
 
 
-def increment(source: DataFrame, col: str, since: dt.date | None, lookback_days: int = 0) -> DataFrame:
+def increment(source: DataFrame, col: str, since: dt.date | None, lookback_days: int = 0,
+              undated: bool = False) -> DataFrame:
     """Source rows from ``lookback_days`` before the high-water mark on (both days
     included), so that rows which arrived late for an older day are met too;
     every row when the table is still empty (``since`` is None).  A range on the
-    column itself: it reaches the scan."""
+    column itself: it reaches the scan.  Rows without a date are on neither side of
+    the mark: ``undated`` takes them with every increment (a keyed upsert may meet
+    them again)."""
     if since is None:
         return source
-    return source.filter(F.col(col) >= F.lit(since - dt.timedelta(days=lookback_days)))
+    late = F.col(col) >= F.lit(since - dt.timedelta(days=lookback_days))
+    return source.filter(late | F.col(col).isNull() if undated else late)

@@ -139,7 +139,7 @@ def incremental_fact(spark, sf_dir):
     The table first holds the fact up to a cut date, but for hygiene kits of
     the last days, which arrive late.  The next batch carries every row from the
     look-back before the table's high-water mark on (so the late rows are met
-    and the days between are reprocessed) plus corrections to recent rows — some
+    and the days between are reprocessed) and every row without a date, plus corrections to recent rows — some
     of which move to another date partition.  The result must equal the fact
     with the corrections applied.
     """
@@ -158,8 +158,8 @@ def incremental_fact(spark, sf_dir):
                                                           F.lit(hwm)))
              .withColumn("service_date", F.date_add("service_date", 1))
              .withColumn("qty", F.col("qty") + 1))
-    fresh = upsert.increment(f, "service_date", hwm, LOOKBACK_DAYS).join(fixes.select("service_id"), "service_id",
-                                                                         "left_anti")
+    fresh = upsert.increment(f, "service_date", hwm, LOOKBACK_DAYS, undated=True).join(
+        fixes.select("service_id"), "service_id", "left_anti")
     batch = fresh.unionByName(fixes.select(*f.columns))
     upsert.upsert(spark, path, batch, "service_id", "service_date", target=table)
     return spark.read.parquet(path).select(*_FACT_COLS)

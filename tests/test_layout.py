@@ -198,6 +198,32 @@ def test_increment_looks_back_for_late_older_rows(spark, scratch):
     assert increment(source, "d", None, 3).count() == 6
 
 
+def test_increment_with_undated_rows(spark, scratch):
+    from haven.operators.upsert import high_water_mark, increment
+    day = lambda n: dt.date(2024, 1, n)
+    schema = "k string, v int, d date"
+    write_partitioned(spark.createDataFrame([("a", 1, day(8)), ("b", 2, day(10))], schema), scratch, "d",
+                      mode="errorifexists")
+    source = spark.createDataFrame([("a", 1, day(8)), ("b", 2, day(10)), ("new", 5, day(11)), ("none", 6, None),
+                                    ("nil", 7, None)], schema)
+    for _ in range(2):  # again changes nothing
+        mark = high_water_mark(spark.read.parquet(scratch), "d")
+        upsert(spark, scratch, increment(source, "d", mark, undated=True), "k", "d")
+        assert sorted((r.k, r.v, r.d) for r in spark.read.parquet(scratch).collect()) == sorted(map(tuple, source.collect()))
+
+
+def test_incremental_fact_keeps_undated_rows(spark, sf_dir, monkeypatch):
+    from haven.plans import history
+    fact = history.Ctx(spark, sf_dir).fact
+    undated = F.pmod(F.xxhash64("service_id"), F.lit(50)) == 0
+    planted = fact.withColumn("service_date", F.when(~undated, F.col("service_date")))
+    monkeypatch.setattr(history, "Ctx", lambda spark, sf_dir: type("Planted", (), {"fact": planted}))
+    got = history.incremental_fact(spark, sf_dir)
+    n = planted.filter("service_date IS NULL").count()
+    assert n > 0 and got.filter("service_date IS NULL").count() == n
+    assert got.count() == planted.count() == got.select("service_id").distinct().count()
+
+
 def test_rows_per_file_sum_to_the_table(spark, sf_dir):
     from haven.plans.kpis import rows_per_file
     got = rows_per_file(spark, sf_dir).agg(F.sum("n_rows")).first()[0]
