@@ -1,8 +1,9 @@
 """Exact dedup by a Golomb-coded fingerprint exchange.
 
 1. Every sender (an input partition) fingerprints its normalised texts, sorts
-   the fingerprints of each owner (a range of fingerprint space) and sends
-   them as one Golomb-Rice coded block.
+   the distinct fingerprints of each owner (a range of fingerprint space) and
+   sends them as one Golomb-Rice coded block, with a bit for those it met again:
+   a hot text reaches its owner once per sender.
 2. Owners decode the blocks of all senders, find fingerprints met more than
    once and answer each block with a bitmap over its sorted entries.
 3. Senders read the bitmaps back onto their rows.  Only the suspects' texts are
@@ -58,6 +59,19 @@ def best_shift(n: int, space: int) -> int:
     return max(1, int(space // max(1, n)).bit_length() - 1)
 
 
+def sender_blocks(fingerprints: np.ndarray, per_owner: int) -> list[tuple[int, int, int, bytes, bytes]]:
+    """(owner, n, shift, coded block, bits of repeats) of one sender's fingerprints, each sent once."""
+    fp, times = np.unique(fingerprints.astype(np.uint64), return_counts=True)
+    owner = fp // np.uint64(per_owner)
+    out = []
+    for o in np.unique(owner):
+        at = owner == o
+        own = fp[at] - np.uint64(int(o) * per_owner)
+        shift = best_shift(len(own), per_owner)
+        out.append((int(o), len(own), shift, golomb_encode(own, shift), np.packbits(times[at] > 1).tobytes()))
+    return out
+
+
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sender = TaskContext.get().partitionId()
     for batch in batches:
@@ -91,34 +105,30 @@ def exact_dedup(docs: DataFrame, owners: int | None = None, fingerprint_bits: in
                                .bitwiseAND(F.lit(space - 1))), "exact-fingerprints")
 
     def send(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        fp = np.sort(pdf["fp"].to_numpy()).astype(np.uint64)
-        owner = fp // np.uint64(per_owner)
-        out = []
-        for o in np.unique(owner):
-            own = fp[owner == o] - np.uint64(int(o) * per_owner)
-            shift = best_shift(len(own), per_owner)
-            out.append((key[0], int(o), len(own), shift, golomb_encode(own, shift)))
-        return pd.DataFrame(out, columns=["sender", "owner", "n", "shift", "block"])
+        return pd.DataFrame([(key[0], *b) for b in sender_blocks(pdf["fp"].to_numpy(), per_owner)],
+                            columns=["sender", "owner", "n", "shift", "block", "again"])
 
     def answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
         blocks = [golomb_decode(b, n, s) for b, n, s in zip(pdf["block"], pdf["n"], pdf["shift"], strict=True)]
         values, counts = np.unique(np.concatenate(blocks), return_counts=True)
-        met = values[counts > 1]
+        again = [b[np.unpackbits(np.frombuffer(r, np.uint8), count=len(b)).astype(bool)]
+                 for b, r in zip(blocks, pdf["again"], strict=True)]
+        met = np.union1d(values[counts > 1], np.concatenate(again))
         return pd.DataFrame({"sender": pdf["sender"], "owner": key[0],
                              "bitmap": [np.packbits(np.isin(b, met)).tobytes() for b in blocks]})
 
     def read_back(key, mine: pd.DataFrame, bitmaps: pd.DataFrame) -> pd.DataFrame:
-        mine = mine.sort_values("fp", kind="stable")
-        owner = mine["fp"].to_numpy() // per_owner
-        flags = np.zeros(len(mine), bool)
+        fp = np.unique(mine["fp"].to_numpy())
+        owner = fp // per_owner
+        flags = np.zeros(len(fp), bool)
         for o, bitmap in zip(bitmaps["owner"], bitmaps["bitmap"], strict=True):
             at = np.flatnonzero(owner == o)
             flags[at] = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=len(at)).astype(bool)
         # flags travel; ids stay with Spark (a nullable id would turn into a float here)
-        return pd.DataFrame({"fp": mine["fp"].to_numpy()[flags]}).drop_duplicates()
+        return pd.DataFrame({"fp": fp[flags]})
 
     blocks = lean.select("sender", "fp").groupBy("sender").applyInPandas(
-        send, "sender int, owner int, n int, shift int, block binary")
+        send, "sender int, owner int, n int, shift int, block binary, again binary")
     bitmaps = blocks.groupBy("owner").applyInPandas(answer, "sender int, owner int, bitmap binary")
     suspected = (lean.select("sender", "fp").groupBy("sender").cogroup(bitmaps.groupBy("sender"))
                  .applyInPandas(read_back, "fp long").distinct())

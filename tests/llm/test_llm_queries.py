@@ -102,6 +102,21 @@ def test_golomb_round_trip():
             assert (golomb_decode(golomb_encode(v, shift), n, shift) == v).all()
 
 
+def test_a_hot_text_reaches_its_owner_once_per_sender():
+    import numpy as np
+
+    from haven.llm.exact import golomb_decode, sender_blocks
+    fps = np.array([77] * 1000 + list(range(5000, 7000)) + [6000, 90_000], np.int64)
+    blocks = sender_blocks(fps, 1 << 14)
+    assert sum(n for _, n, *_ in blocks) == 2002
+    sent, again = [], []
+    for owner, n, shift, block, bits in blocks:
+        own = golomb_decode(block, n, shift).astype(np.int64) + owner * (1 << 14)
+        sent += own.tolist()
+        again += own[np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)].tolist()
+    assert sent == sorted(set(fps.tolist())) and again == [77, 6000]
+
+
 def test_few_fingerprint_bits_change_nothing(spark, sf_dir):
     from haven.llm.exact import exact_dedup
     docs = read_table(spark, sf_dir, "documents")
