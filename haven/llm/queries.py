@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over the given tables."""
+"""The dealt operators as registered queries over the given tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haven.llm import lines, sharding, warc
+from haven.llm import lines, sharding, spelling, warc
 from haven.llm.common import read_table
 from haven.llm.decontam import contaminated
 from haven.llm.exact import exact_dedup
@@ -16,6 +16,7 @@ from haven.llm.langid import fit, held_out, predict
 from haven.llm.pieces import encode_documents
 from haven.llm.secret_scan import scan_secrets
 from haven.llm.setsketch import near_duplicates
+from haven.llm.spelling import spelling_groups
 from haven.llm.substring import substring_dedup
 
 #: The public vocabulary of operators 7 and 9.
@@ -66,10 +67,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(read_table(spark, sf_dir, "documents"), noise=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_exact_dedup, op3_sharding, op4_secret_scan, op5_decontamination, op6_warc,
-        op7_sentencepiece, op8_near_dedup, op9_language_id, op10_line_dedup)}
+        op7_sentencepiece, op8_near_dedup, op9_language_id, op10_line_dedup, op12_spelling_groups)}
 
 EXACT_ORACLE = r"""
 WITH d AS (
@@ -105,4 +110,5 @@ ORACLE: dict[str, str] = {
     "op3_sharding": sharding.ORACLE,
     "op6_warc": warc.ORACLE,
     "op10_line_dedup": lines.ORACLE,
+    "op12_spelling_groups": spelling.ORACLE,
 }
