@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haven.llm import lines, sharding, spelling, warc
+from haven.llm import dialogue, lines, sharding, spelling, warc
 from haven.llm.common import read_table
 from haven.llm.decontam import contaminated
+from haven.llm.dialogue import damaged, repair_structure
 from haven.llm.exact import exact_dedup
 from haven.llm.langid import fit, held_out, predict
 from haven.llm.pieces import encode_documents
@@ -71,10 +72,15 @@ def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(read_table(spark, sf_dir, "documents"), noise=97)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_structure(damaged(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_exact_dedup, op3_sharding, op4_secret_scan, op5_decontamination, op6_warc,
-        op7_sentencepiece, op8_near_dedup, op9_language_id, op10_line_dedup, op12_spelling_groups)}
+        op7_sentencepiece, op8_near_dedup, op9_language_id, op10_line_dedup, op12_spelling_groups,
+        op13_conversation_repair)}
 
 EXACT_ORACLE = r"""
 WITH d AS (
@@ -111,4 +117,5 @@ ORACLE: dict[str, str] = {
     "op6_warc": warc.ORACLE,
     "op10_line_dedup": lines.ORACLE,
     "op12_spelling_groups": spelling.ORACLE,
+    "op13_conversation_repair": dialogue.ORACLE,
 }
