@@ -14,6 +14,7 @@ from haven.llm.decontam import contaminated
 from haven.llm.dialogue import damaged, repair_structure
 from haven.llm.exact import exact_dedup
 from haven.llm.langid import fit, held_out, predict
+from haven.llm.main_text import main_text
 from haven.llm.pieces import encode_documents
 from haven.llm.secret_scan import scan_secrets
 from haven.llm.setsketch import near_duplicates
@@ -68,6 +69,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(read_table(spark, sf_dir, "documents"), noise=97)
 
@@ -79,7 +84,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_exact_dedup, op3_sharding, op4_secret_scan, op5_decontamination, op6_warc,
-        op7_sentencepiece, op8_near_dedup, op9_language_id, op10_line_dedup, op12_spelling_groups,
+        op7_sentencepiece, op8_near_dedup, op9_language_id, op10_line_dedup, op11_main_text, op12_spelling_groups,
         op13_conversation_repair)}
 
 EXACT_ORACLE = r"""
