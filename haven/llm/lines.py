@@ -1,13 +1,16 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-The index is a set of *runs*: sorted tables of (line hash, documents that hold
-it, largest such doc_id).  A new batch reduces its lines to one row per
-hash, merge-anti-joins the runs to find the lines never met before, writes
-those as its own sorted run at level 0 and the increments of known lines as a
-delta beside it.  When a level holds ``fanout`` runs they are compacted into one
-run of the next level, so a batch meets O(log batches) runs.
-
-Decisions read the merged runs: a line found in at least ``min_docs``
+The index has *runs*, sorted tables of (line hash, number of documents that hold
+it, largest such doc_id), and *increments* of the same columns.  A new batch
+reduces its lines to one row per hash and merge-anti-joins the runs: lines never
+met before become its own run at level 0, lines that a run holds become an
+increment.  So a line lies in exactly one run, with what its first batch knew of
+it, and all that came later is in the increments.  A level of ``fanout`` runs is
+compacted into one run of the next level, and increments likewise, so a batch
+meets O(log batches) runs.  Runs and increments are bucketed by hash: neither the
+anti-join nor a compaction nor the decision shuffles them again.
+
+The decision adds a run's increments to it: a line found in at least ``min_docs``
 documents goes everywhere but in the largest doc_id that holds it.
 
 DataFrame functions only; a line is named by 128 bits of hash.
@@ -15,12 +18,15 @@ DataFrame functions only; a line is named by 128 bits of hash.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haven.llm.common import WHITESPACE, ascii_lower, document_rows, same_row, written
+from haven.llm.common import WHITESPACE, ascii_lower, document_rows, scratch_root, written
 
 HASH = ["h1", "h2"]
 
@@ -45,53 +51,72 @@ def document_lines(rows: DataFrame, min_chars: int) -> DataFrame:
             .select("doc_id", "th", "pos", line_hashes(F.col("key")).alias("h")).select("doc_id", "th", "pos", "h.*"))
 
 
-def merge_runs(runs: list[DataFrame]) -> DataFrame:
-    return (reduce(DataFrame.unionByName, runs).groupBy(*HASH)
-            .agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc")))
-
-
 class LineIndex:
-    """Levelled runs; ``add`` takes batches, ``merged`` is the whole state."""
+    """Levelled runs and increments; ``add`` takes batches, ``totals`` is the whole state."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4):
         self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = []
-
-    def runs(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
-
-    def _store(self, run: DataFrame, level: int) -> DataFrame:
-        return written(run.sortWithinPartitions(*HASH), f"line-run-{level}")
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.runs: list[list[DataFrame]] = []
+        self.increments: list[list[DataFrame]] = []
+
+    def _store(self, rows: DataFrame, name: str) -> DataFrame:
+        """A table bucketed and sorted by hash."""
+        table = f"line_{name}_{uuid.uuid4().hex[:12]}"
+        (rows.select(*HASH, "n_docs", "max_doc").write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
+         .option("path", f"{scratch_root(self.spark)}/{table}").saveAsTable(table))
+        return self.spark.table(table)
+
+    def unmet(self, batch: DataFrame) -> DataFrame:
+        """The batch's lines that no run holds: one merge-anti-join a run."""
+        for run in chain.from_iterable(self.runs):
+            batch = batch.join(run, HASH, "left_anti")
+        return batch
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """Add a batch of (doc_id, n, h1, h2), one row per document, its count of
-        rows and hash; returns the batch's lines no earlier run holds."""
-        batch = self._store(lines.groupBy(*HASH).agg(F.sum("n").alias("n_docs"), F.max("doc_id").alias("max_doc")), 0)
-        known = self.runs()
-        fresh = batch
-        for run in known:  # O(log batches) merge-anti-joins
-            fresh = fresh.join(run.select(*HASH), HASH, "left_anti")
-        if not self.levels:
-            self.levels.append([])
-        if known:
-            fresh = self._store(fresh, 0)
-            again = self._store(batch.join(fresh.select(*HASH), HASH, "left_anti"), 0)
-            self.levels[0] += [fresh.unionByName(again)]
+        """Add a batch of (doc_id, h1, h2), one row per document and hash; returns
+        the lines never met before.  A document comes in one batch only."""
+        batch = self._store(lines.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("max_doc")), "batch")
+        if not self.runs:
+            fresh = batch
         else:
-            self.levels[0].append(batch)
-        self._compact()
+            fresh = self._store(self.unmet(batch), "run")
+            self._push(self.increments, self._store(batch.join(fresh, HASH, "left_anti"), "increment"), _summed)
+        self._push(self.runs, fresh, lambda runs: reduce(DataFrame.unionByName, runs))  # no line is in two of them
         return fresh
 
-    def _compact(self) -> None:
-        for level, runs in enumerate(self.levels):
-            if len(runs) >= self.fanout:
-                if level + 1 == len(self.levels):
-                    self.levels.append([])
-                self.levels[level + 1].append(self._store(merge_runs(runs), level + 1))
-                self.levels[level] = []
-
-    def merged(self) -> DataFrame:
-        return merge_runs(self.runs())
+    def _push(self, levels: list[list[DataFrame]], table: DataFrame, merge: Callable[[list[DataFrame]], DataFrame]) -> None:
+        """Put a table on level 0 and compact every level that is full."""
+        for level in range(len(levels) + 1):
+            if level == len(levels):
+                levels.append([])
+            levels[level].append(table)
+            if len(levels[level]) < self.fanout:
+                return
+            table = self._store(merge(levels[level]), f"level_{level + 1}")
+            levels[level] = []
+
+    def totals(self) -> DataFrame:
+        """(h1, h2, n_docs, max_doc) of every line: its run's row and its increments."""
+        out = []
+        for run in chain.from_iterable(self.runs):
+            for more in chain.from_iterable(self.increments):
+                added = more.select(*HASH, F.col("n_docs").alias("n"), F.col("max_doc").alias("m"))
+                run = run.join(added, HASH, "left").select(
+                    *HASH, (F.col("n_docs") + F.coalesce("n", F.lit(0))).alias("n_docs"), F.greatest("max_doc", "m").alias("max_doc"))
+            out.append(run)
+        return reduce(DataFrame.unionByName, out)
+
+
+def _summed(increments: list[DataFrame]) -> DataFrame:
+    """One increment for several, by merge joins: an aggregation over a union of
+    bucketed tables would either shuffle them or trust a partitioning that the
+    scans may give up."""
+    def pair(a: DataFrame, b: DataFrame) -> DataFrame:
+        b = b.select(*HASH, F.col("n_docs").alias("n"), F.col("max_doc").alias("m"))
+        return a.join(b, HASH, "full").select(*HASH, (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_docs"),
+                                              F.greatest("max_doc", "m").alias("max_doc"))
+    return reduce(pair, increments)
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 3, fanout: int = 2,
@@ -101,23 +126,20 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches:
 
     Lines are split at ``\\n`` of the whole text.  Null and empty texts are one
     empty line; lines under ``min_chars`` code points (stripped) never go; a
-    line repeated inside one document counts once for it; a row with a null id
-    counts as a document and loses its shared lines unless every holder is
-    null; wholly repeated rows count each; an empty table gives an empty result.
+    line repeated inside one document counts once for it.  Rows that share an
+    id are one document, repeated rows as well; rows with a null id are one
+    document too, the smallest.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = document_rows(docs)
     lines = written(document_lines(rows, min_chars), "lines")
     index = LineIndex(spark, fanout)
-    # one row per document row and hash: copies of a row share (doc_id, th, pos), so their number is the least count
-    per_doc = (lines.groupBy("doc_id", "th", *HASH, "pos").agg(F.count(F.lit(1)).alias("c"))
-               .groupBy("doc_id", "th", *HASH).agg(F.max("c").alias("n")))
     batch_of = F.pmod(F.xxhash64(F.lit("batch"), "doc_id"), F.lit(batches))
-    per_doc = written(per_doc.withColumn("batch", batch_of.cast("int")), "line-docs")
+    per_doc = written(lines.select("doc_id", *HASH).distinct().withColumn("batch", batch_of.cast("int")), "line-docs")
     for b in range(batches):
         index.add(per_doc.filter(F.col("batch") == b))
     # written, so that the join below stands on plain exchanges and a hot line's rows can be split
-    common = written(index.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "max_doc"), "line-common")
+    common = written(index.totals().filter(F.col("n_docs") >= min_docs).select(*HASH, "max_doc"), "line-common")
     gone = (lines.join(common, HASH).filter(~F.col("doc_id").eqNullSafe(F.col("max_doc")))
             .groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone")))
     # a bit per line up to the last dropped one, from the gaps between dropped positions
@@ -147,9 +169,9 @@ keyed AS (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
 common AS (
   SELECT key, max(doc_id) AS max_doc FROM keyed WHERE length(key) >= 20
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+  GROUP BY key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '~')) >= 3),
 judged AS (
-  SELECT k.*, (c.key IS NOT NULL AND k.doc_id <> c.max_doc) AS gone FROM keyed k LEFT JOIN common c USING (key))
+  SELECT k.*, (c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.max_doc) AS gone FROM keyed k LEFT JOIN common c USING (key))
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
