@@ -5,10 +5,11 @@ rank (rank - 1/2) / n(source) spreads every source evenly over [0, 1).  Sorting
 by it interleaves the sources in proportion, and cutting the order into equal
 runs gives shards whose counts differ by at most one and whose mixtures agree.
 
-Ranks come from buckets, never from one sort: a source is cut into hash-prefix
-buckets and the global order into fraction buckets, rows are numbered inside
-their bucket, and running sums over the bucket counts give the offsets.  A
-source holding a third of all rows is spread like any other.
+Places in an order come from a range exchange, never from one sort: rows are
+dealt by ranges of the order's own keys, numbered inside their range, and the
+ranges' counts give the offsets.  A source holding a third of all rows spreads
+like any other, and so do any number of sources of one row, whose fractions are
+all 1/2: the ranges cut by the whole key.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql.window import Window as W
 
 from haven.llm.common import written
 
-#: Rows numbered in one task group at most on average: buckets grow with the data.
+#: Rows numbered in one task on average: ranges grow with the data.
 ROWS_PER_BUCKET = 20_000
 
 
@@ -30,6 +31,21 @@ def shuffle_key(seed: int, doc_id, crc, size):
     return F.md5(F.concat_ws(":", F.lit(str(seed)), part(doc_id), part(crc), part(size)).cast("binary"))
 
 
+def numbered(rows: DataFrame, keys: list[str], ranges: int, name: str) -> DataFrame:
+    """``rows`` with their place (from 0) in the order by ``keys``, nulls first; rows alike in all keys in any order."""
+    # the salt spreads rows that are alike in all keys
+    salted = rows.withColumn("salt", F.monotonically_increasing_id())
+    dealt = salted.repartitionByRange(ranges, *keys, "salt").sortWithinPartitions(*keys, "salt").drop("salt")
+    # partition in the upper bits, row within it in the lower 33
+    at = written(dealt.withColumn("at", F.monotonically_increasing_id()), "shard-places")
+    at = at.withColumn("range", F.shiftright("at", 33)).withColumn("row", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    # one row per range
+    before = at.groupBy(F.col("range").alias("r")).agg(F.count(F.lit(1)).alias("k")).select(
+        "r", F.coalesce(F.sum("k").over(W.orderBy("r").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("before"))
+    return at.join(before, F.col("range") == F.col("r")).withColumn(name, F.col("row") + F.col("before")).drop(
+        "at", "range", "row", "r", "before")
+
+
 def interleave(docs: DataFrame, shards: int = 8, seed: int = 17, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Per document row: doc_id, size (UTF-8 bytes + 1), text_crc32, source,
     shard (0-based) and slot (gapless from 0 within the shard).
@@ -39,44 +55,23 @@ def interleave(docs: DataFrame, shards: int = 8, seed: int = 17, rows_per_bucket
     interchangeable, so ties cannot change the result as a set.  An empty
     table gives an empty result; shards beyond the row count stay empty.
     """
-    spark = docs.sparkSession
     utf8 = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     lean = docs.select("doc_id", "source", (F.octet_length(utf8) + 1).cast("long").alias("size"),
                        F.crc32(utf8).alias("text_crc32"))
-    lean = lean.withColumn("h", shuffle_key(seed, F.col("doc_id"), F.col("text_crc32"), F.col("size")))
-    lean = written(lean.withColumn("u", F.conv(F.substring("h", 1, 8), 16, 10).cast("long")), "shard-rows")
-
-    # rank within each source; a source's buckets follow its size
-    n_all = F.count(F.lit(1)).alias("n_source")
-    per_source = lean.groupBy("source").agg(n_all).withColumn(
-        "buckets", F.ceil(F.col("n_source") / rows_per_bucket).cast("long"))
-    keyed = lean.join(per_source.select(F.col("source").alias("src"), "n_source", "buckets"),
-                      lean["source"].eqNullSafe(F.col("src"))).drop("src")
-    keyed = keyed.withColumn("bucket", F.floor(F.col("u") * F.col("buckets") / F.lit(float(1 << 32))).cast("long"))
-    ahead = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (keyed.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("k"))
-               .withColumn("before", F.coalesce(F.sum("k").over(ahead), F.lit(0).cast("long")))
-               .select(F.col("source").alias("src"), F.col("bucket").alias("b"), "before"))
-    numbered = keyed.withColumn("rn", F.row_number().over(
-        W.partitionBy("source", "bucket").orderBy("h", "doc_id", "text_crc32", "size")))
-    ranked = numbered.join(offsets, numbered["source"].eqNullSafe(offsets["src"]) & (numbered["bucket"] == offsets["b"]))
-    # (2 * rank - 1) / (2 * n): the fraction, as whole numbers where it is compared
-    ranked = written(ranked.select(
-        "doc_id", "source", "size", "text_crc32", "h",
-        ((2 * (F.col("rn") + F.col("before")) - 1) / (2 * F.col("n_source"))).alias("frac")), "shard-ranks")
-
-    # place in the whole order, by fraction buckets
-    n = ranked.count()
-    cuts = max(1, -(-n // rows_per_bucket))
-    placed = ranked.withColumn("g", F.least(F.floor(F.col("frac") * cuts), F.lit(cuts - 1)).cast("long"))
-    totals = placed.groupBy("g").agg(F.count(F.lit(1)).alias("k"))
-    totals = totals.select(F.col("g").alias("at"), "k")
-    # one row per rows_per_bucket documents: summed level by level would be needed only beyond 10^9 buckets
-    before = totals.withColumn("before", F.coalesce(F.sum("k").over(
-        W.orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))).select("at", "before")
-    placed = placed.withColumn("rn", F.row_number().over(
-        W.partitionBy("g").orderBy("frac", F.col("source").asc_nulls_first(), "h", "doc_id", "text_crc32", "size")))
-    place = placed.join(before, placed["g"] == before["at"]).withColumn("place", F.col("rn") + F.col("before") - 1)
+    lean = written(lean.withColumn("h", shuffle_key(seed, F.col("doc_id"), F.col("text_crc32"), F.col("size"))), "shard-rows")
+    n = lean.count()
+    ranges = max(1, -(-n // rows_per_bucket))
+    ties = ["h", "doc_id", "text_crc32", "size"]
+
+    # rank within each source: place in the order by source, less the source's first place
+    by_source = numbered(lean, ["source", *ties], ranges, "place")
+    sources = by_source.groupBy(F.col("source").alias("src")).agg(F.count(F.lit(1)).alias("n_source"), F.min("place").alias("first"))
+    # (2 * rank - 1) / (2 * n): the fraction
+    frac = (2 * (F.col("place") - F.col("first")) + 1) / (2 * F.col("n_source"))
+    ranked = written(by_source.join(sources, by_source["source"].eqNullSafe(F.col("src")))
+                     .select("doc_id", "source", "size", "text_crc32", "h", frac.alias("frac")), "shard-ranks")
+
+    place = numbered(ranked, ["frac", "source", *ties], ranges, "place")
     small, extra = divmod(n, shards)
     cut = extra * (small + 1)  # the first ``extra`` shards hold one row more
     early = F.col("place") < cut
