@@ -10,12 +10,12 @@ element-wise maxima (mergeable), and equal registers signal similar sets
 Candidates: documents meet on bands of ``ROWS`` registers.  A band group is never
 paired off: members are linked to one changing leader per round, linked
 components drop out, and only members still in different components are
-compared in the last, complete round.  There a pair of a small group is a
-candidate row; a large group is compared inside tasks, block by block, on whole
-shingle sets (one matrix product per block pair gives every intersection), and
-only links come out.  A candidate row is dropped when its size ratio rules it
-out or when the joint likelihood of both sketches puts its similarity far below
-the threshold.  What remains is verified on whole shingle sets.
+compared in the last, complete round, inside tasks, block by block.  First by
+sketch alone: a pair counts in the first band it shares, and not if the size
+ratio rules it out or the joint likelihood of both sketches puts its similarity
+far below the threshold.  Only members with such a partner bring their whole
+shingle sets; one matrix product per block pair gives every intersection, and
+only links come out.  Pairs with a leader are estimated and verified alike.
 """
 
 from __future__ import annotations
@@ -38,10 +38,10 @@ BASE, RATE, TOP = 1.02, 20.0, 30_000
 #: Six standard deviations of the estimate below the threshold (0.75 with 192 registers).
 MARGIN = 0.19
 ROUNDS = 2
-#: Band groups up to this size give candidate rows; larger ones are compared inside tasks.
-SMALL_GROUP = 24
-#: Members of a large group that one task holds on either side of a comparison.
-BLOCK = 512
+#: Members of a band group on either side of one comparison, and shingles they have together, on average at most.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+#: Members that are compared by sketch with a block at once.
+STRIPE = 32
 #: Shingles per step of the matrix product.
 CHUNK = 4096
 
@@ -194,24 +194,37 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: list[str], rest: list[str])
         yield at, held
 
 
-def _small_groups(threshold: float):
-    """Likely pairs of a small group whose components differ, each in the first band its members share."""
+def _promising(threshold: float):
+    """Members of one block pair with a partner in another component that their sketches do not rule out.
+    A pair counts in the first band its members share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (band,), held in _grouped(batches, ["band"], ["node", "comp", "n", "registers"]):
-            node, comp, n = (np.array([r[i] for r in held]) for i in range(3))
-            i, j = np.triu_indices(len(held), 1)
-            ok = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9)
-            i, j = i[ok], j[ok]
-            if not len(i):
+        for (band, bi, bj), held in _grouped(batches, ["band", "bi", "bj"], ["node", "comp", "blk", "n", "registers"]):
+            side = [[r for r in held if r[2] == blk] for blk in (bi, bj)]
+            if not side[0] or not side[1]:
                 continue
-            regs = np.frombuffer(b"".join(r[3] for r in held), np.int16).reshape(-1, REGISTERS)
-            bands = band_hashes(regs)
-            first = bands[i, np.argmax(bands[i] == bands[j], axis=1)]
-            ok = (signed(first) == band) & likely(regs[i], regs[j], n[i].astype(float), n[j].astype(float), threshold - MARGIN)
-            i, j = i[ok], j[ok]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[i], node[j])),
-                                                  pa.array(np.minimum(node[i], node[j]))], names=["u", "v"])
+            comp, n = ([np.array([r[c] for r in rows]) for rows in side] for c in (1, 3))
+            regs = [np.frombuffer(b"".join(r[4] for r in rows), np.int16).reshape(-1, REGISTERS) for rows in side]
+            bands = [band_hashes(r) for r in regs]
+            found = [np.zeros(len(rows), bool) for rows in side]
+            for lo in range(0, len(side[0]), STRIPE):
+                part = slice(lo, lo + STRIPE)
+                i, j = np.nonzero((comp[0][part, None] != comp[1][None, :])
+                                  & (np.minimum(n[0][part, None], n[1]) >= threshold * np.maximum(n[0][part, None], n[1]) - 1e-9))
+                i += lo
+                for at in range(0, len(i), 1 << 13):
+                    a, b = i[at: at + (1 << 13)], j[at: at + (1 << 13)]
+                    first = bands[0][a, np.argmax(bands[0][a] == bands[1][b], axis=1)]
+                    ok = signed(first) == band
+                    a, b = a[ok], b[ok]
+                    ok = likely(regs[0][a], regs[1][b], n[0][a].astype(float), n[1][b].astype(float), threshold - MARGIN)
+                    found[0][a[ok]] = found[1][b[ok]] = True
+            rows = [r for k in ((0, 1) if bi != bj else (0,)) for r, ok in zip(
+                side[k], found[k] | found[1 - k] if bi == bj else found[k], strict=True) if ok]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v] * len(rows), t) for v, t in ((band, pa.int64()), (bi, pa.int32()), (bj, pa.int32()))]
+                    + [pa.array([r[c] for r in rows], t) for c, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.int32()))],
+                    names=["band", "bi", "bj", "node", "comp", "blk"])
     return run
 
 
@@ -234,8 +247,8 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
-def _large_groups(percent: int):
-    """Links of one block pair of a large group: one for each member and other component it reaches."""
+def _block_links(percent: int):
+    """Links of one block pair: one for each member and other component it reaches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, bi, bj), held in _grouped(batches, ["band", "bi", "bj"], ["node", "comp", "blk", "shingles"]):
             left, right = ([(n, c, np.frombuffer(x, np.uint64)) for n, c, b, x in held if b == k] for k in (bi, bj))
@@ -288,9 +301,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     # a head is (node, th): rows of one id with several sets are several heads of one node
     heads = written(heads.select("node", "th", F.col("n_shingles").alias("n"), "registers"), "sketch-heads")
     bands = heads.select("node", "registers").mapInArrow(_bands, "band long, node long")
-    groups = (bands.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead"), F.max("node").alias("top"))
+    groups = (bands.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("top"))
               .filter("lead <> top"))
-    met = written(bands.join(groups.select("band", "members"), "band"), "sketch-bands")
+    met = written(bands.join(groups.select("band"), "band"), "sketch-bands")
     suspects = written(met.select("node").distinct().join(heads, "node"), "sketch-suspects")
     texts = rows.select(F.col("doc_id").cast("long").alias("node"), "th", "text")
     sets = written(texts.join(suspects.select("node", "th"), ["node", "th"]).dropDuplicates(["node", "th"])
@@ -322,21 +335,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
         links = written(links.unionByName(found), "sketch-all-links")
         comps = written(components(links), "sketch-components")
         labelled = written(met.join(comps.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left")
-                           .select("band", "node", "members", F.coalesce("component", "node").alias("comp")), "sketch-labels")
+                           .select("band", "node", F.coalesce("component", "node").alias("comp")), "sketch-labels")
 
     # the complete round: whatever still lies in different components of one group
     open_ = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    rest = written(labelled.join(open_, "band"), "sketch-open")
-    small = (rest.filter(F.col("members") <= SMALL_GROUP).join(sk, "node").select("band", "node", "comp", "n", "registers")
-             .repartition("band").sortWithinPartitions("band").mapInArrow(_small_groups(threshold), "u long, v long").distinct())
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    large = rest.filter(F.col("members") > SMALL_GROUP).withColumn(
-        "blk", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
-    spread = (large.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-              .select("band", "node", "comp", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj")))
-    inside = (spread.join(sets, "node").repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
-              .mapInArrow(_large_groups(percent), "u long, v long").distinct())
-    found = verified(small).unionByName(inside)
+    rest = written(labelled.join(open_, "band").join(sk, "node"), "sketch-open")
+    blocks = rest.groupBy(F.col("band").alias("b")).agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cut = rest.join(blocks, F.col("band") == F.col("b")).withColumn(
+        "blk", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
+    spread = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "node", "comp", "blk", "n", "registers")
+    pair = ["band", "bi", "bj"]
+    members = written(spread.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(
+        _promising(threshold), "band long, bi int, bj int, node long, comp long, blk int"), "sketch-promising")
+    found = (members.join(sets, "node").repartition(*pair).sortWithinPartitions(*pair)
+             .mapInArrow(_block_links(percent), "u long, v long").distinct())
     links = written(links.unionByName(found), "sketch-final-links")
     comps = components(links)
     out = sketched.select("doc_id", "n_shingles").join(comps, F.col("doc_id") == F.col("node"), "left")
