@@ -41,7 +41,8 @@ THRESHOLD = 4.0
 HEAD = max(map(len, PLACEHOLDERS))
 
 # One statement: a name (quoted in JSON), a binding sign, then operands.  What follows a
-# possessive part is never one of its own characters, so every match stays linear.
+# possessive part is never one of its own characters, and a word ends at a binding sign (but
+# for base64 padding), so every match stays linear and no two operands read the same text again.
 BINDING = re.compile(r"""
     (?<![\w.$-]) (?P<q>["']?) (?P<name>[A-Za-z_$][\w.$-]*+) (?P=q) [\x20\t]*+
     (?: := | => | = (?![=~]) | : (?![:/]) ) [\x20\t]*+
@@ -49,7 +50,7 @@ BINDING = re.compile(r"""
 TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*+)>(?P<value>[^<>\x00-\x1f]{6,}+)</(?P=name)>", re.ASCII)
 OPERAND = re.compile(r"""
     "(?P<double>[^"\\\n]*(?:\\.[^"\\\n]*)*)" | '(?P<single>[^'\\\n]*(?:\\.[^'\\\n]*)*)'
-  | \$?\{?(?P<word>[A-Za-z0-9_$][\w.$+/=-]*)\}?
+  | \$?\{?(?P<word>[A-Za-z0-9_$][\w.$+/-]*+(?:={1,2}(?![\w.$+/=-]))?)\}?
 """, re.VERBOSE | re.ASCII)
 PLUS = re.compile(r"[\x20\t]*+(?:[+.][\x20\t]*+)?\+[\x20\t]*+", re.ASCII)
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
@@ -128,7 +129,8 @@ def flagged_literals(text: str) -> list[tuple[int, int]]:
     length: list[int] = []
     looks: list[str | float] = []  # a value's text, or its score where it is put together
     for i, (name, literals, refs) in enumerate(bindings):
-        mine = [x for x in literals if x[2] not in holds or x[2] not in refs]
+        referred = set(refs)
+        mine = [x for x in literals if x[2] not in holds or x[2] not in referred]
         value = Value(i, "".join(v for _, _, v in mine), [holds[r] for r in refs if r in holds])
         at.append([(a, b) for a, b, _ in mine])
         parts.append(value.parts)
