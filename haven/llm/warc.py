@@ -35,6 +35,8 @@ ARC_FIELDS = {
 CRLF = b"\r\n"
 END = "\r\n\r\n"
 MIN_REVISIT = 100
+#: Readers hold a compressed file and one record of it at a time.
+RECORDS_PER_FILE = 1000
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "arc-to-warc")
 
 
@@ -42,6 +44,7 @@ NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "arc-to-warc")
 class ArcRecord:
     fields: dict[str, str]
     body: bytes
+    is_version_block: bool = False
 
 
 def arc_version_block(version: int, name: str, date: str) -> bytes:
@@ -63,7 +66,8 @@ def arc_record(version: int, url: str, date: str, payload: bytes, content_type:
 
 
 def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """Records of one ARC file by its own version block; the block comes first.
+    """Records of one ARC file by its own version block, which is the record at
+    byte 0; elsewhere a URL may well begin with ``filedesc://``.
 
     A URL may hold spaces in old files, so a header is cut from the right: all
     fields but the first are free of spaces.
@@ -75,7 +79,8 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
         if not line:  # blank lines between records
             at = eol + 1
             continue
-        if line.startswith("filedesc://"):
+        block = at == 0 and line.startswith("filedesc://")
+        if block:
             n = int(line.rsplit(" ", 1)[1])
             body = data[eol + 1: eol + 1 + n]
             rows = body.decode("latin-1").splitlines()
@@ -87,13 +92,11 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
         body = data[eol + 1: eol + 1 + n]
         if len(body) != n:
             raise ValueError(f"an ARC body ends {n - len(body)} bytes early at byte {at}")
-        yield ArcRecord(dict(zip(fields, values, strict=True)), body)
+        yield ArcRecord(dict(zip(fields, values, strict=True)), body, block)
         at = eol + 1 + n
 
 
-def warc_type(url: str, body: bytes) -> str:
-    if url.startswith("filedesc://"):
-        return "warcinfo"
+def warc_type(body: bytes) -> str:
     return "response" if body.startswith(b"HTTP/") else "resource"
 
 
@@ -126,18 +129,49 @@ def warc_record(kind: str, url: str, date: str, digest: str, key: str, block: by
     return b"WARC/1.1" + CRLF + b"".join(f"{k}: {v}".encode() + CRLF for k, v in head) + CRLF + block
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record, by declared lengths."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
+def unzipped(data: bytes, size: int = 1 << 16) -> Iterator[bytes]:
+    """The content of gzip members, piece by piece."""
+    member = zlib.decompressobj(47)
+    for at in range(0, len(data), size):
+        piece = data[at: at + size]
+        while piece:
+            yield member.decompress(piece)
+            piece = member.unused_data
+            if member.eof:
+                member = zlib.decompressobj(47)
+
+
+def parse_warc(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record, by declared lengths; holds one record at a time."""
+    held, at = bytearray(), 0
+    pieces = iter(pieces)
+
+    def more() -> bool:
+        nonlocal at
+        piece = next(pieces, None)
+        if piece is not None and at:
+            del held[:at]
+            at = 0
+        held.extend(piece or b"")
+        return piece is not None
+
+    while len(held) > at or more():
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            if not more():
+                if held[at:]:
+                    raise ValueError("a WARC header is cut off")
+                return
+        lines = held[at:end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
+            raise ValueError(f"no WARC record where one should begin: {lines[0][:80]}")
         head = {k: v for k, v in (x.split(": ", 1) for x in lines[1:])}
-        n = int(head["Content-Length"])
-        yield head, data[end + 4: end + 4 + n]
-        at = end + 4 + n + 4
+        n, start = int(head["Content-Length"]), end + 4 - at
+        while len(held) - at < start + n + 4 and more():
+            pass
+        if len(held) - at < start + n:
+            raise ValueError("a WARC block is cut off")
+        yield head, bytes(held[at + start: at + start + n])
+        at += start + n + 4
 
 
 def pages_to_arc(pages: DataFrame) -> DataFrame:
@@ -163,7 +197,7 @@ def arc_records(arcs: DataFrame, key: str, extra: Column | None = None) -> DataF
             rows, out = [], []
             for i, data in enumerate(batch.column("arc").to_pylist()):
                 for r in parse_arc(data):
-                    if warc_type(r.fields["URL"], r.body) == "warcinfo":
+                    if r.is_version_block:
                         continue
                     payload = split_http(r.body)[1]
                     rows.append(i)
@@ -202,7 +236,7 @@ def convert(arcs: DataFrame, key: str, path: str, min_revisit: int = MIN_REVISIT
             for k, url, date, digest, body, first in zip(*(batch.column(c).to_pylist() for c in (
                     "_key", "url", "date", "digest", "body", "first")), strict=True):
                 if first is None:
-                    out.append(warc_record(warc_type(url, body), url, date, digest, text(k), body, None))
+                    out.append(warc_record(warc_type(body), url, date, digest, text(k), body, None))
                 else:
                     refers = record_id(first["url"], first["date"], digest, text(first["k"]))
                     out.append(warc_record("revisit", url, date, digest, text(k), split_http(body)[0], refers))
@@ -212,7 +246,7 @@ def convert(arcs: DataFrame, key: str, path: str, min_revisit: int = MIN_REVISIT
         F.col("first").isNotNull(), F.struct(F.col("first")[key].alias("k"), F.col("first.url").alias("url"),
                                              F.col("first.date").alias("date"))).alias("first"))
     (ready.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-     .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 4000).text(path))
+     .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -226,7 +260,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for data in batch.column("content").to_pylist():
                 out = []
-                for head, block in parse_warc(zlib.decompress(data, 47)):
+                for head, block in parse_warc(unzipped(data)):
                     http, payload = split_http(block)
                     kind, said = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha256:")
                     n = len(payload)
