@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from haven.llm.common import written
@@ -36,7 +37,7 @@ SPACE = "▁"
 LONG_WORD = 32
 #: Probability of a character that no piece covers, in every language.
 UNKNOWN_CHAR = 1e-9
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # numerals such as one half included, hence ``has_letter``
 WORD = re.compile(r"\S+")
 
 
@@ -189,6 +190,10 @@ class LanguageModel:
                 counts[i] += weight * math.exp(alpha[start] + q + beta[end] - alpha[n])
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def split_words(text: str) -> list[str]:
     return [SPACE + w for w in WORD.findall(text.lower())]
 
@@ -219,7 +224,10 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds: int = EM_ROUNDS) -> LanguageModel:
-    """Fit on at most ``train_docs`` labelled, not held-out documents per language.
+    """Fit on at most ``train_docs`` labelled, not held-out documents per language:
+    those with the smallest hashes of id.  A hash bound from the language's own
+    number of documents leaves a few times ``train_docs`` candidates to rank,
+    however many rows and splits there are.
 
     What reaches the driver is the piece table: at most (vocabulary x
     languages) numbers.  Words of any length are trained on, so every language of
@@ -228,10 +236,15 @@ def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds:
     """
     usable = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "doc_id", "lang", "text", F.xxhash64("text").alias("th"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("fit")), "th")
-    chosen = (usable.select("doc_id", "lang", "th").withColumn("r", F.row_number().over(order))
-              .filter(F.col("r") <= train_docs)
-              .select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.col("th").alias("t")).distinct())
+    usable = usable.withColumn("at", F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 40)))
+    # documents per language, by id: copies of one row do not narrow the bound
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("at").alias("n"))
+    bound = F.when(F.col("n") <= 8 * train_docs, F.lit(1 << 40)).otherwise(F.lit(float(1 << 40)) * 4 * train_docs / F.col("n"))
+    near = (usable.select("doc_id", "lang", "th", "at").join(sizes.select("lang", bound.alias("bound")), "lang")
+            .filter(F.col("at") < F.col("bound")).select("doc_id", "lang", "th", "at").distinct())
+    order = W.partitionBy("lang").orderBy("at", "doc_id", "th")
+    chosen = (near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= train_docs)
+              .select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.col("th").alias("t")))
     # at most train_docs rows a language: a bounded side
     sample = usable.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l"))
                          & (F.col("th") == F.col("t")), "left_semi")
@@ -295,7 +308,7 @@ def predict(docs: DataFrame, model: LanguageModel, model_path: str, carry: list[
             texts = batch.column("text").to_pylist()
             pred, score = [], []
             for lo in range(0, len(texts), 2000):  # enough new words at once for wide numpy steps
-                words = [split_words(t) if t is not None and languages and LETTER.search(t) else None for t in texts[lo: lo + 2000]]
+                words = [split_words(t) if t is not None and languages and has_letter(t) else None for t in texts[lo: lo + 2000]]
                 fresh = list({w for ws in words if ws for w in ws if w not in young})
                 if len(young) + len(fresh) > memory:  # bounded: start anew
                     young.clear()
@@ -318,7 +331,8 @@ def predict(docs: DataFrame, model: LanguageModel, model_path: str, carry: list[
                                              names=[*names, "lang_pred", "score"])
 
     kept = docs.select(*dict.fromkeys(["doc_id", *(carry or []), "text"]))
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", lang_pred string, score double"
+    out_schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
+                               T.StructField("score", T.DoubleType())])
     result = kept.mapInArrow(run, out_schema)
     return result if carry else result.select("doc_id", "lang_pred", "score")
 
