@@ -156,30 +156,34 @@ class PieceCodec:
         return out
 
     def _encode_run(self, text: str, block: int = 4096) -> list[int]:
-        """Very long runs without a space go block by block: a prefix of the
-        result is final once two encodings that end at different places agree
-        on it, which needs only a short look-ahead."""
-        if len(text) <= 2 * block:
-            return self._encode_known(text)
+        """Very long runs without a space go block by block.
+
+        An encoding is right exactly when every two neighbouring pieces are
+        compatible.  Those inside a block are by construction; the pair that is
+        joined at a seam is tested, and where it fails, pieces before the seam
+        are taken back and encoded with what follows, ever more of them.
+        """
         out: list[int] = []
-        at = 0
-        while len(text) - at > 2 * block:
-            ids = self._encode_known(text[at: at + 2 * block])
-            # cut at a boundary that is compatible whatever follows: verified against a longer view
-            wider = self._encode_known(text[at: at + 2 * block + 512])
-            keep, length = 0, 0
-            for a, b in zip(ids, wider, strict=False):
-                if a != b or length + len(self.text[a]) > block:
+        at, view, back = 0, 2 * block, 1
+        while True:
+            ids = self._encode_known(text[at: at + view])
+            if out and not self.compatible(out[-1], ids[0]):
+                take = out[-back:]
+                del out[-back:]
+                n = sum(len(self.text[i]) for i in take)
+                at, view, back = at - n, view + n, 2 * back
+                continue
+            if at + view >= len(text):
+                return out + ids
+            done = 0
+            for keep, i in enumerate(ids):  # all but the last block is kept, so every round gets further
+                if keep and done + len(self.text[i]) > view - block:
                     break
-                keep, length = keep + 1, length + len(self.text[a])
-            if not keep:
-                return out + self._encode_known(text[at:])
+                done += len(self.text[i])
+            else:
+                keep = len(ids)
             out += ids[:keep]
-            at += length
-            rest = self._encode_known(text[at: at + block])
-            if not rest or not self.compatible(out[-1], rest[0]):
-                return out[:-keep] + self._encode_known(text[at - length:])
-        return out + self._encode_known(text[at:])
+            at, view, back = at + done, 2 * block, 1
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, begin and end included."""
