@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from haven.llm.common import WHITESPACE, document_rows, same_row, written
 
 _WS = WHITESPACE.encode()
+#: Fingerprints that one owner compares, on average at most.
+OWNER_ROWS = 5_000_000
 
 
 def golomb_encode(values: np.ndarray, shift: int) -> bytes:
@@ -95,14 +97,15 @@ def exact_dedup(docs: DataFrame, owners: int | None = None, fingerprint_bits: in
     comparing, never the result: suspects are compared on whole texts.
     """
     spark = docs.sparkSession
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
     space = 1 << fingerprint_bits
-    per_owner = -(-space // owners)
     rows = document_rows(docs).withColumn("n_cp", F.length("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     lean = written(rows.mapInArrow(_fingerprint, f"sender int, text_sha256 string, doc_id {id_type}, th long, n_cp int")
                    .withColumn("fp", F.conv(F.substring("text_sha256", 1, 15), 16, 10).cast("long")
                                .bitwiseAND(F.lit(space - 1))), "exact-fingerprints")
+    # an owner's share is bounded whatever the width of a shuffle
+    owners = owners or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lean.count() // OWNER_ROWS))
+    per_owner = -(-space // owners)
 
     def send(key, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([(key[0], *b) for b in sender_blocks(pdf["fp"].to_numpy(), per_owner)],
