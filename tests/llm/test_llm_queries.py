@@ -386,9 +386,9 @@ def test_near_dedup_groups_around_the_threshold(spark, monkeypatch):
     docs |= {5000: None, 5001: "", 5002: " \t\n", 5003: "One two", 5004: "one TWO", 5005: "one two three"}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
     want = brute_components(docs)
-    monkeypatch.setattr(setsketch, "BLOCK", 16)
-    for small in (24, 1, 10_000):  # pairs of large groups inside tasks, all groups so, and none
-        monkeypatch.setattr(setsketch, "SMALL_GROUP", small)
+    for block, shingles in ((512, 1 << 21), (16, 1 << 21), (512, 100)):  # blocks change nothing
+        monkeypatch.setattr(setsketch, "BLOCK", block)
+        monkeypatch.setattr(setsketch, "BLOCK_SHINGLES", shingles)
         assert {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in setsketch.near_duplicates(df).collect()} == want
 
 
