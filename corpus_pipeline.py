@@ -1,7 +1,10 @@
 """The corpus pipeline: five operators in a row over ``documents``.
 
 Each stage works on all its predecessor kept, takes its decisions on whole
-texts and, but for the last, returns the columns of ``documents``.
+texts and, but for the last, returns the columns of ``documents``.  Columns
+beyond ``doc_id`` and ``text`` pass as they are, whatever their names: a stage
+holds them in one struct beside its own.  An empty table gives an empty table
+of the same columns.
 """
 
 from __future__ import annotations
@@ -25,25 +28,44 @@ MIN_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letters, or none that stands out."""
-    scored = predict(docs, fit(docs, VOCABULARY), VOCABULARY, carry=docs.columns)
-    return scored.filter((F.col("lang_pred") != UNKNOWN_WORD) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    """Drops documents without a language: none that stands out, or no letter,
+    so null, empty and blank texts go.  Each row is judged by itself, with
+    ties going to the first language by name: repeated rows and null ids go or
+    stay alike, and texts of any length are scored whole.
+    """
+    held = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    scored = predict(held, fit(docs, VOCABULARY), VOCABULARY, carry=["row"])
+    return scored.filter((F.col("lang_pred") != UNKNOWN_WORD) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes shared lines out of the texts; every document stays."""
-    out = line_dedup(docs, keep=docs.columns).withColumn("text", F.col("kept_text"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Takes shared lines out of the texts; every document stays.
+
+    A null text becomes an empty one; ``n_chars`` follows the text.  Rows of
+    one id are one document, so repeated rows keep or lose a line alike, and a
+    tie for the largest id cannot be; null ids are one document, the smallest.
+    """
+    out = line_dedup(docs.select(F.struct("*").alias("row"), "doc_id", "text"), keep=["row"])
+    text = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return out.select(*(text.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group."""
+    """Keeps one document of each near-duplicate group: the smallest id.
+
+    Documents without a word, null texts among them, are linked with nothing
+    and stay, as do null ids; repeated rows of the kept id all stay.
+    """
     stays = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("stays_id")).distinct()
     return docs.join(stays, docs["doc_id"].eqNullSafe(stays["stays_id"]), "left_semi")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item.
+
+    Null and empty texts hold none.  A row is known by its id and its text's
+    hash, so rows of one id are judged each by its own text, and null ids too.
+    """
     keyed = document_rows(docs)
     hits = contaminated(keyed, read_table(spark, sf_dir, "benchmark"), keys=("doc_id", "th")).select(
         F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th")).distinct()
@@ -52,7 +74,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left."""
+    """Token ids of what is left, row by row; null and empty texts have the begin and end ids alone."""
     return encode_documents(docs, VOCABULARY)
 
 
