@@ -1,21 +1,13 @@
-"""Bed status, availability, hourly utilisation and nearest open bed."""
+"""Bed status, availability and hourly utilisation (the nearest open bed: ``nearest``)."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haven.functions.geo import haversine_km, sphere_xyz
 from haven.operators.keys import last_by_key
 from haven.operators.sequence import ordered_by_key
 
-NEAREST_K = 3
-SEARCH_CELL_DEG = 0.05
-#: Growth of the cell width from level to level; at least 2 * sqrt(3), see ``nearest``.
-LEVEL_STEP = 4.0
-
 
 def bed_status_current(bed_events: DataFrame) -> DataFrame:
     """Latest event per bed by (event_time, event_id); CHECKIN means occupied.
@@ -85,60 +77,3 @@ def bed_utilization_hourly(bed_events: DataFrame, as_of) -> DataFrame:
     seen = bed_events.groupBy("project_id").agg(F.count_distinct("bed_id").alias("beds_seen"))
     return (occ.join(seen, "project_id", "inner")
             .withColumn("utilization", F.round(F.col("occupied_beds") / F.col("beds_seen"), 6)))
-
-
-def nearest(points: DataFrame, candidates: DataFrame, k: int = NEAREST_K,
-            cell_deg: float = SEARCH_CELL_DEG) -> DataFrame:
-    """Exact k nearest candidates per point by haversine, without a cross join.
-
-    Both sides lie on the unit sphere and are cut into cubic cells at several
-    levels, each ``LEVEL_STEP`` times as wide as the one before, up to cells
-    wider than the sphere's radius.  Counting candidates per cell gives each
-    point its finest level at which the 3 x 3 x 3 cells around it hold k
-    candidates.  Those lie within 2 * sqrt(3) cell widths, less than one width
-    of the next level, so the 27 cells of that next level hold the k nearest:
-    they alone are joined and ranked.  The plan is two equi-joins whatever the
-    data, with no search loop; a crowded cell is an ordinary skewed join key.
-
-    Of candidates at one place only the k smallest ids can be among the answer,
-    and only they go on.  Points or candidates without a place find nothing;
-    where fewer than k candidates exist, all of them are returned.
-
-    points: (pid, lat, lon); candidates: (cid, lat, lon, + payload columns).
-    """
-    payload = [c for c in candidates.columns if c not in ("cid", "lat", "lon")]
-    widths = [math.radians(cell_deg)]
-    while widths[-1] < 2.0:
-        widths.append(widths[-1] * LEVEL_STEP)
-    top = len(widths) - 1
-    cell = ["level", "cx", "cy", "cz"]
-
-    def cells(df: DataFrame, lat: str, lon: str, around: bool = False) -> DataFrame:
-        at = [F.floor(v / F.col("width")) for v in sphere_xyz(F.col(lat), F.col(lon))]
-        for name, v in zip(cell[1:], at, strict=True):
-            df = df.withColumn(name, F.explode(F.sequence(v - 1, v + 1)) if around else v)
-        return df
-
-    def levels(df: DataFrame) -> DataFrame:
-        per_level = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(w).alias("width")) for i, w in enumerate(widths)])
-        return df.select("*", F.inline(per_level))
-
-    same_place = Window.partitionBy("c_lat", "c_lon").orderBy("cid")
-    cands = candidates.select("cid", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"), *payload)
-    cands = (cands.filter(F.col("c_lat").isNotNull() & F.col("c_lon").isNotNull())
-             .withColumn("_nth", F.row_number().over(same_place)).filter(F.col("_nth") <= k).drop("_nth"))
-    cands = cells(levels(cands), "c_lat", "c_lon").drop("width")
-    pts = points.select("pid", "lat", "lon")
-
-    held = cands.filter(F.col("level") < top).groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
-    enough = (cells(levels(pts).filter(F.col("level") < top), "lat", "lon", around=True)
-              .join(held, cell).groupBy("pid", "level").agg(F.sum("n").alias("n")).filter(F.col("n") >= k)
-              .groupBy("pid").agg((F.min("level") + 1).alias("level")))
-    width = F.get(F.array(*[F.lit(w) for w in widths]), F.col("level"))
-    probes = (pts.join(enough, "pid", "left").withColumn("level", F.coalesce("level", F.lit(top)))
-              .withColumn("width", width))
-    hits = (cells(probes, "lat", "lon", around=True).drop("width").join(cands, cell)
-            .withColumn("distance_km", haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"))))
-    w = Window.partitionBy("pid").orderBy("distance_km", "cid")
-    ranked = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select("pid", "rank", "cid", F.round("distance_km", 6).alias("distance_km"), *payload)

@@ -10,6 +10,7 @@ from haven import contracts as C
 from haven.functions.privacy import hash_and_drop_client
 from haven.operators import beds, care, outreach
 from haven.operators.metrics import latest_value
+from haven.operators.nearest import nearest
 from haven.plans.context import Ctx
 from haven.plans.oracle_base import sql
 from haven.plans.registry import query
@@ -72,7 +73,7 @@ def bed_utilization_hourly(spark, sf_dir):
 def nearest_open_bed(spark, sf_dir):
     """3 nearest projects with an open bed from each outreach zone's centre.
 
-    Exact grid search (no cross join); the oracle checks it by brute force.
+    Exact search down a tree of cells (no cross join); the oracle checks it by brute force.
     """
     ctx = Ctx(spark, sf_dir)
     zones = (ctx.raw.outreach.groupBy("zone")
@@ -83,7 +84,7 @@ def nearest_open_bed(spark, sf_dir):
     cands = (_availability(ctx).filter(F.col("beds_open") > 0)
              .join(p, F.col("project_id") == F.col("ProjectID"), "inner")
              .select(F.col("project_id").alias("cid"), "lat", "lon", "beds_open"))
-    return (beds.nearest(zones, cands)
+    return (nearest(zones, cands)
             .select(F.col("pid").alias("zone"), "rank", F.col("cid").alias("project_id"),
                     "distance_km", "beds_open"))
 
