@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haven import contracts as C
-from haven.operators.keys import last_by_key
+from haven.operators.keys import hex_key, last_by_key
 from haven.operators.sequence import ordered_by_key
 
 EPOCH = "1970-01-01 00:00:00"
@@ -63,8 +63,8 @@ def history_from_changes(base: DataFrame, changes: DataFrame) -> DataFrame:
                             lead={"valid_to": "valid_from"}, row_number="version")
     filled = filled.select("client_id_hash", "valid_from", *FIELDS, "valid_to",
                            F.col("version").cast("int").alias("version"))
-    return (filled.join(attrs, "client_id_hash", "inner")
-            .withColumn("is_current", F.col("valid_to").isNull()))
+    return with_version_key(filled.join(attrs, "client_id_hash", "inner")
+                            .withColumn("is_current", F.col("valid_to").isNull()))
 
 
 def scd2_history(base: DataFrame, case_updates: DataFrame) -> DataFrame:
@@ -94,7 +94,8 @@ def merge_history(history: DataFrame, log: DataFrame, base: DataFrame,
 
 def with_version_key(history: DataFrame) -> DataFrame:
     """The history with a surrogate key per version: the same client and start give the same key in every run."""
-    return history.withColumn("client_version_key", F.xxhash64("client_id_hash", "valid_from"))
+    start = F.unix_micros("valid_from").cast("string")
+    return history.withColumn("client_version_key", hex_key(F.sha2(F.concat_ws("|", "client_id_hash", start), 256)))
 
 
 def as_of_rows(history: DataFrame, ts) -> DataFrame:

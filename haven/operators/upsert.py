@@ -7,24 +7,36 @@ beside the table, then the list of those partitions; the table is only read.
 *Publish*: the staged content replaces the touched partitions, partitions left
 without rows are removed, and the stage is dropped, its list first.
 
+Where the old versions are is told by a *key index* beside the table: (key,
+partition) rows in buckets by key hash.  A batch reads the buckets of its own
+keys, then the partitions they name, and no key column of any other partition;
+after the publish the same buckets are rewritten.  The index carries the names of
+the table's files: after anything else wrote the table, or a run died before its
+index was written, it is built anew from the key column.
+
 A run that dies while staging leaves the table as it was; one that dies while
 publishing leaves a complete stage, and ``recover`` (which every upsert calls
 first) publishes it again.  Nothing then depends on what the table's touched
 partitions hold, so no row is lost.  One writer at a time per table.
+
+A null key is a key like any other: its rows are replaced by the next batch that
+has rows without a key.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haven.session import job_dir
 
 
 def _delete_partition(spark: SparkSession, table_path: str, part_col: str, value) -> None:
-    value = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    value = "__HIVE_DEFAULT_PARTITION__" if value is None else escape(str(value))
     _drop(spark, f"{table_path}/{part_col}={value}")
 
 
@@ -54,6 +66,71 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+# ---- the key index ------------------------------------------------------------------
+
+#: Buckets of a new index; a batch of few keys reads few of them.
+INDEX_BUCKETS = 16
+
+
+def _index_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}__keys"
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _index_rows(rows: DataFrame, key: str, part_col: str, buckets: int) -> DataFrame:
+    return rows.select(F.col(key).alias("key"), F.col(part_col).alias("part"), _bucket(F.col(key), buckets).alias("bucket"))
+
+
+def _write_index(rows: DataFrame, path: str) -> None:
+    (rows.distinct().hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(f"{path}/rows"))
+
+
+def _file_names(table: DataFrame) -> str:
+    """What files a table has; every write gives its files new names."""
+    return hashlib.sha256("\n".join(sorted(table.inputFiles())).encode()).hexdigest()
+
+
+def _write_stamp(spark: SparkSession, path: str, table: DataFrame, buckets: int) -> None:
+    spark.createDataFrame([(_file_names(table), buckets)], "files string, buckets int").coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}/stamp")
+
+
+def build_index(spark: SparkSession, table_path: str, key: str, part_col: str, buckets: int = INDEX_BUCKETS) -> None:
+    """Write the index from the table's key column."""
+    path, table = _index_path(table_path), spark.read.parquet(table_path)
+    _drop(spark, path)
+    _write_index(_index_rows(table, key, part_col, buckets), path)
+    _write_stamp(spark, path, table, buckets)
+
+
+def index_buckets(spark: SparkSession, table_path: str, table: DataFrame) -> int | None:
+    """The number of buckets of an index that tells of just this table's files."""
+    path = _index_path(table_path)
+    fs, done = _fs(spark, f"{path}/stamp/_SUCCESS")
+    if not fs.exists(done):
+        return None
+    stamp = spark.read.parquet(f"{path}/stamp").first()
+    return stamp["buckets"] if stamp["files"] == _file_names(table) else None
+
+
+def _own_buckets(spark: SparkSession, table_path: str, keys: DataFrame, buckets: int) -> DataFrame:
+    """Index rows of the buckets that the keys fall into; other buckets' files stay closed."""
+    own = [r[0] for r in keys.select(_bucket(F.col("_key"), buckets)).distinct().collect()]
+    return spark.read.parquet(f"{_index_path(table_path)}/rows").filter(F.col("bucket").isin(own))
+
+
+def create(df: DataFrame, table_path: str, key: str, part_col: str, buckets: int = INDEX_BUCKETS) -> None:
+    """First load of a table, with its key index."""
+    write_partitioned(df, table_path, part_col, mode="errorifexists")
+    build_index(df.sparkSession, table_path, key, part_col, buckets)
+
+
+# ---- stage and publish ---------------------------------------------------------------
+
 def stage(spark: SparkSession, table_path: str, changes: DataFrame, key: str, part_col: str,
           target: DataFrame) -> None:
     """Write the new content of every touched partition beside the table."""
@@ -62,20 +139,39 @@ def stage(spark: SparkSession, table_path: str, changes: DataFrame, key: str, pa
     batch_path = job_dir(spark, "upsert-batch")
     changes.select(*target.columns).write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
-    keys = batch.select(key)
+    keys = batch.select(F.col(key).alias("_key"))
+    if (buckets := index_buckets(spark, table_path, target)) is None:
+        buckets = INDEX_BUCKETS
+        build_index(spark, table_path, key, part_col, buckets)
+    held = _own_buckets(spark, table_path, keys, buckets)
     # touched partition values (bounded by the table's partition count) become
     # a static partition filter: untouched partitions are never read
-    old_parts = target.join(keys, key, "left_semi").select(part_col)
+    old_parts = held.join(keys, F.col("key").eqNullSafe(F.col("_key")), "left_semi").select(F.col("part").alias(part_col))
     touched = old_parts.unionByName(batch.select(part_col)).distinct()
     values = [r[0] for r in touched.collect()]
+    kept = _within(target, part_col, values).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    kept.unionByName(batch.select(*target.columns)).write.parquet(f"{base}/content")
+    # written last: its _SUCCESS says that the stage is complete
+    spark.createDataFrame([(v,) for v in values], touched.schema).coalesce(1).write.parquet(f"{base}/touched")
+
+
+def _within(target: DataFrame, part_col: str, values: list) -> DataFrame:
     dates = [t for t in values if t is not None]
     within = F.col(part_col).isin(dates)
     if len(dates) < len(values):  # rows without a date have a partition of their own
         within = within | F.col(part_col).isNull()
-    kept = target.filter(within).join(keys, key, "left_anti")
-    kept.unionByName(batch.select(*target.columns)).write.parquet(f"{base}/content")
-    # written last: its _SUCCESS says that the stage is complete
-    spark.createDataFrame([(v,) for v in values], touched.schema).coalesce(1).write.parquet(f"{base}/touched")
+    return target.filter(within)
+
+
+def _reindex(spark: SparkSession, table_path: str, changes: DataFrame, key: str, part_col: str, buckets: int) -> None:
+    """Bring the buckets of the changed keys up to date with a table that was just published."""
+    keys = changes.select(F.col(key).alias("_key"))
+    held = _own_buckets(spark, table_path, keys, buckets)
+    others = held.join(keys, F.col("key").eqNullSafe(F.col("_key")), "left_anti")
+    path = _index_path(table_path)
+    # dynamic overwrite swaps whole buckets after all of them are read
+    _write_index(others.select("key", "part", "bucket").unionByName(_index_rows(changes, key, part_col, buckets)), path)
+    _write_stamp(spark, path, spark.read.parquet(table_path), buckets)
 
 
 def publish(spark: SparkSession, table_path: str, part_col: str) -> dict:
@@ -116,7 +212,11 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
     if recover(spark, table_path, part_col) or target is None:
         target = spark.read.parquet(table_path)
     stage(spark, table_path, changes, key, part_col, target)
-    return publish(spark, table_path, part_col)
+    buckets = index_buckets(spark, table_path, target)
+    out = publish(spark, table_path, part_col)
+    if out["touched_partitions"]:
+        _reindex(spark, table_path, changes, key, part_col, buckets)
+    return out
 
 
 def high_water_mark(table: DataFrame, col: str):

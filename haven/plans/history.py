@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from haven import contracts as C
 from haven.functions.privacy import hash_and_drop_client
 from haven.operators import history, upsert
+from haven.operators.history_store import HistoryStore
 from haven.operators.metrics import latest_value
 from haven.plans.context import Ctx
 from haven.plans.oracle_base import sql
@@ -39,7 +40,8 @@ _HIST_CTES = _CHANGES_CTES + (
     "CAST(row_number() OVER (PARTITION BY h ORDER BY valid_from) AS INTEGER) AS version FROM vers), "
     "hist AS (SELECT x.h AS client_id_hash, x.valid_from, " + ", ".join(f"x.{f}" for f in _F)
     + ", x.valid_to, x.version, c.Gender AS gender, c.Race AS race, c.Ethnicity AS ethnicity, "
-    "c.VeteranStatus AS veteran_status, c.YearOfBirth AS year_of_birth, x.valid_to IS NULL AS is_current "
+    "c.VeteranStatus AS veteran_status, c.YearOfBirth AS year_of_birth, x.valid_to IS NULL AS is_current, "
+    "CAST('0x' || substr(sha256(x.h || '|' || epoch_us(x.valid_from)), 1, 15) AS BIGINT) AS client_version_key "
     "FROM filled x JOIN silver_clients c ON x.h = c.ClientID_hash)")
 
 _AS_OF_SQL = ("(SELECT date_trunc('day', min(event_time)) + INTERVAL 14 DAY FROM case_updates)")
@@ -77,23 +79,18 @@ def scd2_incremental_merge(spark, sf_dir):
 
     Load 1 holds the first half of the updates by arrival (event id); load 2
     the rest, which includes events older than load 1's newest (backdated).
-    The first history and its change log are stored as tables in the shared
-    folder and read back, as a scheduled job would find them.
+    History and change log are a bucketed store in the shared folder; the
+    second load rewrites the buckets of its own clients, as a scheduled job would.
     """
     ctx = Ctx(spark, sf_dir)
     cu = _case(ctx).withColumn("_arrival", F.substring("event_id", 4, 20).cast("bigint"))
     split = cu.agg(F.percentile_approx("_arrival", 0.5)).first()[0]
     first, second = cu.filter(F.col("_arrival") <= split), cu.filter(F.col("_arrival") > split)
     base = ctx.silver_clients
-    root = job_dir(spark, "scd2")
-    history.scd2_history(base, first.drop("_arrival")).write.parquet(f"{root}/history_v1")
-    history.collapse(first.drop("_arrival")).write.parquet(f"{root}/log_v1")
-    h1 = spark.read.parquet(f"{root}/history_v1")
-    log1 = spark.read.parquet(f"{root}/log_v1")
-    merged, log2 = history.merge_history(h1, log1, base, second.drop("_arrival"))
-    merged.write.parquet(f"{root}/history_v2")
-    log2.write.parquet(f"{root}/log_v2")
-    return spark.read.parquet(f"{root}/history_v2")
+    store = HistoryStore(spark, job_dir(spark, "scd2"))
+    store.create(base, first.drop("_arrival"))
+    store.merge(base, second.drop("_arrival"))
+    return store.history()
 
 
 @query("dim_client_as_of", sql(
@@ -150,7 +147,7 @@ def incremental_fact(spark, sf_dir):
     last = latest_value(first, "service_date")
     late = (F.col("service_type") == "Hygiene kit") & F.col("service_date").between(
         F.lit(last - dt.timedelta(days=LOOKBACK_DAYS)), F.lit(last - dt.timedelta(days=1)))
-    upsert.write_partitioned(first.filter(~F.coalesce(late, F.lit(False))), path, "service_date", mode="errorifexists")
+    upsert.create(first.filter(~F.coalesce(late, F.lit(False))), path, "service_id", "service_date")
     table = spark.read.parquet(path)
     hwm = upsert.high_water_mark(table, "service_date")
     fixes = (table.filter((F.col("service_type") == "Meal")

@@ -111,3 +111,90 @@ def test_keys_stable_across_runs(spark, sf_dir):
     ka = {r.client_id_hash: r.client_key for r in a.collect()}
     kb = {r.client_id_hash: r.client_key for r in b.collect()}
     assert ka == kb and len(set(ka.values())) == len(ka)
+
+
+def _store_rows(store):
+    return sorted(tuple(r) for r in store.history().select("client_id_hash", "version", "valid_from", "valid_to", "HousingStatus",
+                                                           "ContactStatus", "client_version_key").collect())
+
+
+def test_store_rewrites_only_touched_buckets(spark, scratch):
+    """Untouched buckets keep their files; merges equal one shot; old versions stay readable."""
+    from haven.operators.history_store import HistoryStore
+    ids = [f"c{i}" for i in range(40)]
+    base = _base(spark, ids)
+    rows = [("u", f"c{i % 40}", "HousingStatus" if i % 3 else "ContactStatus", f"v{i % 4}", i % 50) for i in range(200)]
+    full = _updates(spark, rows)
+    number = F.substring("event_id", 4, 9).cast("int")
+    store = HistoryStore(spark, scratch, buckets=8)
+    store.create(base, full.filter(number < 150))
+    before, first = store.manifest(), _store_rows(store)
+    one = full.filter((number >= 150) & (F.col("client_id_hash") == "c3"))  # backdated for one client
+    files = set(store.history().inputFiles())
+    touched = store.merge(base, one)
+    after = store.manifest()
+    assert len(touched) == 1 and {k for k in after if after[k] != before.get(k)} == {(k, b) for k in ("history", "log") for b in touched}
+    assert len(set(store.history().inputFiles()) & files) >= len(files) - len([f for f in files if f"_bucket={min(touched)}/" in f])
+    store.merge(base, full.filter((number >= 150) & (F.col("client_id_hash") != "c3")))
+    whole = HistoryStore(spark, f"{scratch}-one", buckets=8)
+    whole.create(base, full)
+    assert _store_rows(store) == _store_rows(whole)
+    assert sorted(tuple(r) for r in store.log().collect()) == sorted(tuple(r) for r in whole.log().collect())
+    assert store.merge(base, full.limit(0)) == set() and store.version() == 2
+    assert len(store.history(version=0).collect()) == len(first)
+
+
+def test_store_ignores_a_merge_that_died(spark, scratch):
+    from haven.operators.history_store import HistoryStore
+    base = _base(spark, ["a", "b"])
+    store = HistoryStore(spark, scratch, buckets=2)
+    store.create(base, _updates(spark, [("u", "a", "HousingStatus", "x", 1)]))
+    before = _store_rows(store)
+    # data written, manifest begun but not finished
+    spark.createDataFrame([("history", 0, "nowhere")], "kind string, bucket int, folder string").write.parquet(f"{scratch}/manifests/000001")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{scratch}/manifests/000001/_SUCCESS")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+    assert store.version() == 0 and _store_rows(store) == before
+
+
+def test_upsert_reads_only_candidate_partitions(spark, scratch):
+    """The key index names the old partitions; null keys do not double; a foreign write rebuilds the index."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(30)]
+    schema = "k string, d date, v int"
+    rows = {f"k{i}": (days[i % 30], i) for i in range(300)}
+    path = f"{scratch}/t"
+    upsert.create(spark.createDataFrame([(k, d, v) for k, (d, v) in rows.items()], schema), path, "k", "d", buckets=8)
+
+    def read():
+        return sorted((r.k or "", r.d, r.v) for r in spark.read.parquet(path).collect())
+
+    def names():
+        return {f for f in spark.read.parquet(path).inputFiles()}
+    before = names()
+    batch = spark.createDataFrame([("k5", days[6], -1), ("new", days[7], -2), (None, days[8], -3)], schema)
+    for _ in range(3):
+        assert upsert.index_buckets(spark, path, spark.read.parquet(path)) == 8
+        upsert.upsert(spark, path, batch, "k", "d")
+        rows.update({"k5": (days[6], -1), "new": (days[7], -2), "": (days[8], -3)})
+        assert read() == sorted((k, d, v) for k, (d, v) in rows.items())
+    gone = {f.split("d=")[1][:10] for f in before - names()}
+    assert gone == {str(days[i]) for i in (5, 6, 7, 8)}  # nothing else was rewritten
+    # only the buckets of the batch's keys are opened
+    few = upsert._own_buckets(spark, path, spark.createDataFrame([("k5",)], "_key string"), 8)
+    assert {r.bucket for r in few.select("bucket").distinct().collect()} == {
+        spark.createDataFrame([("k5",)], "k string").select(upsert._bucket(F.col("k"), 8)).first()[0]}
+    # somebody else appends: the index no longer tells of the table's files
+    spark.createDataFrame([("k777", days[1], 9)], schema).write.mode("append").partitionBy("d").parquet(path)
+    assert upsert.index_buckets(spark, path, spark.read.parquet(path)) is None
+    upsert.upsert(spark, path, spark.createDataFrame([("k777", days[2], 10)], schema), "k", "d")
+    rows["k777"] = (days[2], 10)
+    assert read() == sorted((k, d, v) for k, (d, v) in rows.items())
+
+
+def test_partition_values_are_escaped(spark, scratch):
+    path = f"{scratch}/t"
+    schema = "k string, p string, v int"
+    upsert.create(spark.createDataFrame([("a", "x=1/y", 1), ("b", "plain", 2)], schema), path, "k", "p")
+    upsert.upsert(spark, path, spark.createDataFrame([("a", "plain", 3)], schema), "k", "p")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect()) == [("a", "plain", 3), ("b", "plain", 2)]
