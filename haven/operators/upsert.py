@@ -132,8 +132,8 @@ def create(df: DataFrame, table_path: str, key: str, part_col: str, buckets: int
 # ---- stage and publish ---------------------------------------------------------------
 
 def stage(spark: SparkSession, table_path: str, changes: DataFrame, key: str, part_col: str,
-          target: DataFrame) -> None:
-    """Write the new content of every touched partition beside the table."""
+          target: DataFrame) -> DataFrame:
+    """Write the new content of every touched partition beside the table; returns the batch as it was written."""
     base = _stage_path(table_path)
     # the batch is written once: every later step reads it instead of re-deriving it
     batch_path = job_dir(spark, "upsert-batch")
@@ -153,6 +153,7 @@ def stage(spark: SparkSession, table_path: str, changes: DataFrame, key: str, pa
     kept.unionByName(batch.select(*target.columns)).write.parquet(f"{base}/content")
     # written last: its _SUCCESS says that the stage is complete
     spark.createDataFrame([(v,) for v in values], touched.schema).coalesce(1).write.parquet(f"{base}/touched")
+    return batch
 
 
 def _within(target: DataFrame, part_col: str, values: list) -> DataFrame:
@@ -211,11 +212,11 @@ def upsert(spark: SparkSession, table_path: str, changes: DataFrame, key: str,
     second listing of its partition folders)."""
     if recover(spark, table_path, part_col) or target is None:
         target = spark.read.parquet(table_path)
-    stage(spark, table_path, changes, key, part_col, target)
+    batch = stage(spark, table_path, changes, key, part_col, target)
     buckets = index_buckets(spark, table_path, target)
     out = publish(spark, table_path, part_col)
     if out["touched_partitions"]:
-        _reindex(spark, table_path, changes, key, part_col, buckets)
+        _reindex(spark, table_path, batch, key, part_col, buckets)
     return out
 
 
