@@ -7,9 +7,10 @@ one aggregate (one scan), then unpivoted into one row per rule.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from haven import contracts as C
@@ -19,6 +20,21 @@ RAW_SSN = "^[0-9]{9}$|^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
 RAW_EMAIL = "^[^@ ]+@[^@ ]+[.][A-Za-z]+$"
 
 
+class QualityError(RuntimeError):
+    """A table failed a check that its job depends on."""
+
+
+def require(results: DataFrame, name: str) -> None:
+    """Stop the job unless every check passed: (rule, status) rows, or rows of a rule suite."""
+    if "passed" in results.columns:
+        results = results.select(F.concat_ws(" ", "rule", "column_name").alias("rule"),
+                                 F.when(F.col("passed"), "OK").otherwise("FAIL").alias("status"))
+    label = "rule" if "rule" in results.columns else results.columns[0]
+    failed = results.filter("status <> 'OK' or status is null").select(F.col(label).cast("string")).collect()
+    if failed:
+        raise QualityError(f"{name}: " + ", ".join(sorted(str(r[0]) for r in failed)))
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -155,14 +171,55 @@ def reconcile_counts(table: str, bronze: DataFrame, key: str, silver: DataFrame,
             .withColumn("status", F.when(F.col("drift") <= tolerance, "OK").otherwise("FAIL")))
 
 
+#: Relative error of the mergeable key count that is taken while a layer is written.
+KEY_COUNT_ERROR = 0.005
+
+
+def observed_input(bronze: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """The input, counted as it flows into the layer's own write: rows and, by a
+    mergeable sketch, distinct keys.  No second scan and no shuffle by key."""
+    seen = Observation(f"input-{uuid.uuid4().hex[:8]}")
+    return bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"),
+                          F.approx_count_distinct(key, KEY_COUNT_ERROR).alias("bronze_keys")), seen
+
+
+def observed_gate(table: str, seen: Observation, silver: DataFrame, tolerance: float = C.RECONCILE_TOLERANCE) -> DataFrame:
+    """(rule, status) of a silver table whose input was observed: its rows against
+    the input's keys (the sketch's own error is allowed for), and personal data."""
+    keys = seen.get["bronze_keys"]
+    drift = F.abs(F.lit(keys) - F.col("silver_rows")) / max(keys, 1)
+    counts = (silver.agg(F.count(F.lit(1)).alias("silver_rows"))
+              .select(F.lit("reconcile counts").alias("rule"),
+                      F.when(drift <= tolerance + 4 * KEY_COUNT_ERROR, "OK").otherwise("FAIL").alias("status")))
+    return counts.unionByName(_leaks(table, silver))
+
+
+def gold_gate(fact: DataFrame, services: DataFrame, tolerance: float = C.RECONCILE_TOLERANCE) -> DataFrame:
+    """(rule, status) of the fact about to be published: one pass for the rules that
+    every row must keep, its rows against silver's (counted from file footers), and
+    personal data."""
+    n = services.count()
+    rules = [not_null("service_id"), not_null("enrollment_id"), matches("client_id_hash", HEX64)]
+    suite = run_suite(fact, "fact_service_event", rules)
+    checked = suite.select(F.concat_ws(" ", "rule", "column_name").alias("rule"),
+                           F.when(F.col("passed"), "OK").otherwise("FAIL").alias("status"))
+    drift = F.abs(F.lit(n) - F.col("n_rows")) / max(n, 1)
+    rows = suite.limit(1).select(F.lit("reconcile counts").alias("rule"),
+                                 F.when(drift <= tolerance, "OK").otherwise("FAIL").alias("status"))
+    return checked.unionByName(rows).unionByName(_leaks("fact_service_event", fact))
+
+
 def silver_gate(table: str, bronze: DataFrame, key: str, silver: DataFrame) -> DataFrame:
-    """(rule, status) of a silver table about to be published: its rows against
-    the distinct keys of its input, and personal data in any string column."""
+    """(rule, status) of a silver table: its rows against the exact number of
+    distinct keys of its input, and personal data in any string column."""
     counts = reconcile_counts(table, bronze, key, silver).select(F.lit("reconcile counts").alias("rule"), "status")
-    leaks = pii_scan(silver, table).select(
+    return counts.unionByName(_leaks(table, silver))
+
+
+def _leaks(table: str, silver: DataFrame) -> DataFrame:
+    return pii_scan(silver, table).select(
         F.concat(F.lit("personal data in "), F.col("column_name")).alias("rule"),
         F.when(F.col("forbidden_name") | (F.col("n_raw_pii") > 0), "FAIL").otherwise("OK").alias("status"))
-    return counts.unionByName(leaks)
 
 
 def checksum(df: DataFrame, side: str) -> DataFrame:

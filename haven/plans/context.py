@@ -10,11 +10,13 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haven.functions.privacy import hash_and_drop_client
 from haven.operators import conform, history, quality, star
+from haven.sources.clustered import manifest, read_within
 from haven.sources.fixtures import Hmis
-from haven.sources.layers import materialize
+from haven.sources.layers import layer_path
 
 
 def _has_jvm(spark: SparkSession) -> bool:
@@ -36,18 +38,23 @@ class Ctx:
                             and _has_jvm(spark))
         self.materialized = materialized
 
-    def _layer(self, name: str, build, tables: list[str], cluster_by: str | None = None,
-               gate=None) -> DataFrame:
+    def _path(self, name: str, build, tables: list[str], cluster_by: list[str] | None = None, gate=None) -> str:
+        inputs = [f"{self.sf_dir}/{t}.parquet" for t in tables]
+        return layer_path(self.spark, name, build, inputs, cluster_by, gate)
+
+    def _layer(self, name: str, build, tables: list[str], **options) -> DataFrame:
         if not self.materialized:
             return build()
-        inputs = [f"{self.sf_dir}/{t}.parquet" for t in tables]
-        return materialize(self.spark, name, build, inputs, cluster_by, gate)
+        return self.spark.read.parquet(self._path(name, build, tables, **options))
 
     def _silver(self, table: str, key: str, conformed, inputs: list[str]) -> DataFrame:
         """A conformed input; published only when it reconciles and leaks nothing."""
         bronze = getattr(self.raw, table)
-        return self._layer(f"silver_{table}", lambda: conformed(bronze), inputs,
-                           gate=lambda silver: quality.silver_gate(table, bronze, key, silver))
+        if not self.materialized:
+            return conformed(bronze)
+        counted, seen = quality.observed_input(bronze, key)
+        return self._layer(f"silver_{table}", lambda: conformed(counted), inputs,
+                           gate=lambda silver: quality.observed_gate(table, seen, silver))
 
     @cached_property
     def silver_clients(self) -> DataFrame:
@@ -78,13 +85,35 @@ class Ctx:
             for f in [pool.submit(getattr, self, n) for n in names]:
                 f.result()
 
+    def _build_fact(self) -> DataFrame:
+        self.prebuild("silver_services", "silver_enrollments", "silver_projects")
+        return star.fact_service_event(self.silver_services, self.silver_enrollments, self.silver_projects)
+
+    @cached_property
+    def _fact_path(self) -> str:
+        return self._path("fact_service_event", self._build_fact, ["lineitem", "orders", "nation"],
+                          cluster_by=["service_date", "project_id"],
+                          gate=lambda fact: quality.gold_gate(fact, self.silver_services))
+
     @cached_property
     def fact(self) -> DataFrame:
-        def build() -> DataFrame:
-            self.prebuild("silver_services", "silver_enrollments", "silver_projects")
-            return star.fact_service_event(self.silver_services, self.silver_enrollments, self.silver_projects)
-        return self._layer("fact_service_event", build, ["lineitem", "orders", "nation"],
-                           cluster_by="service_date")
+        return self.spark.read.parquet(self._fact_path) if self.materialized else self._build_fact()
+
+    def fact_within(self, **ranges) -> DataFrame:
+        """Fact rows within ``column=(least, greatest)`` of the clustering columns, from the files that may hold them."""
+        if self.materialized:
+            return read_within(self.spark, self._fact_path, **ranges)
+        fact = self.fact
+        for c, (lo, hi) in ranges.items():
+            fact = fact if lo is None else fact.filter(F.col(c) >= F.lit(lo))
+            fact = fact if hi is None else fact.filter(F.col(c) <= F.lit(hi))
+        return fact
+
+    def last_service_date(self):
+        """From the manifest: no file of the fact is opened."""
+        if self.materialized:
+            return manifest(self.spark, self._fact_path).agg(F.max("hi_service_date")).first()[0]
+        return self.fact.agg(F.max("service_date")).first()[0]
 
     @cached_property
     def client_history(self) -> DataFrame:
@@ -92,4 +121,4 @@ class Ctx:
         return self._layer("client_history",
                            lambda: history.scd2_history(self.silver_clients,
                                                         hash_and_drop_client(self.raw.case_updates)),
-                           ["customer", "events"], cluster_by="client_id_hash")
+                           ["customer", "events"], cluster_by=["client_id_hash", "valid_from"])

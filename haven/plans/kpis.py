@@ -73,9 +73,9 @@ def first_service_per_client(spark, sf_dir):
     "SELECT * FROM fact WHERE service_date = (SELECT max(service_date) FROM fact)", "fact"))
 def services_on_day(spark, sf_dir):
     """Services delivered on the data's own 'today' (its latest service date)."""
-    f = Ctx(spark, sf_dir).fact
-    today = metrics.latest_value(f, "service_date")
-    return f.filter(F.col("service_date") == F.lit(today))
+    ctx = Ctx(spark, sf_dir)
+    today = ctx.last_service_date()
+    return ctx.fact_within(service_date=(today, today))
 
 
 @query("ops_kpis", sql(

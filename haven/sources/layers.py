@@ -19,10 +19,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from haven.operators.quality import QualityError, require  # noqa: F401 - raised by a gate
 from haven.session import job_dir, shared_dir
+from haven.sources.clustered import write_clustered
 
 _CODE_FILES = ["sources/fixtures.py", "operators/conform.py", "operators/star.py", "operators/keys.py",
-               "operators/history.py", "operators/sequence.py",
+               "operators/history.py", "operators/sequence.py", "operators/quality.py", "sources/clustered.py",
                "functions/privacy.py", "functions/dates.py", "contracts.py", "plans/context.py"]
 
 
@@ -63,32 +65,35 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-class QualityError(RuntimeError):
-    """A layer's staged table failed its gate and was not published."""
-
-
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
-                cluster_by: str | None = None, gate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """``gate`` turns the staged table into (rule, status) rows, one per rule;
-    any status but OK stops the layer before it is published."""
+                cluster_by: list[str] | None = None, gate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The published layer as a table; see ``layer_path``."""
+    return spark.read.parquet(layer_path(spark, name, build, inputs, cluster_by, gate))
+
+
+def layer_path(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
+               cluster_by: list[str] | None = None, gate: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """The folder of the published layer.  ``gate`` turns the staged table into
+    (rule, status) rows, one per rule; any status but OK stops the layer before
+    it is published.  ``cluster_by`` lays the table out along a curve through
+    these columns, with a manifest (see ``clustered``); what is staged is
+    sampled for it and passes the gate first, so nothing is derived twice."""
     # a session may ask for its own namespace (e.g. a benchmark that must time the build)
     space = spark.conf.get("haven.layers.namespace", "") or "shared"
     final = f"{shared_dir(spark)}/haven/layers/{space}/{name}-{fingerprint(spark, inputs)}"
     if not _exists(spark, f"{final}/_SUCCESS"):
         df = build()
-        if cluster_by:
-            # files keep rows ordered by the usual filter column: tight min/max per row group
-            df = df.sortWithinPartitions(cluster_by)
         stage = job_dir(spark, f"stage-{name}")
         df.write.mode("errorifexists").parquet(stage)
         if gate is not None:
-            failed = gate(spark.read.parquet(stage)).filter("status <> 'OK' or status is null").collect()
-            if failed:
-                raise QualityError(f"{name}: " + ", ".join(sorted(r["rule"] for r in failed)))
+            require(gate(spark.read.parquet(stage)), name)
+        if cluster_by:
+            staged, stage = spark.read.parquet(stage), f"{stage}-clustered"
+            write_clustered(staged, stage, cluster_by)
         _publish(spark, stage, final)
         if not _exists(spark, f"{final}/_SUCCESS"):
             raise RuntimeError(f"could not publish layer {name} at {final}")
-    return spark.read.parquet(final)
+    return final
 
 
 def _publish(spark: SparkSession, stage: str, final: str) -> None:
