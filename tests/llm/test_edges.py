@@ -7,8 +7,6 @@ import random
 import time
 from collections import defaultdict
 
-import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,35 +106,6 @@ def test_long_runs_join_at_compatible_pieces():
         assert codec.encode(run) == lib.encode(run, add_bos=True, add_eos=True)
 
 
-# ---- op 8 ---------------------------------------------------------------------
-
-def test_unlike_documents_of_one_band_bring_no_sets():
-    from haven.llm.common import mix64
-    from haven.llm.setsketch import REGISTERS, _promising, band_hashes, sketch
-    r = np.random.default_rng(5)
-    n = 5000
-    # each shares the registers of one band with all others and nothing else
-    regs = np.array([sketch(mix64(r.integers(0, 1 << 62, 40).astype(np.uint64))) for _ in range(250)])
-    regs = np.vstack([regs[r.permutation(250)][:, r.permutation(REGISTERS)] for _ in range(n // 250)])
-    regs[:, :4] = regs[0, :4]
-    band = int(band_hashes(regs[:1]).view(np.int64)[0, 0])
-    regs[4321] = regs[17]  # but for two copies
-
-    def block(bi, bj, at, blk):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([band] * len(at)), pa.array([bi] * len(at)), pa.array([bj] * len(at)), pa.array(at), pa.array(at), pa.array(blk),
-             pa.array([40] * len(at)), pa.array([regs[i].tobytes() for i in at], pa.binary())],
-            names=["band", "bi", "bj", "node", "comp", "blk", "n", "registers"])
-    cut = [list(range(i, min(n, i + 512))) for i in range(0, n, 512)]
-    t, met = time.perf_counter(), set()
-    for i, left in enumerate(cut):
-        for j in range(i, len(cut)):
-            right = cut[j] if j > i else []
-            for out in _promising(0.75)(iter([block(i, j, left + right, [i] * len(left) + [j] * len(right))])):
-                met.update(out.column("node").to_pylist())
-    assert met == {17, 4321} and time.perf_counter() - t < 120
-
-
 # ---- op 9 ---------------------------------------------------------------------
 
 def test_numerals_are_no_letters(spark):
