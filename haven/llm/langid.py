@@ -237,11 +237,12 @@ def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds:
     usable = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "doc_id", "lang", "text", F.xxhash64("text").alias("th"))
     usable = usable.withColumn("at", F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 40)))
-    # documents per language, by id: copies of one row do not narrow the bound
-    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("at").alias("n"))
-    bound = F.when(F.col("n") <= 8 * train_docs, F.lit(1 << 40)).otherwise(F.lit(float(1 << 40)) * 4 * train_docs / F.col("n"))
-    near = (usable.select("doc_id", "lang", "th", "at").join(sizes.select("lang", bound.alias("bound")), "lang")
-            .filter(F.col("at") < F.col("bound")).select("doc_id", "lang", "th", "at").distinct())
+    # documents per language, by id: copies of one row do not narrow the bound; a number a language
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).collect()}
+    bounds = [F.lit(x) for lang, n in sizes.items()
+              for x in (lang, float(1 << 40) * min(1.0, 4 * train_docs / n if n > 8 * train_docs else 1.0))]
+    bound = F.create_map(*bounds)[F.col("lang")] if bounds else F.lit(0.0)
+    near = usable.select("doc_id", "lang", "th", "at").filter(F.col("at") < bound).distinct()
     order = W.partitionBy("lang").orderBy("at", "doc_id", "th")
     chosen = (near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= train_docs)
               .select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), F.col("th").alias("t")))
