@@ -50,8 +50,9 @@ def union_envelopes(*topics: DataFrame) -> DataFrame:
     return out
 
 
-def split_dead_letters(raw: DataFrame, text_col: str = "raw") -> tuple[DataFrame, DataFrame]:
-    """(good, dead) by whether the text is valid UTF-8 and a JSON object.
+def split_dead_letters(raw: DataFrame, text_col: str = "raw", required: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, dead) by whether the text is valid UTF-8 and a JSON object, with a
+    value in the field ``required`` where one is named.
 
     ``from_json`` alone would turn junk into an all-NULL row; the dead side keeps
     the raw text and the reason so nothing is lost.
@@ -62,6 +63,8 @@ def split_dead_letters(raw: DataFrame, text_col: str = "raw") -> tuple[DataFrame
               .when(F.col(text_col).isNull() | F.trim(F.col(text_col)).eqNullSafe(""), "empty")
               .when(F.try_parse_json(F.col(text_col)).isNull(), "malformed_json")
               .when(~obj, "not_an_object"))
+    if required:
+        reason = reason.when(F.get_json_object(text_col, f"$.{required}").isNull(), f"no_{required}")
     tagged = raw.withColumn("_reason", reason)
     good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     dead = tagged.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")

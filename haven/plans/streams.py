@@ -16,17 +16,52 @@ from haven.session import job_dir
 from haven.streaming import jobs
 
 _WM = "INTERVAL 15 MINUTE"
+#: Files of one delivery in the live status query.
+DELIVERY_FILES = 4
 _ENVELOPE_DDL = C.ddl(C.EVENT_ENVELOPE)
 
 
+# Junk deliveries mixed into the real events of every stream: malformed, scalar, array, bytes that are
+# not UTF-8, and an object that is no event.
+JUNK_HEX = ["7B226576656E745F6964223A2022", "3432", "5B312C325D", "7B226576656E745F6964223A2280227D"]
+NO_EVENT = "7B2278223A20317D"
+
+
+def _with_junk(spark, root: str, hexes: list[str] = [*JUNK_HEX, NO_EVENT]) -> None:
+    junk = spark.createDataFrame([(h,) for h in hexes], "h string").select(F.unhex("h").cast("string").alias("value"))
+    jobs.publish(junk.coalesce(1), f"{root}/landing-junk")
+
+
+def _junk_is_kept(spark, root: str) -> None:
+    """A message is in the result or among the dead letters; none may be lost."""
+    n = jobs.dead_letters(spark, root).count()
+    if n != len(JUNK_HEX) + 1:
+        raise RuntimeError(f"{n} dead letters under {root}")
+
+
+def _drained(spark, root: str, schema, topic: str, build, landing: str = "landing*"):
+    """Run ``build`` over the parsed good messages under ``root``; bad ones become dead letters."""
+    _with_junk(spark, root)
+    jobs.run_with_dead_letters(jobs.file_source(spark, f"{root}/{landing}"),
+                               lambda good: build(jobs.parse_topic(good, schema, topic)), f"{root}/out", root)
+    _junk_is_kept(spark, root)
+    return spark.read.parquet(f"{root}/out")
+
+
 def _topic_bronze(spark, sf_dir, topic: str):
     ctx = Ctx(spark, sf_dir)
     root = job_dir(spark, f"stream-{topic}")
     jobs.publish(jobs.to_messages(getattr(ctx.raw, topic)), f"{root}/landing")
-    raw = jobs.valid_messages(jobs.file_source(spark, f"{root}/landing"))
-    parsed = jobs.parse_topic(raw, C.TOPICS[topic], topic)
-    jobs.run_available_now(parsed, f"{root}/bronze", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/bronze").drop("_ingest_ts")
+    _with_junk(spark, root)
+
+    def parse(good):
+        return jobs.parse_topic(good, C.TOPICS[topic], topic, watermark=None)
+
+    # one pass over each micro-batch for both sinks
+    handler = jobs.dead_letter_writer(f"{root}/bronze", f"{root}/dlq", parse, required="event_id")
+    jobs.run_batches(jobs.file_source(spark, f"{root}/landing*"), handler, f"{root}/_chk")
+    _junk_is_kept(spark, root)
+    return spark.read.parquet(f"{root}/bronze").drop("_ingest_ts", "batch_id")
 
 
 @query("stream_bed_bronze", sql(
@@ -58,11 +93,9 @@ def stream_dedup_events(spark, sf_dir):
     ctx = Ctx(spark, sf_dir)
     root = job_dir(spark, "stream-dedup")
     msgs = jobs.to_messages(ctx.raw.bed_events)
-    jobs.publish(msgs, f"{root}/landing/first")
-    jobs.publish(msgs, f"{root}/landing/redelivered")
-    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing/*"), C.BED_EVENTS, "bed_events")
-    jobs.run_available_now(jobs.dedupe_events(parsed), f"{root}/bronze", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/bronze").drop("_ingest_ts")
+    jobs.publish(msgs, f"{root}/landing-first")
+    jobs.publish(msgs, f"{root}/landing-redelivered")
+    return _drained(spark, root, C.BED_EVENTS, "bed_events", jobs.dedupe_events).drop("_ingest_ts")
 
 
 @query("incremental_file_ingest", sql(
@@ -75,12 +108,14 @@ def incremental_file_ingest(spark, sf_dir):
     mid = latest_value(ev, "event_time")
     first = ev.filter(F.col("event_time") < F.lit(mid) - F.expr("INTERVAL 15 DAYS"))
     rest = ev.filter(F.col("event_time") >= F.lit(mid) - F.expr("INTERVAL 15 DAYS"))
+    _with_junk(spark, root)
     for i, part in enumerate([first, rest]):
-        jobs.publish(jobs.to_messages(part), f"{root}/landing/drop{i}")
-        parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing/*"), C.BED_EVENTS, "bed_events",
-                                  watermark=None)
-        jobs.run_available_now(parsed, f"{root}/bronze", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/bronze").drop("_ingest_ts")
+        jobs.publish(jobs.to_messages(part), f"{root}/landing-drop{i}")
+        jobs.run_with_dead_letters(
+            jobs.file_source(spark, f"{root}/landing-*"),
+            lambda good: jobs.parse_topic(good, C.BED_EVENTS, "bed_events", watermark=None), f"{root}/out", root)
+    _junk_is_kept(spark, root)
+    return spark.read.parquet(f"{root}/out").drop("_ingest_ts")
 
 
 def _mixed_landing(spark, ctx: Ctx, root: str) -> None:
@@ -107,11 +142,6 @@ def stream_union_events(spark, sf_dir):
         f"{root}/events").drop("event_date", "batch_id")
 
 
-# Junk deliveries mixed into the real bed events: malformed, scalar, array,
-# and bytes that are not UTF-8.
-JUNK_HEX = ["7B226576656E745F6964223A2022", "3432", "5B312C325D", "7B226576656E745F6964223A2280227D"]
-
-
 @query("event_dlq", sql(
     "SELECT event_id, 'ok' AS reason, 'main' AS sink FROM bed_events UNION ALL "
     "SELECT * FROM (VALUES (CAST(NULL AS VARCHAR), 'malformed_json', 'dlq'), (NULL, 'not_an_object', 'dlq'), "
@@ -148,9 +178,7 @@ def stream_hourly_checkins(spark, sf_dir):
     ctx = Ctx(spark, sf_dir)
     root = job_dir(spark, "stream-hourly")
     jobs.publish(jobs.to_messages(ctx.raw.bed_events), f"{root}/landing")
-    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing"), C.BED_EVENTS, "bed_events")
-    jobs.run_available_now(jobs.hourly_counts(parsed, "project_id", "CHECKIN"), f"{root}/out", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/out")
+    return _drained(spark, root, C.BED_EVENTS, "bed_events", lambda e: jobs.hourly_counts(e, "project_id", "CHECKIN"))
 
 
 @query("stream_outreach_sliding", sql(
@@ -164,9 +192,7 @@ def stream_outreach_sliding(spark, sf_dir):
     ctx = Ctx(spark, sf_dir)
     root = job_dir(spark, "stream-sliding")
     jobs.publish(jobs.to_messages(ctx.raw.outreach), f"{root}/landing")
-    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing"), C.OUTREACH, "outreach")
-    jobs.run_available_now(jobs.sliding_counts(parsed, "zone"), f"{root}/out", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/out")
+    return _drained(spark, root, C.OUTREACH, "outreach", lambda e: jobs.sliding_counts(e, "zone"))
 
 
 @query("stream_enriched_checkins", sql(
@@ -178,14 +204,11 @@ def stream_enriched_checkins(spark, sf_dir):
     ctx = Ctx(spark, sf_dir)
     root = job_dir(spark, "stream-enriched")
     jobs.publish(jobs.to_messages(ctx.raw.bed_events), f"{root}/landing")
-    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing"), C.BED_EVENTS, "bed_events")
     dim = ctx.silver_projects.select(F.col("ProjectID").alias("project_id"),
                                      F.col("ProjectName").alias("project_name"),
                                      F.col("ProjectType").alias("project_type"))
-    enriched = parsed.join(dim, "project_id", "left").select(
-        "event_id", "client_id_hash", "project_id", "project_name", "project_type", "event_type", "event_time")
-    jobs.run_available_now(enriched, f"{root}/out", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/out")
+    return _drained(spark, root, C.BED_EVENTS, "bed_events", lambda e: e.join(dim, "project_id", "left").select(
+        "event_id", "client_id_hash", "project_id", "project_name", "project_type", "event_type", "event_time"))
 
 
 @query("stream_bed_status", sql(
@@ -202,11 +225,15 @@ def stream_bed_status(spark, sf_dir):
     mid = latest_value(ev, "event_time")
     cut = F.lit(mid) - F.expr("INTERVAL 15 DAYS")
     for i, part in enumerate([ev.filter(F.col("event_time") < cut), ev.filter(F.col("event_time") >= cut)]):
-        jobs.publish(jobs.to_messages(part), f"{root}/landing/drop{i}")
-    # one trigger takes at most the first delivery's files: each delivery is its own micro-batch
-    first_files = len(spark.read.text(f"{root}/landing/drop0").inputFiles())
-    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing/*", max_files=max(1, first_files)),
-                              C.BED_EVENTS, "bed_events")
+        jobs.publish(jobs.to_messages(part).coalesce(DELIVERY_FILES), f"{root}/landing-drop{i}")
+    _with_junk(spark, root)
+    # one trigger takes at most the first delivery's files: each delivery is a micro-batch of its own
+    raw = jobs.file_source(spark, f"{root}/landing-*", max_files=DELIVERY_FILES)
+    good, dead = jobs.split_dead_letters(raw, "value", "event_id")
+    parsed = jobs.parse_topic(good, C.BED_EVENTS, "bed_events")
+    letters = dead.select(F.col("value").cast("binary").alias("raw"), "reason")
+    jobs.run_available_now(letters, f"{root}/dlq", f"{root}/_chk_dlq")
+    _junk_is_kept(spark, root)
     q = (jobs.bed_status_updates(parsed).writeStream.outputMode("update")
          .foreachBatch(jobs.status_upsert_writer(f"{root}/status", ["project_id", "bed_id"]))
          .option("checkpointLocation", f"{root}/_chk").trigger(availableNow=True).start())
@@ -231,6 +258,4 @@ def stream_outreach_sessions(spark, sf_dir):
     ctx = Ctx(spark, sf_dir)
     root = job_dir(spark, "stream-sessions")
     jobs.publish(jobs.to_messages(ctx.raw.outreach), f"{root}/landing")
-    parsed = jobs.parse_topic(jobs.file_source(spark, f"{root}/landing"), C.OUTREACH, "outreach")
-    jobs.run_available_now(outreach_sessions_stream(parsed), f"{root}/out", f"{root}/_chk")
-    return spark.read.parquet(f"{root}/out")
+    return _drained(spark, root, C.OUTREACH, "outreach", outreach_sessions_stream)

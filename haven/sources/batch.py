@@ -60,7 +60,8 @@ def landing_to_lake(spark: SparkSession, landing: str, schema: StructType, lake:
     """
     obs = Observation("landing")
     df = conform(spark.read.schema(schema).json(landing)).observe(obs, F.count(F.lit(1)).alias("n"))
-    (df.repartition(partition_col).write.mode("overwrite")
+    # rebalanced, not repartitioned: adaptive execution splits a large value over several tasks
+    (df.hint("rebalance", partition_col).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
        .partitionBy(partition_col).parquet(lake))
     return int(obs.get["n"])

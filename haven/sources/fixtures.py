@@ -17,20 +17,11 @@ from pyspark.sql import functions as F
 from haven import contracts as C
 
 
-# Tables big enough that a single-task scan would dominate a query.
-SPREAD_TABLES = {"lineitem", "orders", "events", "customer"}
-
-
 # The codes the mapped tables use, out of the published lists.
 EXITS = ["Permanent housing", "Rental with subsidy", "Emergency shelter", "Other/unknown", "Transitional housing"]
 LIVED = ["Place not meant for habitation", "Emergency shelter", "Staying with family", "Jail/prison"]
 
 
-def _splits(df: DataFrame) -> int:
-    """Number of scan splits (plans the scan; runs nothing)."""
-    return df.rdd.getNumPartitions()
-
-
 def pick(index: Column, values: list) -> Column:
     """values[index] as a JVM expression (0-based)."""
     return F.try_element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -51,22 +42,10 @@ class Hmis:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    def table(self, name: str, spread: bool = True) -> DataFrame:
-        """A given table; spread over the cores when it arrives in fewer splits.
-
-        A file with one row group scans in one task, and everything chained to
-        the scan (joins, hashing, partial aggregation) would run there too.  On
-        a cluster reading many files the scan already has more splits than
-        cores and this is a no-op.
-        """
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        try:
-            cores = self.spark.sparkContext.defaultParallelism
-        except Exception:      # remote session: leave the scan as it is
-            return df
-        if spread and name in SPREAD_TABLES and _splits(df) < cores:
-            df = df.repartition(cores)
-        return df
+    def table(self, name: str) -> DataFrame:
+        """A given table; how many splits it has is left to its files and
+        ``spark.sql.files.maxPartitionBytes``, so a plan is the same on any machine."""
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def clients(self) -> DataFrame:
@@ -128,7 +107,7 @@ class Hmis:
     def services(self) -> DataFrame:
         """Services with their dedupe tie-break columns ``_tie1``, ``_tie2``."""
         li = self.table("lineitem")
-        o = self.table("orders", spread=False).select("o_orderkey", "o_custkey")  # the small, broadcast side
+        o = self.table("orders").select("o_orderkey", "o_custkey")  # the small, broadcast side
         k = F.col("l_orderkey")
         return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
             F.concat(padded("S", k, 9), F.col("l_linenumber").cast("string")).alias("ServiceID"),

@@ -143,3 +143,37 @@ def test_stream_sessions_equal_closed_batch_sessions(spark, sf_dir, scratch):
     batch = ops.outreach_sessions(o).filter(F.col("session_end") <= F.lit(horizon))
     cols = ["client_id_hash", "session_start", "session_end", "n_events"]
     assert sorted(streamed.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+
+
+def test_junk_is_a_dead_letter_on_every_path(spark, scratch):
+    """A bad message is in the dead-letter table and in no result, whatever the pipeline keeps as state."""
+    from haven import contracts as C
+    good = [f'{{"event_id": "e{i}", "event_type": "CHECKIN", "client_id": "c", "project_id": "p", "bed_id": "b", '
+            f'"event_time": "2024-01-01T0{i}:00:00.000000Z"}}' for i in range(4)]
+    junk = ["junk", "42", "", "   ", '{"x": 1}', '{"event_id": null}', '["e1"]', '{"event_id": "']
+    jobs.publish(spark.createDataFrame([(v,) for v in good + junk], "value string").coalesce(1), f"{scratch}/landing")
+    builds = {"plain": lambda e: e, "dedupe": jobs.dedupe_events,
+              "hourly": lambda e: jobs.hourly_counts(e, "project_id", "CHECKIN")}
+    for name, build in builds.items():
+        root = f"{scratch}/{name}"
+        for _ in range(2):  # a second run finds nothing new
+            jobs.run_with_dead_letters(jobs.file_source(spark, f"{scratch}/landing"),
+                                       lambda g, b=build: b(jobs.parse_topic(g, C.BED_EVENTS, "bed_events")), f"{root}/out", root)
+        letters = sorted((bytes(r.raw).decode(), r.reason) for r in jobs.dead_letters(spark, root).collect())
+        assert letters == sorted([("junk", "malformed_json"), ("42", "not_an_object"), ("", "empty"), ("   ", "empty"),
+                                  ('{"x": 1}', "no_event_id"), ('{"event_id": null}', "no_event_id"), ('["e1"]', "not_an_object"),
+                                  ('{"event_id": "', "malformed_json")])
+        out = spark.read.parquet(f"{root}/out")
+        if "event_id" in out.columns:
+            assert sorted(r.event_id for r in out.collect()) == ["e0", "e1", "e2", "e3"]
+        assert out.filter("client_id_hash is null" if "client_id_hash" in out.columns else "project_id is null").count() == 0
+
+
+def test_a_micro_batch_is_bounded(spark, scratch, monkeypatch):
+    """The file source reads a bounded number of bytes at a time."""
+    monkeypatch.setattr(jobs, "BATCH_BYTES", 300)
+    for i in range(6):
+        jobs.publish(spark.createDataFrame([("x" * 190,)], "value string").coalesce(1), f"{scratch}/landing-{i}")
+    sizes = []
+    jobs.run_batches(jobs.file_source(spark, f"{scratch}/landing-*"), lambda b, i: sizes.append(b.count()), f"{scratch}/_chk")
+    assert sum(sizes) == 6 and max(sizes) <= 2
