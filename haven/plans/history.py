@@ -18,7 +18,7 @@ from haven.session import job_dir
 
 _F = C.CASE_FIELDS
 
-_CHANGES_CTES = (
+CHANGES_CTES = (
     "cu AS (SELECT sha256(client_id) AS h, field_changed AS f, new_value AS v, event_time AS t, event_id AS id "
     "FROM case_updates WHERE op IN ('c', 'u')), "
     "c1 AS (SELECT h, f, t, v, id FROM (SELECT *, row_number() OVER (PARTITION BY h, f, t ORDER BY id DESC) AS rn "
@@ -26,7 +26,7 @@ _CHANGES_CTES = (
     "eff AS (SELECT * FROM (SELECT h, f, v, lag(v) OVER (PARTITION BY h, f ORDER BY t) AS pv, t, id FROM c1) y "
     "WHERE pv IS NULL OR pv <> v)")
 
-_HIST_CTES = _CHANGES_CTES + (
+_HIST_CTES = CHANGES_CTES + (
     ", wide AS (SELECT h, t AS valid_from, "
     + ", ".join(f"max(CASE WHEN f = '{f}' THEN v END) AS {f}" for f in _F)
     + " FROM eff WHERE h IN (SELECT ClientID_hash FROM silver_clients) GROUP BY h, t), "
@@ -61,7 +61,7 @@ def _as_of(ctx: Ctx) -> dt.datetime:
 
 
 @query("client_changes", sql(
-    f"WITH {_CHANGES_CTES} SELECT h AS client_id_hash, f AS field_changed, v AS new_value, pv AS prev_value, "
+    f"WITH {CHANGES_CTES} SELECT h AS client_id_hash, f AS field_changed, v AS new_value, pv AS prev_value, "
     "t AS event_time, id AS event_id FROM eff", "case_updates"))
 def client_changes(spark, sf_dir):
     """Effective case changes (same-instant collapse, no-op updates dropped)."""

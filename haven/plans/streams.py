@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from haven import contracts as C
 from haven.operators.metrics import latest_value
 from haven.plans.context import Ctx
+from haven.plans.history import CHANGES_CTES
 from haven.plans.kpis import ENVELOPE_SQL
 from haven.plans.oracle_base import sql
 from haven.plans.registry import query
 from haven.session import job_dir
-from haven.streaming import jobs
+from haven.streaming import jobs, versions
 
 _WM = "INTERVAL 15 MINUTE"
 #: Files of one delivery in the live status query.
@@ -259,3 +260,31 @@ def stream_outreach_sessions(spark, sf_dir):
     root = job_dir(spark, "stream-sessions")
     jobs.publish(jobs.to_messages(ctx.raw.outreach), f"{root}/landing")
     return _drained(spark, root, C.OUTREACH, "outreach", outreach_sessions_stream)
+
+
+_F = C.CASE_FIELDS
+
+
+@query("stream_client_versions", sql(
+    f"WITH {CHANGES_CTES}, wide AS (SELECT h, t, " + ", ".join(f"max(CASE WHEN f = '{f}' THEN v END) AS {f}" for f in _F)
+    + " FROM eff GROUP BY h, t), filled AS (SELECT h, t, CAST(1 + row_number() OVER (PARTITION BY h ORDER BY t) AS INTEGER) AS version, "
+    + ", ".join(f"last_value({f} IGNORE NULLS) OVER (PARTITION BY h ORDER BY t ROWS UNBOUNDED PRECEDING) AS {f}" for f in _F)
+    + " FROM wide) SELECT h AS client_id_hash, t AS valid_from, version, f AS field_changed, v AS new_value, pv AS prev_value, "
+    "id AS event_id, " + ", ".join(_F) + " FROM eff JOIN filled USING (h, t) "
+    f"WHERE t < (SELECT max(event_time) FROM case_updates) - {_WM}", "case_updates"))
+def stream_client_versions(spark, sf_dir):
+    """Client versions settled on the stream (state store with event-time timers),
+    for every instant that the watermark has passed; two deliveries, so the second
+    run restarts from the first one's state."""
+    cu = Ctx(spark, sf_dir).raw.case_updates
+    root = job_dir(spark, "stream-versions")
+    _with_junk(spark, root)
+    cut = F.lit(latest_value(cu, "event_time")) - F.expr("INTERVAL 15 DAYS")
+    with versions.rocksdb_state(spark):
+        for i, part in enumerate([cu.filter(F.col("event_time") < cut), cu.filter(F.col("event_time") >= cut)]):
+            jobs.publish(jobs.to_messages(part), f"{root}/landing-drop{i}")
+            jobs.run_with_dead_letters(
+                jobs.file_source(spark, f"{root}/landing-*"),
+                lambda good: versions.client_versions(jobs.parse_topic(good, C.CASE_UPDATES, "case_updates")), f"{root}/out", root)
+    _junk_is_kept(spark, root)
+    return spark.read.parquet(f"{root}/out")
