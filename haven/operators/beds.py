@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haven.operators.keys import last_by_key
-from haven.operators.sequence import ordered_by_key
+from haven.operators.sequence import hot_splits, ordered_by_key
 
 
 def bed_status_current(bed_events: DataFrame) -> DataFrame:
@@ -33,14 +33,14 @@ def bed_availability(status: DataFrame) -> DataFrame:
             .withColumn("beds_open", F.col("beds_seen") - F.col("beds_occupied")))
 
 
-def occupied_stays(bed_events: DataFrame, as_of) -> DataFrame:
+def occupied_stays(bed_events: DataFrame, as_of, splits: DataFrame | None = None) -> DataFrame:
     """CHECKIN until the bed's next event (or as_of while still open).
 
     The per-bed ``lead`` runs per (bed, day) with the next day's first event
     carried back, so a bed with a huge history is still spread over tasks."""
     e = bed_events.select("project_id", "bed_id", "event_time", "event_id", "event_type")
     e = ordered_by_key(e, ["project_id", "bed_id"], ["event_time", "event_id"],
-                       lead={"_next": "event_time"})
+                       lead={"_next": "event_time"}, splits=splits)
     return (e.withColumn("stay_end", F.coalesce("_next", F.lit(as_of).cast("timestamp")))
             .filter((F.col("event_type") == "CHECKIN") & (F.col("stay_end") > F.col("event_time")))
             .select("project_id", "bed_id", F.col("event_time").alias("stay_start"), "stay_end"))
@@ -59,10 +59,11 @@ def bed_utilization_hourly(bed_events: DataFrame, as_of) -> DataFrame:
     project-hours.
     """
     hour = F.expr("INTERVAL 1 HOUR")
-    stays = (occupied_stays(bed_events, as_of)
+    splits = hot_splits(bed_events, ["project_id", "bed_id"], "event_time")
+    stays = (occupied_stays(bed_events, as_of, splits)
              .withColumn("hs", F.date_trunc("hour", "stay_start"))
              .withColumn("he", F.date_trunc("hour", F.col("stay_end") - F.expr("INTERVAL 1 MICROSECOND"))))
-    stays = ordered_by_key(stays, ["project_id", "bed_id"], ["stay_start"], lag={"_prev_he": "he"})
+    stays = ordered_by_key(stays, ["project_id", "bed_id"], ["stay_start"], lag={"_prev_he": "he"}, splits=splits)
     touch = stays.filter(F.col("_prev_he") == F.col("hs"))
     edges = (stays.select("project_id", F.col("hs").alias("hour"), F.lit(1).alias("d"))
              .unionByName(stays.select("project_id", (F.col("he") + hour).alias("hour"), F.lit(-1).alias("d")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.operators.keys import hex_key, last_by_key
-from haven.operators.sequence import ordered_by_key
+from haven.operators.sequence import hot_splits, ordered_by_key
 
 EPOCH = "1970-01-01 00:00:00"
 FIELDS = C.CASE_FIELDS
@@ -125,6 +125,8 @@ def as_of_join(events: DataFrame, history: DataFrame, key: str = "client_id_hash
     # every row needs a total order within the key: time, versions first, then event id
     merged = v.unionByName(e).withColumn("_cur", F.col("_ver")).withColumn(
         "_id", F.coalesce(F.col("event_id").cast("string"), F.lit("")))
-    filled = ordered_by_key(merged, [key], ["_t", "_kind", "_id"], ffill=["_cur"])
+    # events make a key hot; its versions follow its events' parts
+    splits = hot_splits(e.select(key, "_t"), [key], "_t")
+    filled = ordered_by_key(merged, [key], ["_t", "_kind", "_id"], ffill=["_cur"], splits=splits)
     return (filled.filter((F.col("_kind") == 1) & F.col("_cur").isNotNull())
             .select(key, *others, *[F.col(f"_cur.{c}").alias(c) for c in carry]))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haven.functions.privacy import hash_id
-from haven.operators.sequence import ordered_by_key
+from haven.operators.sequence import hot_splits, ordered_by_key
 
 SESSION_GAP = "30 minutes"
 CHRONIC_MIN_DAYS = 4
@@ -41,14 +41,15 @@ def outreach_sessions(outreach: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
 
     Same result as ``session_window(event_time, gap)`` (end = last event +
     gap), computed as lag -> new-session flag -> running session number
-    with day buckets, then a plain aggregate per (client, session): a client
+    with day buckets (cut further where hot), then a plain aggregate per (client, session): a client
     with a huge history is spread over tasks and combined map-side.
     """
     k = known_clients(outreach).select("client_id_hash", "event_time", "event_id")
-    k = ordered_by_key(k, ["client_id_hash"], ["event_time", "event_id"], lag={"_prev": "event_time"})
+    splits = hot_splits(k, ["client_id_hash"], "event_time")
+    k = ordered_by_key(k, ["client_id_hash"], ["event_time", "event_id"], lag={"_prev": "event_time"}, splits=splits)
     new = F.col("_prev").isNull() | (F.col("event_time") >= F.col("_prev") + F.expr(f"INTERVAL {gap}"))
     k = ordered_by_key(k.withColumn("_new", new.cast("int")), ["client_id_hash"], ["event_time", "event_id"],
-                       running_sum={"_session": "_new"})
+                       running_sum={"_session": "_new"}, splits=splits)
     return (k.groupBy("client_id_hash", "_session")
             .agg(F.min("event_time").alias("session_start"),
                  (F.max("event_time") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
