@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.functions.privacy import hash_id
-from haven.operators import governance, quality, star
+from haven.operators import governance, hashtree, quality, star
 from haven.plans.context import Ctx
 from haven.plans.oracle_base import sql
 from haven.plans.registry import query
@@ -185,6 +185,31 @@ def reconcile_checksums(spark, sf_dir):
     return quality.reconcile_copies(ctx.fact, _mart(ctx))
 
 
+_PLANTED = ("WITH p AS (SELECT *, (SELECT min(service_date) FROM fact) AS d0, (SELECT max(service_date) FROM fact) AS d1 FROM fact) "
+            "SELECT service_id AS key, CASE WHEN service_date = d0 THEN 'lost' WHEN service_date = d1 THEN 'changed' ELSE 'moved' END "
+            "AS change, service_date AS left_date, CASE WHEN service_date = d1 THEN d1 WHEN service_date = d0 THEN NULL "
+            "ELSE service_date - 1 END AS right_date FROM p WHERE service_date = d0 OR service_date = d1 "
+            "OR (service_date > d1 - 30 AND service_type = 'Meal')")
+
+
+@query("copy_differences", sql(_PLANTED, "fact"))
+def copy_differences(spark, sf_dir):
+    """Every row in which a copy of the fact differs, found down the checksum tree.
+
+    The copy has lost the first day, shows one unit more on the last day, and has
+    the last month's meals a day early."""
+    f = Ctx(spark, sf_dir).fact
+    ends = f.agg(F.min("service_date"), F.max("service_date")).first()
+    d0, d1 = F.lit(ends[0]), F.lit(ends[1])
+    day = F.col("service_date")
+    last = F.coalesce(day == d1, F.lit(False))
+    early = F.coalesce((day > F.date_sub(d1, 30)) & ~last & (day != d0) & (F.col("service_type") == "Meal"), F.lit(False))
+    copy = (f.filter(F.coalesce(day != d0, F.lit(True)))
+            .withColumn("qty", F.when(last, F.col("qty") + 1).otherwise(F.col("qty")))
+            .withColumn("service_date", F.when(early, F.date_sub(day, 1)).otherwise(day)))
+    return hashtree.differences(f, copy, "service_id", "service_date")
+
+
 def _masked(role):
     def run(spark, sf_dir):
         return governance.mask(Ctx(spark, sf_dir).fact, role)

@@ -27,16 +27,6 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType) -> DataFrame
             .withColumn("_source_file", F.col("_metadata.file_path")))
 
 
-def append_evolving(df: DataFrame, path: str) -> None:
-    """Append a load whose schema may have gained columns."""
-    df.write.mode("append").parquet(path)
-
-
-def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """All loads under one schema: columns missing from older files read as NULL."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
 def load_by_name(df: DataFrame, contract: StructType) -> DataFrame:
     """Project a file onto a contract by column name, case-insensitively.
 
