@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.functions.privacy import hash_id
 from haven.operators import governance, hashtree, quality, star
+from haven.operators.daily_state import DISTINCT_ERROR, DailyState, report
 from haven.plans.context import Ctx
 from haven.plans.oracle_base import sql
 from haven.plans.registry import query
+from haven.session import job_dir
 
 _HEX = "'^[a-f0-9]{64}$'"
 
@@ -185,6 +189,27 @@ def reconcile_checksums(spark, sf_dir):
     return quality.reconcile_copies(ctx.fact, _mart(ctx))
 
 
+@query("daily_state_merged", sql(
+    "SELECT count(*) AS n_rows, CAST(sum(qty) AS BIGINT) AS total_qty, min(qty) AS min_qty, max(qty) AS max_qty, "
+    "count_if(service_id IS NULL) AS null_ids, count_if(qty NOT BETWEEN 1 AND 100) AS qty_out_of_range, "
+    "true AS clients_within_bound FROM fact", "fact"))
+def daily_state_merged(spark, sf_dir):
+    """Fact state kept a day at a time (two loads), merged: exact figures, and the
+    sketched number of clients checked against the exact one."""
+    f = Ctx(spark, sf_dir).fact
+    rules = [quality.not_null("service_id"), quality.between("qty", 1, 100)]
+    state = DailyState(spark, job_dir(spark, "daily-state"), "service_date", sums=["qty"], distinct=["client_id_hash"],
+                       spread=["qty"], rules=rules)
+    cut = F.coalesce(F.col("service_date") < F.lit(dt.date(1996, 1, 1)), F.lit(True))
+    state.put(f.filter(cut))
+    state.put(f.filter(~cut))
+    clients = f.agg(F.count_distinct("client_id_hash")).scalar()
+    within = F.abs(F.col("distinct_client_id_hash") - clients) <= F.greatest(clients * DISTINCT_ERROR, F.lit(1))
+    return report(state.between()).select(
+        "n_rows", F.col("sum_qty").cast("bigint").alias("total_qty"), F.col("lo_qty").alias("min_qty"), F.col("hi_qty").alias("max_qty"),
+        F.col("bad_0").alias("null_ids"), F.col("bad_1").alias("qty_out_of_range"), within.alias("clients_within_bound"))
+
+
 _PLANTED = ("WITH p AS (SELECT *, (SELECT min(service_date) FROM fact) AS d0, (SELECT max(service_date) FROM fact) AS d1 FROM fact) "
             "SELECT service_id AS key, CASE WHEN service_date = d0 THEN 'lost' WHEN service_date = d1 THEN 'changed' ELSE 'moved' END "
             "AS change, service_date AS left_date, CASE WHEN service_date = d1 THEN d1 WHEN service_date = d0 THEN NULL "
