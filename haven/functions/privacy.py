@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from haven import contracts as C
 
 
+#: U+001F, the unit separator.
+NAME_SEPARATOR = "\x1f"
+
+
 def hash_id(col: str | Column, salt: str | None = None) -> Column:
     """SHA-256 lower hex of the text value; null stays null.
 
@@ -22,11 +26,12 @@ def hash_id(col: str | Column, salt: str | None = None) -> Column:
 
 
 def name_hash(first: str | Column, last: str | Column, salt: str | None = None) -> Column:
-    """Hash of first and last name joined by a space; null only when both parts are null."""
+    """Hash of first and last name with a separator no name holds between them, so that
+    two people's names never run together alike; null only when both parts are null."""
     f = F.col(first) if isinstance(first, str) else first
     la = F.col(last) if isinstance(last, str) else last
     return F.when(f.isNull() & la.isNull(), F.lit(None).cast("string")).otherwise(
-        hash_id(F.concat_ws(" ", f, la), salt))
+        hash_id(F.concat(F.coalesce(f.cast("string"), F.lit("")), F.lit(NAME_SEPARATOR), F.coalesce(la.cast("string"), F.lit(""))), salt))
 
 
 def mask_for_role(col: str | Column, role: str) -> Column:

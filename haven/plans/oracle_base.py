@@ -22,7 +22,7 @@ DERIVED = {
         "(PARTITION BY ProjectID ORDER BY ProjectName) AS rn FROM projects) t WHERE rn = 1"),
     "silver_clients": (
         "SELECT DISTINCT sha256(ClientID) AS ClientID_hash, sha256(SSN) AS SSN_hash, "
-        "sha256(FirstName || ' ' || LastName) AS Name_hash, CAST(year(DOB) AS INT) AS YearOfBirth, "
+        "sha256(FirstName || chr(31) || LastName) AS Name_hash, CAST(year(DOB) AS INT) AS YearOfBirth, "
         "Gender, Race, Ethnicity, VeteranStatus FROM clients"),
     "fact": (
         "SELECT s.ServiceID AS service_id, s.PersonalID_hash AS client_id_hash, "

@@ -37,7 +37,7 @@ def test_name_hash_uses_first_and_last(spark):
             ("C2", None, None, "2", None, "Male", "White", "Non-Hispanic", 1, None)]
     out = {r.ClientID_hash: r for r in conform.conform_clients(_clients(spark, rows)).collect()}
     c1 = out[hashlib.sha256(b"C1").hexdigest()]
-    assert c1.Name_hash == hashlib.sha256(b"Ann Lee").hexdigest()
+    assert c1.Name_hash == hashlib.sha256(b"Ann\x1fLee").hexdigest()
     assert c1.YearOfBirth == 1980
     c2 = out[hashlib.sha256(b"C2").hexdigest()]
     assert c2.Name_hash is None and c2.YearOfBirth is None
@@ -191,9 +191,10 @@ def test_published_code_lists_are_whole():
 
 
 def test_name_hash_keeps_the_names_apart(spark):
-    df = spark.createDataFrame([("Ann", "Alee"), ("Anna", "lee"), (None, None)], "a string, b string")
+    rows = [("Ann", "Alee"), ("Anna", "lee"), ("Ann Lee", "Smith"), ("Ann", "Lee Smith"), ("Lee", None), (None, "Lee"), (None, None)]
+    df = spark.createDataFrame(rows, "a string, b string")
     got = [r.h for r in df.select(privacy.name_hash("a", "b").alias("h")).collect()]
-    assert got[0] != got[1] and got[2] is None
+    assert len(set(got)) == len(rows) and got[-1] is None
 
 
 @settings(max_examples=10, deadline=None)
