@@ -91,7 +91,9 @@ def leaf_visits(points: DataFrame, tree: DataFrame, k: int) -> DataFrame:
     several = tree.groupBy("level").count().filter("count > 1").agg(F.min("level")).first()[0]
     start = depth if several is None else several - 1
     root = tree.filter(F.col("level") == start).first()
-    top = [F.lit(root[c]).alias(c) for c in (*CELL, "n", *BOX)]
+    # the cell stays a column (plus a zero of the row's own): as a constant it would fold the equi-join with it away
+    zero = F.pmod(F.xxhash64("pid"), F.lit(1))
+    top = [(F.lit(root[c]) + zero).alias(c) for c in CELL] + [F.lit(root[c]).alias(c) for c in ("n", *BOX)]
     states = points.select("pid", "lat", "lon", *AXES, *top).select("*", *_bounds())
     down = tree.select((F.col("level") - 1).alias("level"), *[F.shiftright(F.col(c), BITS).alias(c) for c in CELL[1:]],
                        F.struct(*CELL, "n", *BOX).alias("child"))
