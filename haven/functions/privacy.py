@@ -34,6 +34,16 @@ def name_hash(first: str | Column, last: str | Column, salt: str | None = None)
         hash_id(F.concat(F.coalesce(f.cast("string"), F.lit("")), F.lit(NAME_SEPARATOR), F.coalesce(la.cast("string"), F.lit(""))), salt))
 
 
+def packed(col: str | Column) -> Column:
+    """A lower-hex hash as its bytes: half as long where rows are shuffled or grouped, in the same order."""
+    return F.unhex(col)
+
+
+def unpacked(col: str | Column) -> Column:
+    """The lower-hex text of ``packed`` bytes."""
+    return F.lower(F.hex(col))
+
+
 def mask_for_role(col: str | Column, role: str) -> Column:
     """Column masking policy: full value, 8-char token, 'AGG' or NULL by role."""
     c = F.col(col) if isinstance(col, str) else col

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haven import contracts as C
 from haven.functions.geo import grid_cell
+from haven.functions.privacy import packed, unpacked
 
 DISPARITY_LOW = 0.8
 DISPARITY_HIGH = 1.25
@@ -182,9 +183,11 @@ def case_update_activity(case_updates: DataFrame) -> DataFrame:
 
 def client_seen_before(encounters: DataFrame, fact: DataFrame) -> DataFrame:
     """Per encounter: has the client a service on or before the encounter day?"""
-    firsts = fact.groupBy("client_id_hash").agg(F.min("service_date").alias("first_service_date"))
-    return (encounters.join(firsts, "client_id_hash", "left")
-            .select("event_id", "client_id_hash", "first_service_date",
+    # hashes are dealt as bytes, half as long as their text
+    firsts = fact.groupBy(packed("client_id_hash").alias("_h")).agg(F.min("service_date").alias("first_service_date"))
+    met = encounters.select("event_id", packed("client_id_hash").alias("_h"), "event_time")
+    return (met.join(firsts, "_h", "left")
+            .select("event_id", unpacked("_h").alias("client_id_hash"), "first_service_date",
                     F.coalesce(F.col("first_service_date") <= F.to_date("event_time"),
                                F.lit(False)).alias("seen_before")))
 

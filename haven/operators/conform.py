@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haven.functions.dates import as_date
-from haven.functions.privacy import hash_id, name_hash
+from haven.functions.privacy import hash_id, name_hash, packed, unpacked
 from haven.operators.keys import first_by_key
 
 SILVER_CLIENT_COLS = ["ClientID_hash", "SSN_hash", "Name_hash", "YearOfBirth",
@@ -27,16 +27,17 @@ def conform_clients(clients: DataFrame, salt: str | None = None) -> DataFrame:
     return first_by_key(out.filter(F.col("ClientID_hash").isNotNull()), ["ClientID_hash"])
 
 
-def conform_enrollments(enrollments: DataFrame, salt: str | None = None) -> DataFrame:
+def conform_enrollments(enrollments: DataFrame, salt: str | None = None, first=first_by_key) -> DataFrame:
+    """``first`` picks the row of an id, as ``keys.first_by_key`` does."""
     out = enrollments.select(
         "EnrollmentID", "ProjectID",
         as_date(enrollments, "EntryDate").alias("EntryDate"),
         as_date(enrollments, "ExitDate").alias("ExitDate"),
         "Destination", "LivingSituation", "RelationshipToHoH",
         F.col("DisablingCondition").cast("int").alias("DisablingCondition"),
-        hash_id("PersonalID", salt).alias("PersonalID_hash"),
+        packed(hash_id("PersonalID", salt)).alias("PersonalID_hash"),
     )
-    return first_by_key(out, ["EnrollmentID"], ["EntryDate"])
+    return first(out, ["EnrollmentID"], ["EntryDate"]).withColumn("PersonalID_hash", unpacked("PersonalID_hash"))
 
 
 def conform_services(services: DataFrame, salt: str | None = None) -> DataFrame:
@@ -48,10 +49,11 @@ def conform_services(services: DataFrame, salt: str | None = None) -> DataFrame:
         "ServiceType",
         F.col("QuantityOfServices").try_cast("int").alias("QuantityOfServices"),
         F.col("FAAmount").try_cast("decimal(12,2)").alias("FAAmount"),
-        hash_id("PersonalID", salt).alias("PersonalID_hash"),
+        packed(hash_id("PersonalID", salt)).alias("PersonalID_hash"),
         *ties,
     )
-    return first_by_key(out, ["ServiceID"], ties + ["DateProvided"]).drop(*ties)
+    one = first_by_key(out, ["ServiceID"], ties + ["DateProvided"]).drop(*ties)
+    return one.withColumn("PersonalID_hash", unpacked("PersonalID_hash"))
 
 
 def conform_projects(projects: DataFrame) -> DataFrame:

@@ -27,6 +27,37 @@ def first_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None)
     return _pick_row(df, keys, list(order or []), largest=False)
 
 
+#: Keys with several rows that are sent to every task; with more, all rows are dealt by key.
+FEW_REPEATED = 200_000
+
+
+def first_of_repeated(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """``first_by_key`` for a table whose keys are nearly all held by one row.
+
+    The rows are written once, then only hashes of their keys are dealt and counted.
+    Rows whose hash is held once are the first of their key and stay where they are;
+    the others (copies, or two keys of one hash) are compared in full.
+    """
+    from haven.session import job_dir
+    spark = df.sparkSession
+    path = job_dir(spark, "keyed-rows")
+    df.write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    key = F.xxhash64(*keys)
+    path = job_dir(spark, "repeated-keys")
+    (rows.groupBy(key.alias("_repeated")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_repeated")
+     .write.parquet(path))
+    repeated = spark.read.schema("_repeated long").parquet(path)
+    n = repeated.count()
+    if not n:
+        return rows
+    if n > FEW_REPEATED:
+        return first_by_key(rows, keys, order)
+    is_repeated = key == F.broadcast(repeated)["_repeated"]
+    several = rows.join(F.broadcast(repeated), is_repeated, "left_semi")
+    return rows.join(F.broadcast(repeated), is_repeated, "left_anti").unionByName(first_by_key(several, keys, order))
+
+
 def last_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the largest by ``order``, then by every other column."""
     return _pick_row(df, keys, list(order or []), largest=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haven.functions.dates import date_key
+from haven.functions.privacy import packed, unpacked
 from haven.operators.keys import dense_key, hex_key
 
 
@@ -18,10 +19,11 @@ def fact_service_event(services: DataFrame, enrollments: DataFrame,
     """
     e = enrollments.select("EnrollmentID", "ProjectID")
     p = projects.select("ProjectID", "ProjectType")
+    services = services.withColumn("PersonalID_hash", packed("PersonalID_hash"))
     return (services.join(e, "EnrollmentID", "inner")
             .join(p, "ProjectID", "left")
             .select(F.col("ServiceID").alias("service_id"),
-                    F.col("PersonalID_hash").alias("client_id_hash"),
+                    unpacked("PersonalID_hash").alias("client_id_hash"),
                     F.col("EnrollmentID").alias("enrollment_id"),
                     F.col("ProjectID").alias("project_id"),
                     F.col("ProjectType").alias("project_type"),

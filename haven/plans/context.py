@@ -7,13 +7,14 @@ them as plain lazy plans instead.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haven.functions.privacy import hash_and_drop_client
 from haven.operators import conform, history, quality, star
+from haven.operators.keys import first_by_key, first_of_repeated
 from haven.sources.clustered import manifest, read_within
 from haven.sources.fixtures import Hmis
 from haven.sources.layers import layer_path
@@ -38,9 +39,10 @@ class Ctx:
                             and _has_jvm(spark))
         self.materialized = materialized
 
-    def _path(self, name: str, build, tables: list[str], cluster_by: list[str] | None = None, gate=None) -> str:
+    def _path(self, name: str, build, tables: list[str], cluster_by: list[str] | None = None, gate=None,
+              hashes: list[str] | None = None) -> str:
         inputs = [f"{self.sf_dir}/{t}.parquet" for t in tables]
-        return layer_path(self.spark, name, build, inputs, cluster_by, gate)
+        return layer_path(self.spark, name, build, inputs, cluster_by, gate, hashes)
 
     def _layer(self, name: str, build, tables: list[str], **options) -> DataFrame:
         if not self.materialized:
@@ -62,7 +64,8 @@ class Ctx:
 
     @cached_property
     def silver_enrollments(self) -> DataFrame:
-        return self._silver("enrollments", "EnrollmentID", conform.conform_enrollments, ["orders"])
+        first = first_of_repeated if self.materialized else first_by_key
+        return self._silver("enrollments", "EnrollmentID", partial(conform.conform_enrollments, first=first), ["orders"])
 
     @cached_property
     def silver_services(self) -> DataFrame:
@@ -92,7 +95,7 @@ class Ctx:
     @cached_property
     def _fact_path(self) -> str:
         return self._path("fact_service_event", self._build_fact, ["lineitem", "orders", "nation"],
-                          cluster_by=["service_date", "project_id"],
+                          cluster_by=["service_date", "project_id"], hashes=["client_id_hash"],
                           gate=lambda fact: quality.gold_gate(fact, self.silver_services))
 
     @cached_property

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from haven import contracts as C
-from haven.functions.privacy import hash_id
+from haven.functions.privacy import hash_id, packed, unpacked
 from haven.operators import governance, hashtree, quality, star
 from haven.operators.daily_state import DISTINCT_ERROR, DailyState, report
 from haven.plans.context import Ctx
@@ -203,7 +203,7 @@ def daily_state_merged(spark, sf_dir):
     cut = F.coalesce(F.col("service_date") < F.lit(dt.date(1996, 1, 1)), F.lit(True))
     state.put(f.filter(cut))
     state.put(f.filter(~cut))
-    clients = f.agg(F.count_distinct("client_id_hash")).scalar()
+    clients = f.agg(F.count_distinct(packed("client_id_hash"))).scalar()
     within = F.abs(F.col("distinct_client_id_hash") - clients) <= F.greatest(clients * DISTINCT_ERROR, F.lit(1))
     return report(state.between()).select(
         "n_rows", F.col("sum_qty").cast("bigint").alias("total_qty"), F.col("lo_qty").alias("min_qty"), F.col("hi_qty").alias("max_qty"),
@@ -294,11 +294,12 @@ def pii_hash(spark, sf_dir):
     """Unsalted SHA-256 ids join across batch and stream: per client, services and
     bed events counted under the same hash (a union + one aggregate, no join)."""
     ctx = Ctx(spark, sf_dir)
-    u = (ctx.fact.select(F.col("client_id_hash").alias("h"), F.lit("fact").alias("src"))
-         .unionByName(ctx.raw.bed_events.select(hash_id("client_id").alias("h"), F.lit("bed").alias("src"))))
-    return u.groupBy(F.col("h").alias("client_id_hash")).agg(
+    u = (ctx.fact.select(packed("client_id_hash").alias("h"), F.lit("fact").alias("src"))
+         .unionByName(ctx.raw.bed_events.select(packed(hash_id("client_id")).alias("h"), F.lit("bed").alias("src"))))
+    return u.groupBy("h").agg(
         F.count_if(F.col("src") == "fact").alias("n_services"),
-        F.count_if(F.col("src") == "bed").alias("n_bed_events"))
+        F.count_if(F.col("src") == "bed").alias("n_bed_events")).select(
+        unpacked("h").alias("client_id_hash"), "n_services", "n_bed_events")
 
 
 def _in(values) -> str:

@@ -18,6 +18,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haven.functions.privacy import packed, unpacked
+
 #: Bits of the curve per column, and rows that the splitters are taken from.
 BITS, SAMPLE_ROWS = 6, 20_000
 MANIFEST = "_manifest"  # readers of the table pass over names that begin with an underscore
@@ -53,13 +55,17 @@ def curve(cuts: dict[str, list], bits: int = BITS) -> Column:
     return place
 
 
-def write_clustered(df: DataFrame, path: str, columns: list[str], files: int | None = None) -> None:
+def write_clustered(df: DataFrame, path: str, columns: list[str], files: int | None = None,
+                    hashes: list[str] | None = None) -> None:
     """Write ``df`` along the curve, then its manifest.  ``files`` is left to adaptive
-    execution unless given: it joins neighbouring ranges up to its advisory size."""
-    dealt = df.withColumn("_place", curve(splitters(df, columns)))
+    execution unless given: it joins neighbouring ranges up to its advisory size.
+    ``hashes`` names columns of lower-hex hashes or nulls: they are dealt as bytes."""
+    hashes = [c for c in hashes or [] if c not in columns]
+    dealt = df.withColumn("_place", curve(splitters(df, columns))).withColumns({c: packed(c) for c in hashes})
     ranges = ["_place", *columns]
     dealt = dealt.repartitionByRange(files, *ranges) if files else dealt.repartitionByRange(*ranges)
-    dealt.sortWithinPartitions(*ranges).drop("_place").write.parquet(path)
+    dealt.sortWithinPartitions(*ranges).drop("_place").select(*[
+        unpacked(c).alias(c) if c in hashes else F.col(c) for c in df.columns]).write.option("compression", "zstd").parquet(path)
     table = df.sparkSession.read.parquet(path)
     sides = [f(c).alias(f"{side}_{c}") for c in columns for side, f in (("lo", F.min), ("hi", F.max))]
     nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns]

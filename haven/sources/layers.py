@@ -72,7 +72,8 @@ def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame],
 
 
 def layer_path(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
-               cluster_by: list[str] | None = None, gate: Callable[[DataFrame], DataFrame] | None = None) -> str:
+               cluster_by: list[str] | None = None, gate: Callable[[DataFrame], DataFrame] | None = None,
+               hashes: list[str] | None = None) -> str:
     """The folder of the published layer.  ``gate`` turns the staged table into
     (rule, status) rows, one per rule; any status but OK stops the layer before
     it is published.  ``cluster_by`` lays the table out along a curve through
@@ -84,12 +85,12 @@ def layer_path(spark: SparkSession, name: str, build: Callable[[], DataFrame], i
     if not _exists(spark, f"{final}/_SUCCESS"):
         df = build()
         stage = job_dir(spark, f"stage-{name}")
-        df.write.mode("errorifexists").parquet(stage)
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(stage)
         if gate is not None:
             require(gate(spark.read.parquet(stage)), name)
         if cluster_by:
             staged, stage = spark.read.parquet(stage), f"{stage}-clustered"
-            write_clustered(staged, stage, cluster_by)
+            write_clustered(staged, stage, cluster_by, hashes=hashes)
         _publish(spark, stage, final)
         if not _exists(spark, f"{final}/_SUCCESS"):
             raise RuntimeError(f"could not publish layer {name} at {final}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from decimal import Decimal
 
 import pytest
@@ -14,7 +15,7 @@ from haven import contracts as C
 from haven.functions.events import first_present
 from haven.functions import privacy
 from haven.functions.privacy import hash_id
-from haven.operators import conform, governance, keys, quality, star
+from haven.operators import care, conform, governance, keys, quality, star
 from haven.operators.envelope import split_dead_letters
 
 
@@ -205,3 +206,60 @@ def test_masked_output_never_holds_a_full_hash(spark, hashes, role):
     for r in governance.mask(df, role).collect():
         assert r.client_id_hash is None or len(r.client_id_hash) <= 11
         assert r.client_id_hash not in hashes
+
+
+def test_hashes_are_packed_and_unpacked_in_order(spark):
+    rows = spark.range(50).select(privacy.hash_id(F.col("id").cast("string")).alias("h")).union(
+        spark.createDataFrame([(None,)], "h string"))
+    got = rows.select("h", privacy.packed("h").alias("p"), privacy.unpacked(privacy.packed("h")).alias("u")).collect()
+    assert all(r.h == r.u for r in got) and {len(r.p) for r in got if r.p is not None} == {32}
+    assert [r.h for r in sorted((r for r in got if r.h), key=lambda r: bytes(r.p))] == sorted(r.h for r in got if r.h)
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_first_of_repeated_picks_as_first_by_key(spark, monkeypatch, few):
+    monkeypatch.setattr(keys, "FEW_REPEATED", few)
+    rows = [(None, 2, "x"), (None, 1, "y"), ("a", 5, "p"), ("a", 5, "o"), ("b", None, "z"), ("c", 1, None), ("c", 1, None), ("d", 1, "q")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    want = sorted(map(str, keys.first_by_key(df, ["k"], ["o"]).collect()))
+    got = keys.first_of_repeated(df, ["k"], ["o"])
+    assert sorted(map(str, got.collect())) == want and len(want) == 5
+    once = df.filter("k in ('b', 'd')")
+    assert sorted(map(str, keys.first_of_repeated(once, ["k"]).collect())) == sorted(map(str, once.collect()))
+
+
+def _dealt(df) -> str:
+    """The exchanges of a plan, with what lies below them."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_personal_hashes_are_dealt_as_bytes(spark):
+    """A hash of 64 letters does not go through a shuffle as text."""
+    s = spark.createDataFrame([("S1", "E1", "2020-01-01", "Meal", 1, 1, "C1")],
+                              "ServiceID string, EnrollmentID string, DateProvided string, ServiceType string, "
+                              "QuantityOfServices int, FAAmount int, PersonalID string")
+    plan = _dealt(conform.conform_services(s))
+    assert plan.index("lower(hex(") < plan.index("Exchange") < plan.index("unhex(sha2(")
+    assert conform.conform_services(s).first().PersonalID_hash == hashlib.sha256(b"C1").hexdigest()
+
+
+def test_first_seen_is_dealt_as_bytes(spark):
+    h = hashlib.sha256(b"C1").hexdigest()
+    enc = spark.createDataFrame([("e1", h, "2020-01-02"), ("e2", "00" * 32, "2020-01-02")],
+                                "event_id string, client_id_hash string, day string").withColumn(
+        "event_time", F.col("day").cast("timestamp"))
+    fact = spark.createDataFrame([(h, "2020-01-01"), (h, "2020-01-03"), (None, "2020-01-01")], "client_id_hash string, day string") \
+        .select("client_id_hash", F.col("day").cast("date").alias("service_date"))
+    out = care.client_seen_before(enc, fact)
+    plan = _dealt(out)
+    assert plan.index("lower(hex(") < plan.index("unhex(")
+    assert sorted((r.event_id, r.client_id_hash, r.seen_before) for r in out.collect()) == [("e1", h, True), ("e2", "00" * 32, False)]
+
+
+def test_foreign_keys_are_counted_before_the_join(spark):
+    child = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    parent = spark.createDataFrame([("b",), ("b",), (None,)], "p string")
+    out = quality.fk_violations(child, "k", parent, "p", "fk")
+    plan = _dealt(out)
+    assert plan.index("LeftAnti") < plan.index("HashAggregate")
+    assert [tuple(r) for r in out.collect()] == [("fk", "a", 2)]
