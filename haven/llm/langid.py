@@ -32,6 +32,8 @@ UNKNOWN_WORD = "und"
 #: Labelled documents per language that the model is fitted on (the smallest hashes of their ids).
 TRAIN_DOCS = 400
 EM_ROUNDS = 2
+#: Texts whose words are scored at once: enough for wide numpy steps, and their word lists stay small.
+STEP_TEXTS = 500
 SPACE = "▁"
 #: Words longer than this are handled alone, with rescaling or in logarithms.
 LONG_WORD = 32
@@ -289,7 +291,7 @@ def fit(docs: DataFrame, model_path: str, train_docs: int = TRAIN_DOCS, rounds:
 
 
 def predict(docs: DataFrame, model: LanguageModel, model_path: str, carry: list[str] | None = None,
-            memory: int = 400_000) -> DataFrame:
+            memory: int = 200_000) -> DataFrame:
     """Per document row: doc_id, lang_pred, score (posterior with equal priors),
     after the input columns ``carry``.  Only the text decides.
 
@@ -308,8 +310,8 @@ def predict(docs: DataFrame, model: LanguageModel, model_path: str, carry: list[
         for batch in batches:
             texts = batch.column("text").to_pylist()
             pred, score = [], []
-            for lo in range(0, len(texts), 2000):  # enough new words at once for wide numpy steps
-                words = [split_words(t) if t is not None and languages and has_letter(t) else None for t in texts[lo: lo + 2000]]
+            for lo in range(0, len(texts), STEP_TEXTS):
+                words = [split_words(t) if t is not None and languages and has_letter(t) else None for t in texts[lo: lo + STEP_TEXTS]]
                 fresh = list({w for ws in words if ws for w in ws if w not in young})
                 if len(young) + len(fresh) > memory:  # bounded: start anew
                     young.clear()

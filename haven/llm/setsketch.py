@@ -170,8 +170,9 @@ def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            # sets are read where the batch holds them, not copied as a list of them all
+            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.concatenate([a, b])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())

@@ -7,10 +7,13 @@ import random
 import time
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from haven.llm import queries as Q
+from haven.llm import setsketch
 
 DOCS = "doc_id long, text string"
 
@@ -211,3 +214,30 @@ def awkward_documents(spark):
     for c in ("score", "lang_pred", "kept_text", "n_dropped", "n_lines", "th", "stays_id", "hit_id", "hit_th", "row", "a.b", "kept"):
         df = df.withColumn(c, F.lit("clash"))
     return df.repartition(3)
+
+
+def test_sets_are_verified_without_a_copied_list():
+    """A batch of set pairs is compared where it lies; no list of all sets is made beside it."""
+    class Column:
+        def __init__(self, values):
+            self.values = pa.array(values, pa.binary())
+
+        def __iter__(self):
+            return iter(self.values)
+
+        def to_pylist(self):
+            raise MemoryError("a list of all sets")
+
+    class Batch:
+        sets = [np.array(x, np.uint64).tobytes() for x in ([1, 2, 3, 4], [1, 2, 3], [7])]
+        columns = {"sa": Column(sets), "sb": Column([sets[1], sets[2], sets[2]])}
+        rows = pa.RecordBatch.from_arrays([pa.array([10, 11, 12]), pa.array([1, 2, 3])], names=["u", "v"])
+
+        def column(self, name):
+            return self.columns[name]
+
+        def select(self, names):
+            return self.rows.select(names)
+
+    got = [b.to_pydict() for b in setsketch._verify(75)(iter([Batch()]))]
+    assert got == [{"u": [10, 12], "v": [1, 3]}]
