@@ -40,20 +40,29 @@ class ClientVersions(StatefulProcessor):
         self.versions = handle.getValueState("versions", "n int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # the batch's own last update an instant and field first: every call on the state crosses to the JVM
+        newest: dict[tuple, tuple] = {}
         for r in rows:
             if r.op not in C.CASE_OPS or r.at is None:
                 continue
             at = (r.at, r.field_changed)
+            if at not in newest or (r.event_id or "") > (newest[at][0] or ""):
+                newest[at] = (r.event_id, r.new_value)
+        for at, update in newest.items():
             held = self.open.getValue(at) if self.open.containsKey(at) else None
-            if held is None or (r.event_id or "") > (held[0] or ""):
-                self.open.updateValue(at, (r.event_id, r.new_value))
-            # once the watermark is past its millisecond the instant is complete
-            self.handle.registerTimer(at[0] // 1000 + 1)
+            if held is None or (update[0] or "") > (held[0] or ""):
+                self.open.updateValue(at, update)
+        # once the watermark is past its millisecond the instant is complete
+        for ms in {at // 1000 + 1 for at, _ in newest}:
+            self.handle.registerTimer(ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        due = sorted(((k[0], k[1], v[0], v[1]) for k, v in self.open.iterator() if k[0] < until), key=lambda x: (x[0], x[1] or ""))
+        # the first of a client's timers settles all that the watermark has passed: the open updates are
+        # read once, not once a timer
+        until, passed = expiredTimerInfo.getExpiryTimeInMs() * 1000, timerValues.getCurrentWatermarkInMs()
+        due = sorted(((k[0], k[1], v[0], v[1]) for k, v in self.open.iterator() if k[0] < until or k[0] // 1000 + 1 < passed),
+                     key=lambda x: (x[0], x[1] or ""))
         if not due:
             return
         last = {k[0]: (v[0], v[1]) for k, v in self.last.iterator()}
@@ -67,13 +76,14 @@ class ClientVersions(StatefulProcessor):
                     effective.append((field, value, before, event))
                     shown = shown if value is None else value
                 last[field] = (value, shown)
-                self.last.updateValue((field,), last[field])
             if effective:
                 n += 1
                 now = [last.get(f, (None, None))[1] for f in C.CASE_FIELDS]
                 for field, value, before, event in effective:
                     yield Row(client_id_hash=key[0], at=at, version=n, field_changed=field, new_value=value, prev_value=before,
                               event_id=event, **dict(zip(C.CASE_FIELDS, now, strict=True)))
+        for field in {x[1] for x in due}:
+            self.last.updateValue((field,), last[field])
         self.versions.update((n,))
 
 

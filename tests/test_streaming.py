@@ -207,3 +207,50 @@ def test_live_versions_equal_the_batch_history(spark, scratch):
         F.lit(0).alias("VeteranStatus"), F.lit(1980).alias("YearOfBirth"))
     batch = {(x.client_id_hash, x.valid_from): (x.version, *(x[f] for f in C.CASE_FIELDS)) for x in history.scd2_history(base, full).collect()}
     assert out and all(batch[x.client_id_hash, x.valid_from] == (x.version, *(x[f] for f in C.CASE_FIELDS)) for x in out)
+
+
+def test_a_clients_open_updates_are_read_once_a_watermark():
+    """However many instants the watermark passes, the first timer settles them all; a batch's
+    repeats of one instant and field reach the state once."""
+    from types import SimpleNamespace
+
+    from haven.streaming.versions import ClientVersions
+
+    class State(dict):
+        reads = writes = 0
+
+        def containsKey(self, k):
+            return k in self
+
+        getValue, removeKey = dict.get, dict.pop
+
+        def updateValue(self, k, v):
+            self.writes += 1
+            self[k] = v
+
+        def iterator(self):
+            self.reads += len(self)
+            return iter(list(self.items()))
+
+    class Number:
+        n = None
+        exists = lambda self: self.n is not None
+        get = lambda self: self.n
+
+        def update(self, n):
+            self.n = n
+
+    opened, last, timers = State(), State(), []
+    states = iter([opened, last])
+    p = ClientVersions()
+    p.init(SimpleNamespace(getMapState=lambda *a: next(states), getValueState=lambda *a: Number(), registerTimer=timers.append))
+    rows = [SimpleNamespace(op="u", at=i * 1000, field_changed="HousingStatus", event_id=f"{j}", new_value=f"{i}-{j}")
+            for i in range(100) for j in range(3)]
+    assert list(p.handleInputRows(("c",), iter(rows), None)) == []
+    assert opened.writes == 100 and sorted(timers) == list(range(1, 101))
+    out = []
+    for ms in sorted(timers):
+        out += p.handleExpiredTimer(("c",), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1000),
+                                    SimpleNamespace(getExpiryTimeInMs=lambda ms=ms: ms))
+    assert opened.reads == 100 and not opened and last.writes == 1
+    assert [(r.version, r.new_value) for r in out] == [(i + 2, f"{i}-2") for i in range(100)]
