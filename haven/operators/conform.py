@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from haven.functions.dates import as_date
 from haven.functions.privacy import hash_id, name_hash, packed, unpacked
-from haven.operators.keys import first_by_key
+from haven.operators.keys import first_by_key, first_by_key_dealt
 
 SILVER_CLIENT_COLS = ["ClientID_hash", "SSN_hash", "Name_hash", "YearOfBirth",
                       "Gender", "Race", "Ethnicity", "VeteranStatus"]
@@ -52,7 +52,7 @@ def conform_services(services: DataFrame, salt: str | None = None) -> DataFrame:
         packed(hash_id("PersonalID", salt)).alias("PersonalID_hash"),
         *ties,
     )
-    one = first_by_key(out, ["ServiceID"], ties + ["DateProvided"]).drop(*ties)
+    one = first_by_key_dealt(out, "ServiceID", ties + ["DateProvided"]).drop(*ties)
     return one.withColumn("PersonalID_hash", unpacked("PersonalID_hash"))
 
 

@@ -4,13 +4,20 @@
 (partial aggregation) before the shuffle, so a key that holds a third of all
 rows reaches the reducer as one row per input partition instead of landing
 whole in one task.  Ties are broken by the full row, so the survivor is the
-same on every run.
+same on every run.  That combining sorts an input split; ``first_by_key_dealt``
+and ``count_by_key`` combine a batch at a time, for large tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _pick_row(df: DataFrame, keys: list[str], order: list[str], largest: bool) -> DataFrame:
@@ -27,6 +34,59 @@ def first_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None)
     return _pick_row(df, keys, list(order or []), largest=False)
 
 
+#: Types that Arrow orders as Spark does, nulls first.
+_SAME_ORDER = (T.IntegralType, T.StringType, T.BinaryType, T.DateType, T.TimestampType, T.DecimalType)
+
+
+def _first_in_batch(key: str, order: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = b.column(key).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            several = np.bincount(codes)[codes] > 1 if len(codes) else np.zeros(0, bool)
+            if not several.any():
+                yield b
+                continue
+            yield b.filter(pa.array(~several))
+            rows, codes = b.filter(pa.array(several)), codes[several]
+            at = pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in order], null_placement="at_start").to_numpy()
+            yield rows.take(pa.array(at[np.unique(codes[at], return_index=True)[1]]))
+    return combine
+
+
+def first_by_key_dealt(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """``first_by_key`` of a large table: no task sorts its whole input split.
+
+    Before the shuffle rows are combined an Arrow batch at a time, so a key that holds a
+    third of all rows still leaves a batch as one row; the rest is done after rows are
+    dealt by key, in parts that adaptive execution sizes.  Other column types than
+    ``_SAME_ORDER`` take the plain aggregate.
+    """
+    if not all(isinstance(f.dataType, _SAME_ORDER) for f in df.schema.fields):
+        return first_by_key(df, [key], order)
+    by = [*(order or []), *[c for c in df.columns if c != key and c not in (order or [])]]
+    return first_by_key(df.mapInArrow(_first_in_batch(key, by), df.schema).repartition(key), [key], order)
+
+
+def _counts_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        values, counts = pc.value_counts(b.column(0)).flatten()
+        yield pa.RecordBatch.from_arrays([values, counts], names=[b.schema.names[0], "n"])
+
+
+def count_by_key(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, rows of that key as ``name``) of a column of nearly as many keys as rows.
+
+    A map-side aggregate would hold every key of an input split.  Rows are counted an
+    Arrow batch at a time instead (a hot key leaves a batch as one row), then dealt over
+    all shuffle partitions: so narrow, they would be coalesced to millions of keys a task.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(key)
+    field = rows.schema.fields[0]
+    schema = T.StructType([T.StructField(field.name, field.dataType), T.StructField("n", T.LongType())])
+    return rows.mapInArrow(_counts_in_batch, schema).repartition(n, key).groupBy(key).agg(F.sum("n").alias(name))
+
+
 #: Keys with several rows that are sent to every task; with more, all rows are dealt by key.
 FEW_REPEATED = 200_000
 

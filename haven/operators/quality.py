@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from haven import contracts as C
+from haven.operators.keys import count_by_key
 
 HEX64 = "^[a-f0-9]{64}$"
 RAW_SSN = "^[0-9]{9}$|^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
@@ -130,7 +131,7 @@ def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: s
 
 def duplicate_keys(df: DataFrame, key: str, table: str) -> DataFrame:
     """Keys held by more than one row: (table_name, key_value, n_copies)."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_copies"))
+    return (count_by_key(df, key, "n_copies")
             .filter(F.col("n_copies") > 1)
             .select(F.lit(table).alias("table_name"), F.col(key).alias("key_value"), "n_copies"))
 

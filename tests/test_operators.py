@@ -228,6 +228,45 @@ def test_first_of_repeated_picks_as_first_by_key(spark, monkeypatch, few):
     assert sorted(map(str, keys.first_of_repeated(once, ["k"]).collect())) == sorted(map(str, once.collect()))
 
 
+@pytest.fixture()
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_first_by_key_dealt_picks_as_first_by_key(spark, small_batches):
+    some = lambda i, n, v: None if i * 7 % n == 0 else v
+    rows = [(None if i % 9 == 0 else "hot" if i % 3 else f"k{i % 11}", some(i, 5, i % 4), some(i, 6, dt.date(2024, 1, 1 + i % 3)),
+             some(i, 4, "é" if i % 2 else "Z"), some(i, 3, bytes([200 + i % 5, 1])), some(i, 8, Decimal(i % 3) / 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, o long, d date, s string, h binary, m decimal(12,2)").repartition(3)
+    for order in (["o", "d"], ["s", "m"], None):
+        want = sorted(map(str, keys.first_by_key(df, ["k"], order).collect()))
+        assert sorted(map(str, keys.first_by_key_dealt(df, "k", order).collect())) == want
+    assert keys.first_by_key_dealt(df.limit(0), "k").count() == 0
+    other = df.withColumn("x", F.col("o").cast("double"))  # a type that is not ordered alike: the plain aggregate
+    assert sorted(map(str, keys.first_by_key_dealt(other, "k").collect())) == sorted(map(str, keys.first_by_key(other, ["k"]).collect()))
+
+
+def test_duplicate_keys_counts_across_batches(spark, small_batches):
+    rows = [(None if i % 10 == 0 else "hot" if i % 2 else f"k{i % 60}",) for i in range(500)] + [("once",)]
+    df = spark.createDataFrame(rows, "id string").repartition(3)
+    want = sorted(str(("t", r.id, r["count"])) for r in df.groupBy("id").count().filter("count > 1").collect())
+    got = quality.duplicate_keys(df, "id", "t")
+    assert got.columns == ["table_name", "key_value", "n_copies"] and dict(got.dtypes)["n_copies"] == "bigint"
+    assert sorted(str(tuple(r)) for r in got.collect()) == want
+    assert quality.duplicate_keys(df.limit(0), "id", "t").count() == 0
+
+
+def test_no_task_holds_the_keys_of_a_whole_split(spark):
+    """Before rows are dealt by key they are neither sorted nor put into a hash table."""
+    services = spark.range(20).select(*[F.col("id").cast("string").alias(c) for c in (
+        "ServiceID", "EnrollmentID", "PersonalID", "ServiceType", "QuantityOfServices", "FAAmount")], F.current_date().alias("DateProvided"))
+    for df in (quality.duplicate_keys(services, "ServiceID", "t"), conform.conform_services(services)):
+        above, _, below = _dealt(df).rpartition("Exchange")
+        assert "Aggregate" in above and "MapInArrow" in below and "Aggregate" not in below and "Sort" not in below
+
+
 def _dealt(df) -> str:
     """The exchanges of a plan, with what lies below them."""
     return df._jdf.queryExecution().executedPlan().toString()
