@@ -10,6 +10,7 @@ from haven import contracts as C
 from haven.functions.privacy import hash_and_drop_client
 from haven.operators import history, upsert
 from haven.operators.history_store import HistoryStore
+from haven.operators.keys import FEW_REPEATED
 from haven.operators.metrics import latest_value
 from haven.plans.context import Ctx
 from haven.plans.oracle_base import sql
@@ -147,7 +148,8 @@ def incremental_fact(spark, sf_dir):
     last = latest_value(first, "service_date")
     late = (F.col("service_type") == "Hygiene kit") & F.col("service_date").between(
         F.lit(last - dt.timedelta(days=LOOKBACK_DAYS)), F.lit(last - dt.timedelta(days=1)))
-    upsert.create(first.filter(~F.coalesce(late, F.lit(False))), path, "service_id", "service_date")
+    upsert.create(first.filter(~F.coalesce(late, F.lit(False))), path, "service_id", "service_date",
+                  hashes=["client_id_hash"])
     table = spark.read.parquet(path)
     hwm = upsert.high_water_mark(table, "service_date")
     fixes = (table.filter((F.col("service_type") == "Meal")
@@ -155,8 +157,10 @@ def incremental_fact(spark, sf_dir):
                                                           F.lit(hwm)))
              .withColumn("service_date", F.date_add("service_date", 1))
              .withColumn("qty", F.col("qty") + 1))
-    fresh = upsert.increment(f, "service_date", hwm, LOOKBACK_DAYS, undated=True).join(
-        fixes.select("service_id"), "service_id", "left_anti")
+    fixed = fixes.select("service_id")
+    if fixed.count() <= FEW_REPEATED:  # so few go to every task: the increment itself is not dealt by key
+        fixed = F.broadcast(fixed)
+    fresh = upsert.increment(f, "service_date", hwm, LOOKBACK_DAYS, undated=True).join(fixed, "service_id", "left_anti")
     batch = fresh.unionByName(fixes.select(*f.columns))
-    upsert.upsert(spark, path, batch, "service_id", "service_date", target=table)
+    upsert.upsert(spark, path, batch, "service_id", "service_date", target=table, hashes=["client_id_hash"])
     return spark.read.parquet(path).select(*_FACT_COLS)

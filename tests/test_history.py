@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -198,3 +199,27 @@ def test_partition_values_are_escaped(spark, scratch):
     upsert.create(spark.createDataFrame([("a", "x=1/y", 1), ("b", "plain", 2)], schema), path, "k", "p")
     upsert.upsert(spark, path, spark.createDataFrame([("a", "plain", 3)], schema), "k", "p")
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect()) == [("a", "plain", 3), ("b", "plain", 2)]
+
+
+def test_upsert_deals_hashes_as_bytes_and_indexes_without_a_shuffle_by_key(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+    day, path, schema = lambda n: dt.date(2024, 1, n), f"{scratch}/t", "k string, d date, h string"
+    h = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
+    rows = [(None, day(1), h(0)), (None, day(1), h(1)), (None, None, None), ("a", day(1), h(2)), ("b", day(2), None), ("c", None, h(3))]
+    df = spark.createDataFrame(rows, schema)
+    upsert.create(df, path, "k", "d", buckets=4, hashes=["h"])
+    read = lambda: sorted((tuple(r) for r in spark.read.parquet(path).select("k", "d", "h").collect()), key=str)
+    assert read() == sorted(rows, key=str)
+    index = lambda: sorted(((r.key, r.part) for r in spark.read.parquet(f"{path}__keys/rows").collect()), key=str)
+    assert index() == sorted({r[:2] for r in rows}, key=str)  # a null key: one row a partition
+    batch = [("a", day(2), h(9)), (None, day(3), h(8)), ("new", None, None)]
+    upsert.upsert(spark, path, spark.createDataFrame(batch, schema), "k", "d", hashes=["h"])
+    rows = [r for r in rows if r[0] not in ("a", None)] + batch
+    assert read() == sorted(rows, key=str) and index() == sorted({r[:2] for r in rows}, key=str)
+    for at in (path, f"{path}__keys/rows"):
+        files = glob.glob(f"{at}/*/*.parquet")
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+    keyed = upsert._index_rows(df.filter("k is not null"), "k", "d", 4)._jdf.queryExecution().executedPlan().toString()
+    assert keyed.count("Exchange") <= 1  # that of the null keys' rows alone
