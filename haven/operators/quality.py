@@ -136,18 +136,27 @@ def duplicate_keys(df: DataFrame, key: str, table: str) -> DataFrame:
             .select(F.lit(table).alias("table_name"), F.col(key).alias("key_value"), "n_copies"))
 
 
+def _raw_pii(v: Column) -> Column:
+    """Whether a value looks like a raw SSN or email.  Each pattern is tried only where it can match:
+    an SSN begins with a digit and is 9 to 14 bytes long with a line end, an email holds an @."""
+    ssn = (v >= "0") & (v < ":") & F.octet_length(v).between(9, 14) & v.rlike(RAW_SSN)
+    return ssn | (F.contains(v, F.lit("@")) & v.rlike(RAW_EMAIL))
+
+
+def _pii_counts(df: DataFrame) -> tuple[list[str], list[Column]]:
+    """The string columns, and per such column the count of values that look like raw personal data (p0, p1, ...)."""
+    cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return cols, [F.count_if(_raw_pii(F.col(c))).alias(f"p{i}") for i, c in enumerate(cols)]
+
+
 def pii_scan(df: DataFrame, table: str) -> DataFrame:
     """Per string column: forbidden name? values that look like raw SSN/email?
 
     One aggregate over the table; output (table_name, column_name,
     forbidden_name, n_rows, n_raw_pii).
     """
-    cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, c in enumerate(cols):
-        v = F.col(c)
-        aggs.append(F.count_if(v.rlike(RAW_SSN) | v.rlike(RAW_EMAIL)).alias(f"p{i}"))
-    one = df.agg(*aggs)
+    cols, counts = _pii_counts(df)
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
     args = ", ".join(
         f"'{c}', {str(c in C.FORBIDDEN_DOWNSTREAM).lower()}, CAST(p{i} AS BIGINT)"
         for i, c in enumerate(cols))
@@ -189,26 +198,29 @@ def observed_gate(table: str, seen: Observation, silver: DataFrame, tolerance: f
     """(rule, status) of a silver table whose input was observed: its rows against
     the input's keys (the sketch's own error is allowed for), and personal data."""
     keys = seen.get["bronze_keys"]
-    drift = F.abs(F.lit(keys) - F.col("silver_rows")) / max(keys, 1)
-    counts = (silver.agg(F.count(F.lit(1)).alias("silver_rows"))
-              .select(F.lit("reconcile counts").alias("rule"),
-                      F.when(drift <= tolerance + 4 * KEY_COUNT_ERROR, "OK").otherwise("FAIL").alias("status")))
-    return counts.unionByName(_leaks(table, silver))
+    return _gate(silver, [], keys, tolerance + 4 * KEY_COUNT_ERROR)
 
 
 def gold_gate(fact: DataFrame, services: DataFrame, tolerance: float = C.RECONCILE_TOLERANCE) -> DataFrame:
     """(rule, status) of the fact about to be published: one pass for the rules that
     every row must keep, its rows against silver's (counted from file footers), and
     personal data."""
-    n = services.count()
     rules = [not_null("service_id"), not_null("enrollment_id"), matches("client_id_hash", HEX64)]
-    suite = run_suite(fact, "fact_service_event", rules)
-    checked = suite.select(F.concat_ws(" ", "rule", "column_name").alias("rule"),
-                           F.when(F.col("passed"), "OK").otherwise("FAIL").alias("status"))
-    drift = F.abs(F.lit(n) - F.col("n_rows")) / max(n, 1)
-    rows = suite.limit(1).select(F.lit("reconcile counts").alias("rule"),
-                                 F.when(drift <= tolerance, "OK").otherwise("FAIL").alias("status"))
-    return checked.unionByName(rows).unionByName(_leaks("fact_service_event", fact))
+    return _gate(fact, rules, services.count(), tolerance)
+
+
+def _gate(table: DataFrame, rules: list[Rule], rows: int, tolerance: float) -> DataFrame:
+    """(rule, status) of row rules, the number of rows against an expected one, and personal data: one scan."""
+    cols, counts = _pii_counts(table)
+    one = table.agg(F.count(F.lit(1)).alias("n_rows"),
+                    *[F.count_if(r.bad).alias(f"r{i}") for i, r in enumerate(rules)], *counts)
+    drift = F.abs(F.lit(rows) - F.col("n_rows")) / max(rows, 1)
+    passed = [(f"{r.name} {r.column}", F.col(f"r{i}") == 0) for i, r in enumerate(rules)]
+    passed.append(("reconcile counts", drift <= tolerance))
+    passed += [(f"personal data in {c}", F.lit(c not in C.FORBIDDEN_DOWNSTREAM) & (F.col(f"p{i}") == 0))
+               for i, c in enumerate(cols)]
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("rule"), F.when(ok, "OK").otherwise("FAIL").alias("status")) for name, ok in passed])))
 
 
 def silver_gate(table: str, bronze: DataFrame, key: str, silver: DataFrame) -> DataFrame:

@@ -148,9 +148,8 @@ def incremental_fact(spark, sf_dir):
     last = latest_value(first, "service_date")
     late = (F.col("service_type") == "Hygiene kit") & F.col("service_date").between(
         F.lit(last - dt.timedelta(days=LOOKBACK_DAYS)), F.lit(last - dt.timedelta(days=1)))
-    upsert.create(first.filter(~F.coalesce(late, F.lit(False))), path, "service_id", "service_date",
-                  hashes=["client_id_hash"])
-    table = spark.read.parquet(path)
+    table = upsert.create(first.filter(~F.coalesce(late, F.lit(False))), path, "service_id", "service_date",
+                          hashes=["client_id_hash"])
     hwm = upsert.high_water_mark(table, "service_date")
     fixes = (table.filter((F.col("service_type") == "Meal")
                           & F.col("service_date").between(F.lit(hwm - dt.timedelta(days=LOOKBACK_DAYS)),
@@ -163,4 +162,4 @@ def incremental_fact(spark, sf_dir):
     fresh = upsert.increment(f, "service_date", hwm, LOOKBACK_DAYS, undated=True).join(fixed, "service_id", "left_anti")
     batch = fresh.unionByName(fixes.select(*f.columns))
     upsert.upsert(spark, path, batch, "service_id", "service_date", target=table, hashes=["client_id_hash"])
-    return spark.read.parquet(path).select(*_FACT_COLS)
+    return upsert.read_table(spark, path).select(*_FACT_COLS)

@@ -38,21 +38,25 @@ def splitters(df: DataFrame, columns: list[str], bits: int = BITS, sample_rows:
     return out
 
 
-def _not_above(column: str):
-    return lambda cut: cut <= F.col(column)
+def _spread(interval: int, columns: int, i: int) -> int:
+    """The bits of an interval's number at the places of column ``i`` on the curve."""
+    return sum((interval >> b & 1) << (b * columns + i) for b in range(interval.bit_length()))
 
 
-def curve(cuts: dict[str, list], bits: int = BITS) -> Column:
+def _halved(column: str, at: list, places: list[int]) -> Column:
+    """places[number of cuts that are not above the column], by halving the cuts: a
+    handful of compiled comparisons a row.  A null is above no cut."""
+    if not at:
+        return F.lit(places[0]).cast("long")
+    mid = len(at) // 2
+    return (F.when(F.col(column) >= F.lit(at[mid]), _halved(column, at[mid + 1:], places[mid + 1:]))
+            .otherwise(_halved(column, at[:mid], places[:mid + 1])))
+
+
+def curve(cuts: dict[str, list]) -> Column:
     """A row's place on the Morton curve through the columns' intervals; nulls lie in the first."""
-    place = F.lit(0).cast("long")
-    for i, (c, at) in enumerate(cuts.items()):
-        interval = F.lit(0)
-        if at:
-            interval = F.coalesce(F.size(F.filter(F.array(*map(F.lit, at)), _not_above(c))), F.lit(0))
-        for b in range(bits):
-            bit = F.shiftright(interval, b).bitwiseAND(F.lit(1)).cast("long")
-            place = place + F.shiftleft(bit, b * len(cuts) + i)
-    return place
+    return reduce(lambda p, q: p + q, [
+        _halved(c, at, [_spread(k, len(cuts), i) for k in range(len(at) + 1)]) for i, (c, at) in enumerate(cuts.items())])
 
 
 def write_clustered(df: DataFrame, path: str, columns: list[str], files: int | None = None,

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from haven.operators import quality
-from haven.sources.clustered import manifest, read_within, splitters, write_clustered
+from haven.sources.clustered import curve, manifest, read_within, splitters, write_clustered
 from haven.sources.layers import materialize
 
 DAY = dt.date(2024, 1, 1)
@@ -105,3 +105,37 @@ def test_a_failed_suite_stops_the_job(spark):
     with pytest.raises(quality.QualityError, match="t: not_null id, unique id"):
         quality.require(suite, "t")
     quality.require(quality.run_suite(df.limit(1), "t", [quality.not_null("id"), quality.unique("id")]), "t")
+
+
+def test_the_place_on_the_curve_is_compiled_and_counts_the_cuts(spark):
+    df, rows = _days(spark, 400)
+    cuts = splitters(df, ["day", "project"], bits=3)
+    place = df.select("day", "project", curve(cuts).alias("place"))
+
+    def want(*values):
+        below = [sum(v is not None and c <= v for c in cuts[name]) for name, v in zip(cuts, values, strict=True)]
+        return sum((n >> b & 1) << (2 * b + i) for i, n in enumerate(below) for b in range(3))
+    got = place.collect()
+    assert len({r.place for r in got}) > 20 and all(r.place == want(r.day, r.project) for r in got)
+    plan = place._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "array(" not in plan  # comparisons alone: no function is called for each cut
+    assert {r.place for r in df.select(curve({"day": [], "project": []}).alias("place")).collect()} == {0}
+
+
+def test_a_gate_reads_its_table_once(spark, scratch):
+    _fact(spark).write.parquet(f"{scratch}/fact")
+    fact = spark.read.parquet(f"{scratch}/fact")
+    seen = type("Seen", (), {"get": {"bronze_keys": 21}})
+    for gate in (quality.gold_gate(fact, spark.range(21)), quality.observed_gate("t", seen, fact)):
+        assert gate._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+        assert {r.status for r in gate.collect()} == {"OK"}
+
+
+def test_raw_personal_data_is_found_as_by_the_patterns(spark):
+    values = ["123456789", "12345678", "1234567890", "123-45-6789", "123-45-678", "123456789\n", "123-45-6789\r\n", "123456789\u2028",
+              "123-45-6789\u2028", "\n123456789", " 123456789", "a123456789", "\u0661\u0662\u0663456789", "a@b.co", "1@b.co", "é@ü.co",
+              "a@b.co\n", "a @b.co", "@b.co", "a@b", "a@b@c.org", "123456789@x.yz", ":23456789", "", None, "a" * 64]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    plain = df.filter(F.col("v").rlike(quality.RAW_SSN) | F.col("v").rlike(quality.RAW_EMAIL))
+    assert sorted(r.v for r in df.filter(quality._raw_pii(F.col("v"))).collect()) == sorted(r.v for r in plain.collect())
+    assert quality.pii_scan(df, "t").first()["n_raw_pii"] == plain.count() >= 8

@@ -223,3 +223,34 @@ def test_upsert_deals_hashes_as_bytes_and_indexes_without_a_shuffle_by_key(spark
         assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
     keyed = upsert._index_rows(df.filter("k is not null"), "k", "d", 4)._jdf.queryExecution().executedPlan().toString()
     assert keyed.count("Exchange") <= 1  # that of the null keys' rows alone
+
+
+def test_batch_keys_are_looked_up_by_hash(spark):
+    """Rows that meet a batch's keys, nulls and repeats among them, are neither sorted nor paired."""
+    schema = "k string, v int"
+    held = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], schema)
+    keys = upsert._keys(spark.createDataFrame([("a", 0), ("a", 1), (None, 2), (None, 3), ("x", 4)], schema), "k")
+    for how, want in (("left_semi", [1, 3, 4]), ("left_anti", [2])):
+        got = held.join(keys, F.col("k").eqNullSafe(F.col("_key")), how)
+        assert sorted(r.v for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan
+
+
+def test_folders_of_a_table_are_listed_by_few_tasks(spark, scratch):
+    name, most = upsert.LISTING
+    n, own, sc = most + 6, spark.conf.get(name, None), spark.sparkContext
+    upsert.write_partitioned(spark.range(n).selectExpr("id AS p", "id AS v").coalesce(1), scratch, "p", mode="errorifexists")
+    try:
+        for given in ("1000", "7", None):
+            spark.conf.unset(name) if given is None else spark.conf.set(name, given)
+            sc.setJobGroup(group := f"listing-{given}", "")
+            assert upsert.read_table(spark, scratch).count() == n
+            assert spark.conf.get(name, None) == given  # the session's own setting is back
+            track = sc.statusTracker()
+            tasks = [track.getStageInfo(s).numTasks for j in track.getJobIdsForGroup(group) for s in track.getJobInfo(j).stageIds
+                     if track.getStageInfo(s)]
+            assert tasks and max(tasks) <= most
+    finally:
+        sc._jsc.clearJobGroup()
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
